@@ -1,0 +1,460 @@
+"""The registered queries: name to function of (session, folder of tables)."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks import params as P
+from checks.views import (
+    article_payloads,
+    article_texts,
+    articles,
+    memory,
+    mixed_payloads,
+    with_pt,
+)
+from clipwire import operators as ops
+from clipwire import plans, sources, streaming
+from clipwire.functions import keyword_match as match_column
+from clipwire.schema import (
+    ARTICLE_KEYS,
+    DAY_TABLE,
+    HARMONIZED_TABLE,
+    KEYWORD_TABLE,
+    MAX_PAGES,
+    SOURCE_AUTHOR_TABLE,
+)
+from clipwire.session import scratch_dir
+
+Query = Callable[[SparkSession, str], DataFrame]
+_REGISTRY: dict[str, Query] = {}
+
+_ID = ["url", "author", "title", "publishedAt"]
+_TRANSLATED = [f"{c}_{s}" for c in ("description", "content", "title") for s in ("pt", "translated")]
+
+
+def query(fn: Query) -> Query:
+    _REGISTRY[fn.__name__] = fn
+    return fn
+
+
+def registered() -> dict[str, Query]:
+    return dict(_REGISTRY)
+
+
+def _date_text(name: str = "from_date") -> Column:
+    return F.col(name).cast("string").alias(name)
+
+
+def _joined(column: str) -> list[Column]:
+    """An array as text, with its length, so that any engine can compare it."""
+    return [F.array_join(column, "|").alias(column), F.size(column).alias("n_tokens")]
+
+
+# Sources and sinks
+
+
+@query
+def ingest_articles(spark, sf):
+    return sources.ingest_articles(mixed_payloads(spark, sf)).select(
+        F.col("source.id").alias("source_id"),
+        F.col("source.name").alias("source_name"),
+        *_ID,
+        "description",
+        "content",
+    )
+
+
+@query
+def rejected_payloads(spark, sf):
+    return sources.rejected_payloads(mixed_payloads(spark, sf)).select("value")
+
+
+@query
+def stamp_from_date(spark, sf):
+    stamped = ops.stamp_from_date(article_texts(spark, sf), P.STAMP)
+    return stamped.select("url", "title", _date_text())
+
+
+@query
+def history_union(spark, sf):
+    landing = scratch_dir(spark, "history")
+    article_payloads(spark, sf).write.partitionBy("from_date").text(landing)
+    history = sources.ingest_articles(sources.read_payload_files(spark, landing))
+    return history.select(*_ID, "content", _date_text())
+
+
+@query
+def assign_windows(spark, sf):
+    return ops.assign_windows(articles(spark, sf), P.TODAY).select(*_ID, _date_text())
+
+
+@query
+def window_page_cap(spark, sf):
+    windows = ops.assign_windows(articles(spark, sf), P.TODAY)
+    capped = ops.window_page_cap(windows, "popularity", page_size=P.PAGE_SIZE)
+    return capped.select("url", "popularity", _date_text())
+
+
+@query
+def producer_window(spark, sf):
+    recent = ops.producer_window(articles(spark, sf), P.PRODUCER_TO, P.PRODUCER_DAYS)
+    return recent.select(*_ID)
+
+
+@query
+def search_query(spark, sf):
+    return ops.search_query(article_texts(spark, sf), P.SEARCH).select("url", "title")
+
+
+def _dated(spark, sf):
+    return ops.assign_windows(articles(spark, sf), P.TODAY, days=60)
+
+
+@query
+def write_overwrite(spark, sf):
+    path = scratch_dir(spark, "overwrite")
+    flat = ops.flatten_source(articles(spark, sf))
+    sources.write_overwrite(flat, path)
+    sources.write_overwrite(ops.dedup_latest(flat), path)
+    return sources.load_table(spark, path).select(*_ID, "content")
+
+
+@query
+def write_partition_overwrite(spark, sf):
+    path = scratch_dir(spark, "partition-overwrite")
+    dated = _dated(spark, sf)
+    sources.write_partition_overwrite(dated, path)
+    # The days up to REWRITE_TO come again, without duplicates; other days must stay.
+    again = ops.producer_window(dated, P.REWRITE_TO, 1).where("from_date < '2024-01-03'")
+    sources.write_partition_overwrite(ops.dedup_latest(again), path)
+    return sources.load_table(spark, path).select(*_ID, _date_text())
+
+
+@query
+def write_partition_append(spark, sf):
+    path = scratch_dir(spark, "partition-append")
+    dated = _dated(spark, sf)
+    sources.write_partition_append(dated, path)
+    sources.write_partition_append(ops.producer_window(dated, P.PRODUCER_TO, 1), path)
+    return sources.load_table(spark, path).select(*_ID, _date_text())
+
+
+@query
+def load_table(spark, sf):
+    path = scratch_dir(spark, "load")
+    sources.write_partition_overwrite(_dated(spark, sf), path)
+    since = sources.load_table(spark, path, since=P.TODAY.replace(month=1, day=2))
+    return since.select(*_ID, _date_text())
+
+
+@query
+def read_csv_export(spark, sf):
+    path = scratch_dir(spark, "csv")
+    export = with_pt(article_texts(spark, sf)).select("url", "author", "title_pt", "content_pt")
+    sources.write_csv_export(export, path)
+    return sources.read_csv_export(spark, path, export.schema)
+
+
+@query
+def table_counts(spark, sf):
+    dated = _dated(spark, sf)
+    latest = ops.dedup_latest(dated.drop("from_date"))
+    return ops.table_counts({"raw": dated, HARMONIZED_TABLE: latest})
+
+
+# Projections and filters
+
+
+@query
+def flatten_source(spark, sf):
+    flat = ops.flatten_source(articles(spark, sf))
+    return flat.select(*_ID, "source_id", "source_name", "description", "content")
+
+
+@query
+def keyword_filter(spark, sf):
+    return ops.keyword_filter(with_pt(articles(spark, sf)), P.KEYWORDS).select(*_ID, "content_pt")
+
+
+@query
+def keyword_match(spark, sf):
+    texts = with_pt(article_texts(spark, sf))
+    return texts.select("url", match_column(P.KEYWORDS).alias("keyword_match"))
+
+
+@query
+def relevance_strict(spark, sf):
+    return ops.relevance_strict(with_pt(article_texts(spark, sf)), P.STRICT_KEYWORDS).select(
+        "url", "title"
+    )
+
+
+# Translation
+
+
+@query
+def translate_enrich(spark, sf):
+    enriched = ops.translate_enrich(article_texts(spark, sf), memory(spark, sf))
+    return enriched.select("url", *_TRANSLATED)
+
+
+@query
+def translate_enrich_large(spark, sf):
+    """The way taken when the memory is too big to broadcast."""
+    enriched = ops.translate_enrich(article_texts(spark, sf), memory(spark, sf), lookup=False)
+    return enriched.select("url", *_TRANSLATED)
+
+
+@query
+def translation_pending(spark, sf):
+    return ops.translation_pending(article_texts(spark, sf), memory(spark, sf))
+
+
+def _demo_translator():
+    def translate(text):
+        if "license" in text:
+            raise ValueError("license text")
+        return "pt: " + text
+
+    return translate
+
+
+@query
+def translate_texts(spark, sf):
+    pending = ops.translation_pending(article_texts(spark, sf), memory(spark, sf))
+    return ops.translate_texts(pending, _demo_translator())
+
+
+@query
+def translate_udf(spark, sf):
+    store = scratch_dir(spark, "translations")
+    translated = ops.translate_udf(article_texts(spark, sf), _demo_translator(), store)
+    return translated.select("url", *_TRANSLATED)
+
+
+# De-duplication
+
+
+@query
+def dedup_latest(spark, sf):
+    return ops.dedup_latest(articles(spark, sf)).select(*_ID, "content")
+
+
+@query
+def dedup_max_by(spark, sf):
+    return ops.dedup_max_by(articles(spark, sf)).select(*_ID, "content")
+
+
+# Counts
+
+
+@query
+def count_by_day(spark, sf):
+    return ops.count_by_day(articles(spark, sf))
+
+
+@query
+def count_by_source_author(spark, sf):
+    return ops.count_by_source_author(with_pt(article_texts(spark, sf)))
+
+
+@query
+def count_keyword_days(spark, sf):
+    return ops.count_keyword_days(with_pt(articles(spark, sf)), P.KEYWORDS)
+
+
+@query
+def count_keyword_occurrences(spark, sf):
+    return ops.count_keyword_occurrences(with_pt(articles(spark, sf)), P.KEYWORDS)
+
+
+# Words
+
+
+def _words(spark, sf):
+    return with_pt(article_texts(spark, sf)).select("url", "content_pt")
+
+
+def _visible_words(spark, sf):
+    return ops.remove_stopwords(ops.tokenize_ml(_words(spark, sf)), P.STOPWORDS)
+
+
+@query
+def tokenize_ml(spark, sf):
+    return ops.tokenize_ml(_words(spark, sf)).select("url", *_joined("tokens"))
+
+
+@query
+def remove_stopwords(spark, sf):
+    return _visible_words(spark, sf).select("url", *_joined("filtered_tokens"))
+
+
+@query
+def ascii_words(spark, sf):
+    return ops.ascii_words(_visible_words(spark, sf)).select("url", *_joined("filtered_tokens"))
+
+
+@query
+def explode_words(spark, sf):
+    return ops.explode_words(ops.ascii_words(_visible_words(spark, sf))).select("url", "word")
+
+
+@query
+def word_count(spark, sf):
+    return ops.word_count(_words(spark, sf), P.STOPWORDS)
+
+
+@query
+def top_words(spark, sf):
+    return ops.top_words(ops.word_count(_words(spark, sf), P.STOPWORDS, ordered=False))
+
+
+@query
+def rank_words(spark, sf):
+    return ops.rank_words(ops.word_count(_words(spark, sf), P.STOPWORDS, ordered=False))
+
+
+@query
+def tokenize_whitespace(spark, sf):
+    return ops.tokenize_whitespace(_words(spark, sf)).select("url", *_joined("tokens"))
+
+
+@query
+def alpha_words(spark, sf):
+    tokens = ops.tokenize_whitespace(_words(spark, sf))
+    return ops.alpha_words(tokens, P.STOPWORDS).select("url", *_joined("filtered_tokens"))
+
+
+def _zipf(spark, sf, ordered=False):
+    return ops.zipf_word_freq(_words(spark, sf), P.STOPWORDS, ordered=ordered)
+
+
+@query
+def zipf_word_freq(spark, sf):
+    return _zipf(spark, sf, ordered=True)
+
+
+@query
+def zipf_top10(spark, sf):
+    return ops.zipf_top10(_zipf(spark, sf))
+
+
+@query
+def zipf_compare(spark, sf):
+    return ops.zipf_compare(_zipf(spark, sf))
+
+
+# Streams
+
+
+def _payload_stream(spark, sf, label):
+    landing = scratch_dir(spark, label)
+    article_payloads(spark, sf).write.partitionBy("from_date").text(f"{landing}/landing")
+    payloads = streaming.file_payloads(spark, f"{landing}/landing", P.FILES_PER_BATCH)
+    return streaming.stream_articles(payloads), landing
+
+
+@query
+def stream_articles(spark, sf):
+    stream, folder = _payload_stream(spark, sf, "stream-articles")
+    streaming.append_raw(stream, f"{folder}/raw", f"{folder}/checkpoint").awaitTermination()
+    return sources.load_table(spark, f"{folder}/raw").select(*_ID, "content")
+
+
+@query
+def stream_stage_merge(spark, sf):
+    stream, folder = _payload_stream(spark, sf, "stream-merge")
+    for run in ("first", "second"):
+        # The second run sees every payload again and must add nothing.
+        streaming.stream_stage_merge(
+            stream, f"{folder}/raw", f"{folder}/staging-{run}", f"{folder}/checkpoint-{run}"
+        ).awaitTermination()
+    return sources.load_table(spark, f"{folder}/raw").select(*_ID, "content")
+
+
+@query
+def stream_dedup(spark, sf):
+    stream, folder = _payload_stream(spark, sf, "stream-dedup")
+    unique = streaming.stream_dedup(stream, P.STREAM_DELAY).drop("published_ts")
+    streaming.append_raw(unique, f"{folder}/raw", f"{folder}/checkpoint").awaitTermination()
+    # Which copy comes first depends on file order, so only the keys are compared.
+    return sources.load_table(spark, f"{folder}/raw").select(*ARTICLE_KEYS)
+
+
+@query
+def stream_counts_by_day(spark, sf):
+    stream, folder = _payload_stream(spark, sf, "stream-counts")
+    streaming.stream_counts_by_day(
+        stream, f"{folder}/counts", f"{folder}/checkpoint", P.STREAM_DELAY
+    ).awaitTermination()
+    return streaming.latest_counts(spark, f"{folder}/counts")
+
+
+# Whole jobs
+
+
+@query
+def harmonize(spark, sf):
+    harmonized = plans.harmonize(articles(spark, sf), memory(spark, sf), P.PT_KEYWORDS)
+    return harmonized.select(*_ID, "source_id", "source_name", *_TRANSLATED)
+
+
+@query
+def harmonize_large(spark, sf):
+    """The way taken when the translation memory is too big to broadcast."""
+    harmonized = plans.harmonize(
+        articles(spark, sf), memory(spark, sf), P.PT_KEYWORDS, lookup=False
+    )
+    return harmonized.select(*_ID, "source_id", "source_name", *_TRANSLATED)
+
+
+def _tall(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """The three count tables below each other."""
+    columns = {
+        "year": "int",
+        "month": "int",
+        "day": "int",
+        "source_name": "string",
+        "author": "string",
+        "n": "bigint",
+    }
+    measure = {
+        DAY_TABLE: "news_count",
+        SOURCE_AUTHOR_TABLE: "news_count",
+        KEYWORD_TABLE: "keyword_appearance_count",
+    }
+    parts = []
+    for name, count in measure.items():
+        df = sources.load_table(spark, paths[name]).withColumnRenamed(count, "n")
+        parts.append(
+            df.select(
+                F.lit(name).alias("table_name"),
+                *[
+                    (F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c)
+                    for c, t in columns.items()
+                ],
+            )
+        )
+    return sources.history_union(parts)
+
+
+@query
+def aggregate_all(spark, sf):
+    folder = scratch_dir(spark, "semantic")
+    paths = plans.aggregate_all(with_pt(articles(spark, sf)), folder, P.KEYWORDS)
+    return _tall(spark, paths)
+
+
+@query
+def daily_job(spark, sf):
+    folder = scratch_dir(spark, "daily")
+    sources.write_partition_overwrite(_dated(spark, sf), f"{folder}/raw")
+    sources.write_overwrite(memory(spark, sf), f"{folder}/memory")
+    paths = plans.daily_job(
+        spark, f"{folder}/raw", f"{folder}/memory", folder, P.PT_KEYWORDS, P.KEYWORDS
+    )
+    return _tall(spark, paths)

@@ -1,0 +1,96 @@
+"""Articles, payloads and a translation memory out of the given tables.
+
+A document is an article: its first line is the title, its second the description, and
+the whole text the content. The event of the same number gives time and popularity.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from clipwire.operators.translation import source_texts
+from clipwire.schema import ARTICLE_SCHEMA, TEXT_COLUMNS
+
+ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def article_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text side of the articles. It needs no join, as it has no time."""
+    text = F.col("text")
+    return table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "lang",
+        F.struct(
+            F.when(F.col("lang") != "de", F.col("source")).alias("id"),
+            F.col("source").alias("name"),
+        ).alias("source"),
+        F.when(F.col("n_chars") >= 800, F.concat("lang", F.lit(" desk"))).alias("author"),
+        F.split_part(text, F.lit("\n"), F.lit(1)).alias("title"),
+        F.nullif(F.split_part(text, F.lit("\n"), F.lit(2)), F.lit("")).alias("description"),
+        F.concat(F.lit("https://news.example/"), F.col("doc_id")).alias("url"),
+        text.alias("content"),
+    )
+
+
+def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw articles with their nested source, publication time and popularity."""
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("doc_id"),
+        F.date_format("ts", ISO).alias("publishedAt"),
+        F.col("value").alias("popularity"),
+    )
+    return article_texts(spark, sf_dir).join(events, "doc_id").drop("doc_id")
+
+
+def with_pt(df: DataFrame) -> DataFrame:
+    """Flat articles whose texts stand in for their translations."""
+    return df.select(
+        "*",
+        F.col("source.id").alias("source_id"),
+        F.col("source.name").alias("source_name"),
+        *[F.col(c).alias(f"{c}_pt") for c in TEXT_COLUMNS],
+    ).drop("source")
+
+
+def memory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Translations of every text of the articles that are not in English."""
+    foreign = article_texts(spark, sf_dir).where(F.col("lang") != "en")
+    return source_texts(foreign).select(
+        "text",
+        F.concat(
+            F.lit("pt: "), F.replace("text", F.lit("license"), F.lit("licença"))
+        ).alias("text_pt"),
+    )
+
+
+def article_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One payload per article, holding it and a wire copy without author."""
+    fields = [
+        F.col(f.name) if f.name != "urlToImage" else F.lit(None).cast("string").alias(f.name)
+        for f in ARTICLE_SCHEMA
+    ]
+    wire = [
+        F.struct(F.lit("wire").alias("id"), F.lit("Wire").alias("name")).alias("source")
+        if f.name == "source"
+        else F.lit(None).cast("string").alias(f.name)
+        if f.name in ("author", "urlToImage")
+        else F.col(f.name)
+        for f in ARTICLE_SCHEMA
+    ]
+    both = F.array(F.struct(*fields), F.struct(*wire))
+    return articles(spark, sf_dir).select(
+        F.to_json(F.struct(F.lit("ok").alias("status"), both.alias("articles"))).alias("value"),
+        F.col("publishedAt").try_cast("date").alias("from_date"),
+    )
+
+
+def mixed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Article payloads, with event properties (no articles) and web pages (no JSON)."""
+    empty = table(spark, sf_dir, "events").select(F.col("props").alias("value"))
+    broken = table(spark, sf_dir, "pages").select(F.col("html").alias("value"))
+    return article_payloads(spark, sf_dir).select("value").union(empty).union(broken)
