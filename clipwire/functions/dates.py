@@ -20,9 +20,8 @@ def published_ts(column: str = "publishedAt") -> Column:
     return F.col(column).try_cast("timestamp")
 
 
-def day_parts(column: str = "publishedAt") -> list[Column]:
-    """Columns ``year``, ``month`` and ``day``."""
-    day = published_date(column)
+def day_parts(day: str | Column) -> list[Column]:
+    """Columns ``year``, ``month`` and ``day`` of a date."""
     return [
         F.year(day).alias("year"),
         F.month(day).alias("month"),

@@ -8,11 +8,13 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters a bare string split treats as whitespace.
-UNICODE_SPACE = (
-    r"[ \t\n\x0b\f\r\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# The characters a bare string split treats as whitespace. Those above
+# U+0100 stand behind one range test, as most characters fail it at once.
+_LATIN_SPACE = r" \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0"
+_OTHER_SPACE = (
+    r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+UNICODE_SPACE = rf"[{_LATIN_SPACE}[\x{{1680}}-\x{{3000}}&&[{_OTHER_SPACE}]]]"
 # What counts as a word in each of the two word counts.
 ASCII_WORD = r"^[a-zA-Z]+$"
 LETTERS_WORD = r"^\p{L}+$"
@@ -44,5 +46,6 @@ def space_run_tokens(column: str) -> Column:
 
 
 def not_stopword(word: Column, stopwords: Sequence[str]) -> Column:
+    """True if ``word``, which is in lower case, is none of ``stopwords``, in any case."""
     words = lowered(stopwords)
-    return ~F.lower(word).isin(words) if words else F.lit(True)
+    return ~word.isin(words) if words else F.lit(True)

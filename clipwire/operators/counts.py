@@ -3,18 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipwire.functions.dates import day_parts
+from clipwire.functions.dates import day_parts, published_date
 from clipwire.functions.keywords import keyword_match, occurrences
 from clipwire.schema import COUNT_KEYWORDS, TRANSLATED_COLUMNS
 
 
+def _per_day(df: DataFrame, published: str, *measures: Column) -> DataFrame:
+    # Grouped by the date, a single fixed-width key; its parts are taken afterwards.
+    days = df.groupBy(published_date(published).alias("_day")).agg(*measures)
+    return days.select(*day_parts("_day"), *[c for c in days.columns if c != "_day"])
+
+
 def count_by_day(df: DataFrame, published: str = "publishedAt") -> DataFrame:
     """Articles per publication year, month and day."""
-    return df.groupBy(*day_parts(published)).agg(F.count("*").alias("news_count"))
+    return _per_day(df, published, F.count("*").alias("news_count"))
 
 
 def count_by_source_author(df: DataFrame) -> DataFrame:
@@ -29,11 +36,8 @@ def count_keyword_days(
     published: str = "publishedAt",
 ) -> DataFrame:
     """Articles per day that hold any keyword; days without one are absent."""
-    return (
-        df.where(keyword_match(keywords, columns))
-        .groupBy(*day_parts(published))
-        .agg(F.count("*").alias("keyword_appearance_count"))
-    )
+    relevant = df.where(keyword_match(keywords, columns))
+    return _per_day(relevant, published, F.count("*").alias("keyword_appearance_count"))
 
 
 def count_keyword_occurrences(
@@ -59,8 +63,7 @@ def count_keyword_occurrences(
         ]
     )
     return (
-        df.groupBy(*day_parts(published))
-        .agg(*sums)
+        _per_day(df, published, *sums)
         .select("year", "month", "day", F.inline(per_keyword))
         .where(F.col("occurrences") > 0)
     )
@@ -68,13 +71,12 @@ def count_keyword_occurrences(
 
 def table_counts(tables: dict[str, DataFrame], by: str = "from_date") -> DataFrame:
     """Rows per table and partition value, null partition for tables without one."""
-    counts = [
-        df.groupBy(F.col(by).cast("string").alias(by) if by in df.columns else F.lit(None).cast("string").alias(by))
-        .agg(F.count("*").alias("row_count"))
-        .select(F.lit(name).alias("table_name"), by, "row_count")
-        for name, df in tables.items()
-    ]
-    total = counts[0]
-    for more in counts[1:]:
-        total = total.unionByName(more)
-    return total
+    counts = []
+    for name, df in tables.items():
+        part = F.col(by) if by in df.columns else F.lit(None)
+        counts.append(
+            df.groupBy(part.cast("string").alias(by))
+            .agg(F.count("*").alias("row_count"))
+            .select(F.lit(name).alias("table_name"), by, "row_count")
+        )
+    return reduce(DataFrame.unionByName, counts)

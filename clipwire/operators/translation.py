@@ -12,10 +12,9 @@ from clipwire.schema import TEXT_COLUMNS
 from clipwire.session import is_small
 
 
-def _one_per_text(memory: DataFrame, key: Column) -> DataFrame:
-    """One translation per text, so that joining never multiplies articles."""
-    known = memory.where(F.col("text").isNotNull() & F.col("text_pt").isNotNull())
-    return known.groupBy(key.alias("_key")).agg(F.min("text_pt").alias("_pt"))
+def _known(memory: DataFrame, key: Column) -> DataFrame:
+    done = F.col("text").isNotNull() & F.col("text_pt").isNotNull()
+    return memory.where(done).select(key.alias("_key"), F.col("text_pt").alias("_pt"))
 
 
 def _digest(column: Column | str) -> Column:
@@ -23,40 +22,39 @@ def _digest(column: Column | str) -> Column:
 
 
 def _by_lookup(df: DataFrame, memory: DataFrame, columns: Sequence[str]) -> DataFrame:
-    lookup = _one_per_text(memory, F.col("text"))
+    # One entry per text, so that no article is multiplied.
+    lookup = _known(memory, F.col("text")).groupBy("_key").agg(F.max("_pt").alias("_pt"))
     for c in columns:
         side = lookup.select(F.col("_key").alias(f"_key_{c}"), F.col("_pt").alias(f"_pt_{c}"))
         df = df.join(F.broadcast(side), F.col(c) == F.col(f"_key_{c}"), "left")
-    return df.drop(*[f"_key_{c}" for c in columns])
+    return df
 
 
 def _by_digest(df: DataFrame, memory: DataFrame, columns: Sequence[str]) -> DataFrame:
-    digests = [F.coalesce(F.sha2(c, 256), F.lit("")) for c in columns]
+    digests = [f"_digest_{c}" for c in columns]
+    present = [F.coalesce(F.hex(d), F.lit("")) for d in digests]
     # Articles with the same texts share a row key, and so their translations.
-    keyed = df.withColumn("_row", _digest(F.concat_ws("|", *digests)))
+    keyed = df.select("*", *[_digest(c).alias(d) for c, d in zip(columns, digests)]).withColumn(
+        "_row", F.coalesce(_digest(F.concat_ws("|", *present)), F.lit(b""))
+    )
+    fields = [
+        F.struct(F.lit(i).alias("_field"), F.col(d).alias("_key")) for i, d in enumerate(digests)
+    ]
     wanted = (
-        keyed.select(
-            "_row",
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(F.lit(i).alias("_field"), _digest(c).alias("_key"))
-                        for i, c in enumerate(columns)
-                    ]
-                )
-            ),
-        )
-        .where(F.col("_key").isNotNull())
-        .distinct()
+        keyed.select("_row", F.inline(F.array(*fields))).where(F.col("_key").isNotNull()).distinct()
     )
-    found = wanted.join(_one_per_text(memory, _digest("text")), "_key")
+    found = wanted.join(_known(memory, F.coalesce(_digest("text"), F.lit(b""))), "_key")
+    # The grouping also settles texts that the memory holds more than once.
     per_row = found.groupBy("_row").agg(
         *[
             F.max(F.when(F.col("_field") == i, F.col("_pt"))).alias(f"_pt_{c}")
             for i, c in enumerate(columns)
         ]
     )
-    return keyed.join(per_row, "_row", "left").drop("_row")
+    # AQE splits a hot key only where both sides of the join come straight from a
+    # shuffle. Joined under its old name, the grouped side would skip its shuffle.
+    renamed = per_row.withColumn("_same_row", F.concat("_row", F.lit(b""))).drop("_row")
+    return keyed.join(renamed, F.col("_row") == F.col("_same_row"), "left")
 
 
 def translate_enrich(
@@ -77,12 +75,11 @@ def translate_enrich(
     if lookup is None:
         lookup = is_small(memory.select("text", "text_pt"))
     found = (_by_lookup if lookup else _by_digest)(df, memory, columns)
-    kept = [c for c in df.columns]
     added = []
     for c in columns:
         added.append(F.coalesce(F.col(f"_pt_{c}"), F.col(c)).alias(f"{c}_pt"))
         added.append(F.col(f"_pt_{c}").isNotNull().alias(f"{c}_translated"))
-    return found.select(*kept, *added)
+    return found.select(*df.columns, *added)
 
 
 def source_texts(df: DataFrame, columns: Sequence[str] = TEXT_COLUMNS) -> DataFrame:
@@ -95,7 +92,7 @@ def translation_pending(
     df: DataFrame, memory: DataFrame, columns: Sequence[str] = TEXT_COLUMNS
 ) -> DataFrame:
     """Distinct source texts that the memory has no translation for."""
-    known = memory.where(F.col("text_pt").isNotNull()).select("text")
+    known = memory.where(F.col("text_pt").isNotNull()).select("text").distinct()
     return source_texts(df, columns).join(known, "text", "left_anti")
 
 

@@ -61,7 +61,7 @@ def alpha_words(
 ) -> DataFrame:
     """Add lower-case tokens that are all letters, accents included, and no stopword."""
     words = portuguese_stopwords() if stopwords is None else list(stopwords)
-    kept = F.filter(column, lambda t: t.rlike(LETTERS_WORD) & not_stopword(t, words))
+    kept = F.filter(column, lambda t: t.rlike(LETTERS_WORD) & not_stopword(F.lower(t), words))
     return df.withColumn(output, F.transform(kept, F.lower))
 
 
@@ -97,9 +97,8 @@ def zipf_word_freq(
     """Count of each all-letter word, accents kept, that is no stopword."""
     stop = portuguese_stopwords() if stopwords is None else stopwords
     tokens = df.select(F.explode(F.split(column, f"{UNICODE_SPACE}+")).alias("token"))
-    token = F.col("token")
-    words = tokens.where(token.rlike(LETTERS_WORD) & not_stopword(token, stop))
-    return _count_words(words.select(F.lower("token").alias("word")), ordered)
+    words = tokens.where(F.col("token").rlike(LETTERS_WORD)).select(F.lower("token").alias("word"))
+    return _count_words(words.where(not_stopword(F.col("word"), stop)), ordered)
 
 
 def top_words(counts: DataFrame, k: int = 100) -> DataFrame:

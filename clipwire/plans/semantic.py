@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipwire.functions.dates import day_parts
+from clipwire.functions.dates import day_parts, published_date
 from clipwire.functions.keywords import keyword_match
 from clipwire.schema import (
     COUNT_KEYWORDS,
@@ -33,12 +33,15 @@ def semantic_counts(
     The texts are scanned and matched once, and only narrow rows are grouped.
     """
     matched = F.coalesce(keyword_match(keywords, columns), F.lit(False))
-    narrow = df.select(*day_parts(published), *_SOURCE_AUTHOR, matched.cast("bigint").alias("hit"))
-    return narrow.groupingSets([_DAY, _SOURCE_AUTHOR], *_DAY, *_SOURCE_AUTHOR).agg(
+    narrow = df.select(
+        published_date(published).alias("_day"), *_SOURCE_AUTHOR, matched.cast("bigint").alias("hit")
+    )
+    counts = narrow.groupingSets([["_day"], _SOURCE_AUTHOR], "_day", *_SOURCE_AUTHOR).agg(
         (F.grouping("author") == 1).alias("by_day"),
         F.count("*").alias("news_count"),
         F.sum("hit").alias("keyword_appearance_count"),
     )
+    return counts.select(*day_parts("_day"), *[c for c in counts.columns if c != "_day"])
 
 
 def split_counts(counts: DataFrame) -> dict[str, DataFrame]:

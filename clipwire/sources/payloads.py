@@ -18,7 +18,7 @@ def read_payload_files(spark: SparkSession, path: str, whole_files: bool = False
 
     Folders named ``from_date=yyyy-MM-dd`` add that column.
     """
-    return spark.read.option("wholetext", whole_files).text(path)
+    return spark.read.text(path, wholetext=whole_files)
 
 
 def _parsed(payloads: DataFrame, value: str) -> DataFrame:
@@ -36,10 +36,12 @@ def ingest_articles(payloads: DataFrame, value: str = "value") -> DataFrame:
     ``rejected_payloads``. Works on batch and streaming frames.
     """
     others = [c for c in payloads.columns if c != value]
+    # The corrupt payloads go inside the explode: a filter before it would be rewritten
+    # to parse each payload again.
+    found = F.when(~_is_corrupt(), F.col("_payload.articles"))
     return (
         _parsed(payloads, value)
-        .where(~_is_corrupt())
-        .select(*others, F.explode("_payload.articles").alias("_article"))
+        .select(*others, F.explode(found).alias("_article"))
         .select("_article.*", *others)
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from clipwire.functions.dates import published_ts
 from clipwire.schema import ARTICLE_KEYS
@@ -16,11 +17,21 @@ def with_event_time(articles: DataFrame, delay: str) -> DataFrame:
 
 
 def stream_dedup(
-    articles: DataFrame, delay: str = "1 day", keys: Sequence[str] = ARTICLE_KEYS
+    articles: DataFrame,
+    delay: str = "1 day",
+    keys: Sequence[str] = ARTICLE_KEYS,
+    slices: int = 32,
 ) -> DataFrame:
     """The first seen article of each key, among those at most ``delay`` apart.
 
-    Articles older than the watermark, and those without a valid time, are not kept
-    apart: late ones are dropped by Spark, as for any watermark.
+    Articles older than the watermark are late, and Spark drops them. Repeats are first
+    dropped within ``slices`` of each key, by input partition, so the task that settles
+    a hot key gets few of its rows.
     """
-    return with_event_time(articles, delay).dropDuplicatesWithinWatermark(list(keys))
+    timed = with_event_time(articles, delay)
+    sliced = timed.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(slices)))
+    return (
+        sliced.dropDuplicatesWithinWatermark([*keys, "_slice"])
+        .drop("_slice")
+        .dropDuplicatesWithinWatermark(list(keys))
+    )

@@ -1,0 +1,104 @@
+import datetime as dt
+
+from clipwire.functions import keyword_match, published_date, published_ts
+from clipwire.operators import (
+    flatten_source,
+    keyword_filter,
+    relevance_strict,
+    search_query,
+)
+from clipwire.schema import ARTICLE_SCHEMA
+from helpers import flat, rows
+
+
+def _urls(df):
+    return sorted(r["url"] for r in df.select("url").collect())
+
+
+def test_flatten_struct_and_map(spark):
+    nested = spark.createDataFrame([((None, "Daily"), "a")], "source struct<id:string,name:string>, url string")
+    out = flatten_source(nested)
+    assert out.columns == ["url", "source_id", "source_name"]
+    assert rows(out) == [("a", None, "Daily")]
+    inferred = spark.createDataFrame([({"id": "d", "name": "Daily"}, "a")], "source map<string,string>, url string")
+    assert rows(flatten_source(inferred)) == [("a", "d", "Daily")]
+
+
+def test_keyword_filter_nulls_case_and_substrings(spark):
+    df = flat(
+        spark,
+        {"url": "all-null"},
+        {"url": "one", "title_pt": "Novos GENES"},
+        {"url": "substring", "content_pt": "oxigenes"},
+        {"url": "accent", "description_pt": "FILOGENÉTICA"},
+        {"url": "no-accent", "description_pt": "filogenetica"},
+        {"url": "other", "title_pt": "x", "description_pt": "y", "content_pt": "z"},
+    )
+    assert _urls(keyword_filter(df)) == ["accent", "one", "substring"]
+
+
+def test_keywords_are_regexes_unless_literal(spark):
+    df = flat(spark, {"url": "a", "title_pt": "abc"}, {"url": "b", "title_pt": "a.c"})
+    assert _urls(keyword_filter(df, ["a.c"])) == ["a", "b"]
+    assert _urls(keyword_filter(df, ["a.c"], literal=True)) == ["b"]
+
+
+def test_regex_and_substring_ways_agree(spark):
+    df = flat(
+        spark,
+        *[
+            {"url": str(i), "title_pt": t, "content_pt": c}
+            for i, (t, c) in enumerate(
+                [("DNA", None), (None, "genes"), (None, None), ("x", "y"), ("it's", "a"), ("", "")]
+            )
+        ],
+    )
+    plain = df.select("url", keyword_match(["DNA", "genes", "it's"]).alias("m"))
+    regex = df.select("url", keyword_match(["DNA", "genes", "(it's)"]).alias("m"))
+    assert rows(plain) == rows(regex)
+
+
+def test_quote_in_keyword(spark):
+    df = flat(spark, {"url": "a", "title_pt": "it's \"here\""}, {"url": "b", "title_pt": "its"})
+    assert _urls(keyword_filter(df, ["it's"])) == ["a"]
+    assert _urls(keyword_filter(df, ['"here"'])) == ["a"]
+
+
+def test_relevance_strict_is_whole_word(spark):
+    df = flat(
+        spark,
+        {"url": "inside", "title_pt": "oxigenes"},
+        {"url": "start", "title_pt": "Genes!"},
+        {"url": "end", "title_pt": "os genes"},
+        {"url": "plus", "title_pt": "c++ now"},
+    )
+    assert _urls(relevance_strict(df, ["genes", "c++"])) == ["end", "plus", "start"]
+
+
+def test_search_query_terms_and_phrases(spark):
+    df = flat(
+        spark,
+        {"url": "term", "title": "Genomics today"},
+        {"url": "phrase", "content": "on personalized\nmedicine  research."},
+        {"url": "part", "title": "epigenomics"},
+        {"url": "broken", "title": "personalized care, medicine research"},
+    )
+    terms = ["genomics", "personalized medicine research"]
+    assert _urls(search_query(df, terms)) == ["phrase", "term"]
+
+
+def test_dates_follow_the_string_in_any_zone(spark):
+    df = flat(spark, {"publishedAt": "2024-09-01T23:30:00Z"}, {"publishedAt": "n/a"}, {})
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            found = df.select(published_date().alias("d"), published_ts().cast("long").alias("t"))
+            assert rows(found) == [(None, None), (None, None), (dt.date(2024, 9, 1), 1725233400)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_article_schema_takes_a_batch_with_an_all_null_column(spark):
+    row = (("a", "b"), None, "t", None, None, None, None, None)
+    assert spark.createDataFrame([row], ARTICLE_SCHEMA).count() == 1

@@ -1,0 +1,162 @@
+import pytest
+
+from clipwire.operators import (
+    keyword_filter,
+    translate_enrich,
+    translate_texts,
+    translate_udf,
+    translation_pending,
+)
+from clipwire.plans import harmonize
+from clipwire.schema import ARTICLE_SCHEMA, MEMORY_SCHEMA
+from clipwire.session import is_small, scratch_dir
+from helpers import rows
+
+TEXT = "url string, title string, description string, content string"
+
+
+def _articles(spark):
+    return spark.createDataFrame(
+        [
+            ("1", "hello", "world", "hello"),
+            ("2", "hello", None, "other"),
+            ("3", None, None, None),
+            ("4", "", "world", "x"),
+            ("1", "hello", "world", "hello"),
+        ],
+        TEXT,
+    )
+
+
+def _memory(spark, *pairs):
+    return spark.createDataFrame(pairs or [("hello", "olá"), ("world", "mundo")], MEMORY_SCHEMA)
+
+
+@pytest.mark.parametrize("lookup", [True, False, None])
+def test_enrich(spark, lookup):
+    out = translate_enrich(_articles(spark), _memory(spark), lookup=lookup)
+    found = rows(
+        out, "url", "title_pt", "description_pt", "content_pt",
+        "title_translated", "description_translated", "content_translated",
+    )
+    assert found == [
+        ("1", "olá", "mundo", "olá", True, True, True),
+        ("1", "olá", "mundo", "olá", True, True, True),
+        ("2", "olá", None, "other", True, False, False),
+        ("3", None, None, None, False, False, False),
+        ("4", "", "mundo", "x", False, True, False),
+    ]
+    assert out.columns[:4] == ["url", "title", "description", "content"]
+
+
+@pytest.mark.parametrize("lookup", [True, False])
+def test_a_repeated_or_failed_memory_entry_does_no_harm(spark, lookup):
+    memory = _memory(spark, ("hello", "olá"), ("hello", "olá"), ("hello", "oi"), ("world", None))
+    out = translate_enrich(_articles(spark), memory, lookup=lookup)
+    assert out.count() == 5
+    assert ("1", "olá", "world", False) in rows(
+        out, "url", "title_pt", "description_pt", "description_translated"
+    )
+
+
+def test_pending_is_distinct_and_without_known_texts(spark):
+    memory = _memory(spark, ("hello", "olá"), ("x", None))
+    assert rows(translation_pending(_articles(spark), memory)) == [
+        ("",), ("other",), ("world",), ("x",),
+    ]
+
+
+def test_errors_go_to_their_own_column(spark):
+    def translate(text):
+        if text == "bad":
+            raise ValueError("no luck")
+        return text.upper()
+
+    texts = spark.createDataFrame([("a",), ("bad",)], "text string")
+    assert rows(translate_texts(texts, translate, parallelism=2)) == [
+        ("a", "A", None),
+        ("bad", None, "no luck"),
+    ]
+
+
+def test_udf_translates_only_what_the_memory_lacks(spark):
+    store = scratch_dir(spark, "store")
+    out = translate_udf(_articles(spark), lambda t: f"<{t}>", store, _memory(spark))
+    assert rows(out, "title_pt", "content_pt")[-1] == ("olá", "olá")
+    assert ("<>", "mundo", "<x>") in rows(out, "title_pt", "description_pt", "content_pt")
+    assert rows(spark.read.parquet(store), "text") == [("",), ("other",), ("x",)]
+
+
+def test_a_failed_translation_is_no_keyword_match(spark):
+    def translate(text):
+        raise ValueError("genes")
+
+    out = translate_udf(_articles(spark), translate, scratch_dir(spark, "failed"))
+    assert keyword_filter(out, ["genes"]).count() == 0
+
+
+def test_is_small_by_rows_and_bytes(spark):
+    df = spark.range(100).selectExpr("repeat('x', 100) AS text")
+    assert is_small(df)
+    assert not is_small(df, max_rows=99)
+    assert is_small(df, max_rows=100)
+    assert not is_small(df, max_bytes=5_000)
+
+
+@pytest.mark.parametrize("lookup", [True, False])
+def test_a_hot_text_and_a_hot_article_keep_every_row(spark, lookup):
+    # A third of the rows are one article; another third share their description.
+    df = spark.range(0, 60000, 1, 6).selectExpr(
+        "cast(id AS string) AS url",
+        "if(id % 3 = 0, 'hello', concat('t', id)) AS title",
+        "if(id % 3 = 2, concat('d', id), 'world') AS description",
+        "if(id % 3 = 0, 'same', concat('c', id)) AS content",
+        "sha2(cast(id AS string), 512) AS ballast",
+    )
+    conf = {
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = translate_enrich(df, _memory(spark), lookup=lookup)
+        found = out.selectExpr(
+            "count(*)", "count_if(title_translated)", "count_if(description_translated)",
+            "count_if(title_pt = 'olá')", "count_if(description_pt = 'mundo')", "count(DISTINCT url)",
+        ).first()
+        assert tuple(found) == (60000, 20000, 40000, 20000, 40000, 60000)
+        if not lookup:
+            assert out.toPandas().shape[0] == 60000
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            # Both the join of the texts and the join of the articles are split.
+            assert plan[: plan.index("Initial Plan")].count("skew=true") == 2
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_harmonize_takes_latest_relevant_copy(spark):
+    def article(url, title, content, published, author="a"):
+        return (("s", "S"), author, title, None, url, None, published, content)
+
+    raw = spark.createDataFrame(
+        [
+            article("1", "hello", "genes", "2024-01-01T00:00:00Z"),
+            article("2", "hello", "x", "2024-01-02T00:00:00Z"),
+            article("3", "world", "about DNA", "2024-01-01T00:00:00Z", None),
+            article("4", "world", "about dna", "2024-01-03T00:00:00Z", None),
+            article("5", "gene", "y", "2024-01-01T00:00:00Z"),
+        ],
+        ARTICLE_SCHEMA,
+    )
+    memory = _memory(spark, ("gene", "os genes"), ("hello", "olá"))
+    for lookup in (True, False):
+        out = harmonize(raw, memory, lookup=lookup)
+        # The newer copy of "hello" is not relevant, so the older one stays.
+        assert rows(out, "url", "title_pt") == [("1", "olá"), ("4", "world"), ("5", "os genes")]
+        assert "source" not in out.columns and {"source_id", "source_name"} <= set(out.columns)
