@@ -291,6 +291,15 @@ FROM (
         )
         + f"""SELECT {_ID}, source_id, source_name, {_TRANSLATED_COLUMNS}
 FROM {_latest('relevant')} AS a""",
+        "collect_history": art
+        + f"""SELECT {_ID}, popularity, {_FROM_DATE} FROM articles
+WHERE {_IN_WINDOWS} AND {_whole_word(P.SEARCH, ("description", "content", "title"))}
+QUALIFY row_number() OVER (PARTITION BY published_day ORDER BY popularity DESC, url)
+  <= {6 * P.PAGE_SIZE}""",
+        "collect_recent": art
+        + f"""SELECT {_ID}, popularity, '2024-01-31' AS from_date FROM articles
+WHERE {_PRODUCED} AND {_whole_word(P.SEARCH, ("description", "content", "title"))}
+ORDER BY popularity DESC, url LIMIT {P.PAGE_SIZE}""",
         "aggregate_all": art + _tall("articles", _match(P.KEYWORDS)),
         "daily_job": _with(
             _ARTICLES,
@@ -302,6 +311,8 @@ FROM {_latest('relevant')} AS a""",
         + _tall("harmonized", _match(P.KEYWORDS, _PT)),
     }
     sql["dedup_max_by"] = sql["dedup_latest"]
+    sql["translate_enrich_few"] = sql["translate_enrich"]
     sql["translate_enrich_large"] = sql["translate_enrich"]
+    sql["translation_pending_large"] = sql["translation_pending"]
     sql["harmonize_large"] = sql["harmonize"]
     return sql

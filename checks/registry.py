@@ -202,10 +202,21 @@ def translate_enrich(spark, sf):
     return enriched.select("url", *_TRANSLATED)
 
 
+@query
+def translate_enrich_few(spark, sf):
+    """The way taken for few articles when the memory is too big to broadcast."""
+    enriched = ops.translate_enrich(
+        article_texts(spark, sf), memory(spark, sf), lookup=False, few=True
+    )
+    return enriched.select("url", *_TRANSLATED)
+
+
 @query
 def translate_enrich_large(spark, sf):
-    """The way taken when the memory is too big to broadcast."""
-    enriched = ops.translate_enrich(article_texts(spark, sf), memory(spark, sf), lookup=False)
+    """The way taken when neither the memory nor the articles may be broadcast."""
+    enriched = ops.translate_enrich(
+        article_texts(spark, sf), memory(spark, sf), lookup=False, few=False
+    )
     return enriched.select("url", *_TRANSLATED)
 
 
@@ -214,6 +225,12 @@ def translation_pending(spark, sf):
     return ops.translation_pending(article_texts(spark, sf), memory(spark, sf))
 
 
+@query
+def translation_pending_large(spark, sf):
+    """The way taken when the memory is too big to broadcast."""
+    return ops.translation_pending(article_texts(spark, sf), memory(spark, sf), lookup=False)
+
+
 def _demo_translator():
     def translate(text):
         if "license" in text:
@@ -397,6 +414,28 @@ def stream_counts_by_day(spark, sf):
 # Whole jobs
 
 
+@query
+def collect_history(spark, sf):
+    history = plans.collect_history(
+        articles(spark, sf), P.TODAY, "popularity", P.SEARCH, page_size=P.PAGE_SIZE
+    )
+    return history.select(*_ID, "popularity", _date_text())
+
+
+@query
+def collect_recent(spark, sf):
+    recent = plans.collect_recent(
+        articles(spark, sf),
+        P.PRODUCER_TO,
+        "popularity",
+        P.SEARCH,
+        P.PRODUCER_DAYS,
+        P.PAGE_SIZE,
+        from_date=P.STAMP,
+    )
+    return recent.select(*_ID, "popularity", _date_text())
+
+
 @query
 def harmonize(spark, sf):
     harmonized = plans.harmonize(articles(spark, sf), memory(spark, sf), P.PT_KEYWORDS)
@@ -405,9 +444,9 @@ def harmonize(spark, sf):
 
 @query
 def harmonize_large(spark, sf):
-    """The way taken when the translation memory is too big to broadcast."""
+    """The way taken when neither the memory nor the articles may be broadcast."""
     harmonized = plans.harmonize(
-        articles(spark, sf), memory(spark, sf), P.PT_KEYWORDS, lookup=False
+        articles(spark, sf), memory(spark, sf), P.PT_KEYWORDS, lookup=False, few=False
     )
     return harmonized.select(*_ID, "source_id", "source_name", *_TRANSLATED)
 

@@ -22,6 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def article_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text side of the articles. It needs no join, as it has no time."""
     text = F.col("text")
+    second_line = F.substring_index(F.substring_index(text, "\n", 2), "\n", -1)
     return table(spark, sf_dir, "documents").select(
         "doc_id",
         "lang",
@@ -30,8 +31,8 @@ def article_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("source").alias("name"),
         ).alias("source"),
         F.when(F.col("n_chars") >= 800, F.concat("lang", F.lit(" desk"))).alias("author"),
-        F.split_part(text, F.lit("\n"), F.lit(1)).alias("title"),
-        F.nullif(F.split_part(text, F.lit("\n"), F.lit(2)), F.lit("")).alias("description"),
+        F.substring_index(text, "\n", 1).alias("title"),
+        F.when(text.contains("\n") & (second_line != ""), second_line).alias("description"),
         F.concat(F.lit("https://news.example/"), F.col("doc_id")).alias("url"),
         text.alias("content"),
     )

@@ -21,6 +21,10 @@ def _digest(column: Column | str) -> Column:
     return F.unhex(F.sha2(column, 256))
 
 
+def _memory_key() -> Column:
+    return F.coalesce(_digest("text"), F.lit(b""))
+
+
 def _by_lookup(df: DataFrame, memory: DataFrame, columns: Sequence[str]) -> DataFrame:
     # One entry per text, so that no article is multiplied.
     lookup = _known(memory, F.col("text")).groupBy("_key").agg(F.max("_pt").alias("_pt"))
@@ -30,7 +34,9 @@ def _by_lookup(df: DataFrame, memory: DataFrame, columns: Sequence[str]) -> Data
     return df
 
 
-def _by_digest(df: DataFrame, memory: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _by_digest(
+    df: DataFrame, memory: DataFrame, columns: Sequence[str], few: bool
+) -> DataFrame:
     digests = [f"_digest_{c}" for c in columns]
     present = [F.coalesce(F.hex(d), F.lit("")) for d in digests]
     # Articles with the same texts share a row key, and so their translations.
@@ -43,7 +49,7 @@ def _by_digest(df: DataFrame, memory: DataFrame, columns: Sequence[str]) -> Data
     wanted = (
         keyed.select("_row", F.inline(F.array(*fields))).where(F.col("_key").isNotNull()).distinct()
     )
-    found = wanted.join(_known(memory, F.coalesce(_digest("text"), F.lit(b""))), "_key")
+    found = _known(memory, _memory_key()).join(F.broadcast(wanted) if few else wanted, "_key")
     # The grouping also settles texts that the memory holds more than once.
     per_row = found.groupBy("_row").agg(
         *[
@@ -62,19 +68,26 @@ def translate_enrich(
     memory: DataFrame,
     columns: Sequence[str] = TEXT_COLUMNS,
     lookup: bool | None = None,
+    few: bool | None = None,
 ) -> DataFrame:
     """Add ``<column>_pt`` and ``<column>_translated`` from ``memory(text, text_pt)``.
 
     A text without translation stays as it is with the flag false; null stays null.
 
     A memory proven small is broadcast and articles are not shuffled. Otherwise
-    digests of the texts, 32 bytes each, are joined to the memory, and articles are
+    digests of the texts, 32 bytes each, are joined to the memory: broadcast to it if
+    the articles are proven few, as in a daily load, and else shuffled. The articles are
     shuffled once to meet their translations, rather than once per column. ``lookup``
-    overrides the size check. Hot texts are split by AQE's skew join on either join.
+    and ``few`` override the two size checks. AQE's skew join splits hot texts.
     """
     if lookup is None:
         lookup = is_small(memory.select("text", "text_pt"))
-    found = (_by_lookup if lookup else _by_digest)(df, memory, columns)
+    if lookup:
+        found = _by_lookup(df, memory, columns)
+    else:
+        if few is None:
+            few = is_small(df.select(*[_digest(c).alias(c) for c in columns]))
+        found = _by_digest(df, memory, columns, few)
     added = []
     for c in columns:
         added.append(F.coalesce(F.col(f"_pt_{c}"), F.col(c)).alias(f"{c}_pt"))
@@ -84,16 +97,36 @@ def translate_enrich(
 
 def source_texts(df: DataFrame, columns: Sequence[str] = TEXT_COLUMNS) -> DataFrame:
     """The distinct texts of all text columns, as ``text``."""
+    return _texts(df, columns).distinct()
+
+
+def _texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     texts = df.select(F.explode(F.array(*columns)).alias("text"))
-    return texts.where(F.col("text").isNotNull()).distinct()
+    return texts.where(F.col("text").isNotNull())
 
 
 def translation_pending(
-    df: DataFrame, memory: DataFrame, columns: Sequence[str] = TEXT_COLUMNS
+    df: DataFrame,
+    memory: DataFrame,
+    columns: Sequence[str] = TEXT_COLUMNS,
+    lookup: bool | None = None,
 ) -> DataFrame:
-    """Distinct source texts that the memory has no translation for."""
-    known = memory.where(F.col("text_pt").isNotNull()).select("text").distinct()
-    return source_texts(df, columns).join(known, "text", "left_anti")
+    """Distinct source texts that the memory has no translation for.
+
+    A memory proven small is broadcast, and only texts not in it are shuffled. Otherwise
+    of the memory only digests are shuffled, and each task merges repeated texts first.
+    """
+    if lookup is None:
+        lookup = is_small(memory.select("text"))
+    if lookup:
+        known = _known(memory, F.col("text")).select("_key").distinct()
+        texts = _texts(df, columns)
+        return texts.join(
+            F.broadcast(known), F.col("text") == F.col("_key"), "left_anti"
+        ).distinct()
+    known = _known(memory, _memory_key()).select("_key").distinct()
+    texts = _texts(df, columns).groupBy(_digest("text").alias("_key")).agg(F.min("text").alias("text"))
+    return texts.join(known, "_key", "left_anti").select("text")
 
 
 def translate_texts(
@@ -142,7 +175,10 @@ def translate_udf(
     function again. That table can serve as the next run's memory.
     """
     spark = df.sparkSession
-    texts = source_texts(df, columns) if memory is None else translation_pending(df, memory, columns)
+    if memory is None:
+        texts = source_texts(df, columns)
+    else:
+        texts = translation_pending(df, memory, columns)
     translate_texts(texts, translate, parallelism).write.format(fmt).mode("overwrite").save(store)
     added = spark.read.format(fmt).load(store).select("text", "text_pt")
     if memory is not None:

@@ -20,9 +20,13 @@ def harmonize(
     keywords: Sequence[str] = RELEVANCE_KEYWORDS,
     tie: Sequence[str] = ("url",),
     lookup: bool | None = None,
+    few: bool | None = None,
 ) -> DataFrame:
-    """Flatten, translate, keep relevant articles, keep the latest of each."""
-    translated = translate_enrich(flatten_source(raw), memory, lookup=lookup)
+    """Flatten, translate, keep relevant articles, keep the latest of each.
+
+    ``lookup`` and ``few`` are those of ``translate_enrich``.
+    """
+    translated = translate_enrich(flatten_source(raw), memory, lookup=lookup, few=few)
     return dedup_latest(keyword_filter(translated, keywords), tie=tie)
 
 

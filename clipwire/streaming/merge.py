@@ -16,7 +16,12 @@ from clipwire.operators.dedup import dedup_latest
 from clipwire.operators.windows import stamp_from_date
 from clipwire.schema import ARTICLE_KEYS, RAW_SCHEMA
 from clipwire.session import is_small
-from clipwire.sources.tables import DEFAULT_FORMAT, load_table, write_partition_append
+from clipwire.sources.tables import (
+    DEFAULT_FORMAT,
+    load_table,
+    write_overwrite,
+    write_partition_append,
+)
 from clipwire.streaming.articles import available_now
 
 
@@ -67,9 +72,9 @@ def stream_stage_merge(
 ) -> StreamingQuery:
     """Insert a stream of articles into the table at ``target`` without duplicates.
 
-    Each micro-batch is first written to its own folder below ``staging``, then checked
-    and inserted from there. A batch that runs again after a failure replaces its
-    staging folder and inserts only what is still missing.
+    Each micro-batch is first written to ``staging``, in place of the one before, then
+    checked and inserted from there. A batch that runs again after a failure is staged
+    anew and inserts only what is still missing. Each query needs its own ``staging``.
     """
     spark = articles.sparkSession
     # An empty table of the right shape, unless one is there.
@@ -78,9 +83,8 @@ def stream_stage_merge(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        folder = f"{staging}/batch_id={batch_id}"
-        batch.write.format(fmt).mode("overwrite").save(folder)
-        staged = load_table(session, folder, fmt, batch.schema)
+        write_overwrite(batch, staging, fmt)
+        staged = load_table(session, staging, fmt, batch.schema)
         stored = load_table(session, target, fmt, schema)
         write_partition_append(
             stamp_from_date(new_articles(staged, stored, keys, tie), from_date), target, fmt

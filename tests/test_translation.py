@@ -32,9 +32,12 @@ def _memory(spark, *pairs):
     return spark.createDataFrame(pairs or [("hello", "olá"), ("world", "mundo")], MEMORY_SCHEMA)
 
 
-@pytest.mark.parametrize("lookup", [True, False, None])
-def test_enrich(spark, lookup):
-    out = translate_enrich(_articles(spark), _memory(spark), lookup=lookup)
+WAYS = [(True, None), (False, True), (False, False), (False, None), (None, None)]
+
+
+@pytest.mark.parametrize("lookup,few", WAYS)
+def test_enrich(spark, lookup, few):
+    out = translate_enrich(_articles(spark), _memory(spark), lookup=lookup, few=few)
     found = rows(
         out, "url", "title_pt", "description_pt", "content_pt",
         "title_translated", "description_translated", "content_translated",
@@ -49,19 +52,20 @@ def test_enrich(spark, lookup):
     assert out.columns[:4] == ["url", "title", "description", "content"]
 
 
-@pytest.mark.parametrize("lookup", [True, False])
-def test_a_repeated_or_failed_memory_entry_does_no_harm(spark, lookup):
+@pytest.mark.parametrize("lookup,few", WAYS)
+def test_a_repeated_or_failed_memory_entry_does_no_harm(spark, lookup, few):
     memory = _memory(spark, ("hello", "olá"), ("hello", "olá"), ("hello", "oi"), ("world", None))
-    out = translate_enrich(_articles(spark), memory, lookup=lookup)
+    out = translate_enrich(_articles(spark), memory, lookup=lookup, few=few)
     assert out.count() == 5
     assert ("1", "olá", "world", False) in rows(
         out, "url", "title_pt", "description_pt", "description_translated"
     )
 
 
-def test_pending_is_distinct_and_without_known_texts(spark):
-    memory = _memory(spark, ("hello", "olá"), ("x", None))
-    assert rows(translation_pending(_articles(spark), memory)) == [
+@pytest.mark.parametrize("lookup", [True, False, None])
+def test_pending_is_distinct_and_without_known_texts(spark, lookup):
+    memory = _memory(spark, ("hello", "olá"), ("hello", "oi"), ("x", None))
+    assert rows(translation_pending(_articles(spark), memory, lookup=lookup)) == [
         ("",), ("other",), ("world",), ("x",),
     ]
 
@@ -124,7 +128,7 @@ def test_a_hot_text_and_a_hot_article_keep_every_row(spark, lookup):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        out = translate_enrich(df, _memory(spark), lookup=lookup)
+        out = translate_enrich(df, _memory(spark), lookup=lookup, few=False)
         found = out.selectExpr(
             "count(*)", "count_if(title_translated)", "count_if(description_translated)",
             "count_if(title_pt = 'olá')", "count_if(description_pt = 'mundo')", "count(DISTINCT url)",
@@ -155,8 +159,19 @@ def test_harmonize_takes_latest_relevant_copy(spark):
         ARTICLE_SCHEMA,
     )
     memory = _memory(spark, ("gene", "os genes"), ("hello", "olá"))
-    for lookup in (True, False):
-        out = harmonize(raw, memory, lookup=lookup)
+    for lookup, few in WAYS:
+        out = harmonize(raw, memory, lookup=lookup, few=few)
         # The newer copy of "hello" is not relevant, so the older one stays.
         assert rows(out, "url", "title_pt") == [("1", "olá"), ("4", "world"), ("5", "os genes")]
         assert "source" not in out.columns and {"source_id", "source_name"} <= set(out.columns)
+
+
+def test_few_articles_do_not_shuffle_the_memory(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = translate_enrich(_articles(spark), _memory(spark), lookup=False, few=True)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin [_key" in plan
