@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 RECOMMENDED_CONF = {
     # Day parts follow the UTC calendar of the ISO timestamps.
@@ -62,11 +63,16 @@ def is_small(
     """True if ``df`` is proven to stay within both bounds, so it may be broadcast.
 
     Reads row sizes only, partition by partition, and stops one row past the bound: a
-    huge table is found out in its first partitions.
+    huge table is found out in its first partitions. Arrays, maps and structs have no
+    known size, so a frame with such a column is never small.
     """
     row_bytes = F.lit(0).cast("bigint")
-    for name, dtype in df.dtypes:
-        size = F.octet_length(F.col(f"`{name}`")) if dtype in ("string", "binary") else F.lit(16)
-        row_bytes = row_bytes + F.coalesce(size, F.lit(0)) + F.lit(16)
+    for field in df.schema:
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return False
+        size = F.lit(16)
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size += F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+        row_bytes += size
     sizes = df.select(row_bytes.alias("row_bytes")).take(max_rows + 1)
     return len(sizes) <= max_rows and sum(r["row_bytes"] for r in sizes) <= max_bytes

@@ -60,7 +60,12 @@ def append_raw(
     trigger: dict | None = None,
     fmt: str = DEFAULT_FORMAT,
 ) -> StreamingQuery:
-    """Append a stream of articles to the raw table, stamped with the ingestion day."""
+    """Append a stream of articles to the raw table, stamped with the ingestion day.
+
+    A Parquet table filled this way belongs to the stream: readers trust the stream's
+    own file list and would miss rows added by other jobs. To share the table with
+    batch jobs, use ``stream_stage_merge`` or the Delta format.
+    """
     return (
         stamp_from_date(articles)
         .writeStream.format(fmt)

@@ -105,6 +105,7 @@ def test_is_small_by_rows_and_bytes(spark):
     assert not is_small(df, max_rows=99)
     assert is_small(df, max_rows=100)
     assert not is_small(df, max_bytes=5_000)
+    assert not is_small(df.selectExpr("array(text) AS texts"))
 
 
 @pytest.mark.parametrize("lookup", [True, False])
