@@ -15,7 +15,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from checks.registry import registered  # noqa: E402
+from clipwire.checks.registry import registered  # noqa: E402
 from clipwire.session import build_session  # noqa: E402
 
 HEADLINE = """

@@ -1,4 +1,4 @@
-"""Run registered queries beside their SQL twins: python -m checks.compare [sf] [names]."""
+"""Run registered queries beside their SQL twins: python -m clipwire.checks.compare [sf] [names]."""
 
 from __future__ import annotations
 
@@ -8,8 +8,8 @@ from collections import Counter
 
 import duckdb
 
-from checks.oracle import oracles
-from checks.registry import registered
+from clipwire.checks.oracle import oracles
+from clipwire.checks.registry import registered
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks import params as P
+from clipwire.checks import params as P
 
 _ARTICLES = """
 articles AS (

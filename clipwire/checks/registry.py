@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import params as P
-from checks.views import (
+from clipwire.checks import params as P
+from clipwire.checks.views import (
     article_payloads,
     article_texts,
     articles,

@@ -62,7 +62,17 @@ def whole_word_pattern(terms: Sequence[str]) -> str:
 def whole_word_match(terms: Sequence[str], columns: Sequence[str]) -> Column:
     """True if any term stands as whole words, in any case, in any of ``columns``."""
     pattern = whole_word_pattern(terms)
-    return any_of([F.lower(c).rlike(pattern) for c in columns])
+    # A text without the longest word of any term needs no regex.
+    hints = sorted({max(t.lower().split(), key=len) for t in terms})
+    return any_of(
+        [
+            F.exists(
+                F.array(F.lower(c)),
+                lambda t: any_of([t.contains(w) for w in hints]) & t.rlike(pattern),
+            )
+            for c in columns
+        ]
+    )
 
 
 def occurrences(column: str, keyword: str) -> Column:

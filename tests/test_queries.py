@@ -3,9 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry_point
-from checks.compare import connect, difference
-from checks.oracle import oracles
-from checks.registry import registered
+from clipwire.checks.compare import connect, difference
+from clipwire.checks.oracle import oracles
+from clipwire.checks.registry import registered
 
 
 @pytest.fixture(scope="module", params=["0.001", "0.01"])
