@@ -24,9 +24,12 @@ def stream_dedup(
 ) -> DataFrame:
     """The first seen article of each key, among those at most ``delay`` apart.
 
-    Articles older than the watermark are late, and Spark drops them. Repeats are first
-    dropped within ``slices`` of each key, by input partition, so the task that settles
-    a hot key gets few of its rows.
+    Articles older than the watermark are late, and Spark drops them. One without a valid
+    time is never late, but is forgotten at once, so its repeats in later batches pass;
+    ``stream_stage_merge`` has no such limit.
+
+    Repeats are first dropped within ``slices`` of each key, by input partition, so the
+    task that settles a hot key gets few of its rows.
     """
     timed = with_event_time(articles, delay)
     sliced = timed.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(slices)))

@@ -17,6 +17,7 @@ from clipwire.sources import (
     write_partition_append,
     write_partition_overwrite,
 )
+from clipwire.sources.tables import _by_partition
 from helpers import rows
 
 DAY = dt.date(2024, 1, 1)
@@ -137,3 +138,8 @@ def test_daily_job(spark):
     ]
     assert rows(spark.read.parquet(paths["source_author_aggregation"])) == [("S", None, 2)]
     assert daily_job(spark, f"{out}/raw", f"{out}/memory", out) == paths
+
+
+def test_writes_are_rebalanced_by_day(spark):
+    plan = _by_partition(_raw(spark, DAY, "a"))._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
