@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clipwire import operators as ops
 from clipwire import plans, sources, streaming
-from clipwire.schema import COUNT_KEYWORDS, MEMORY_SCHEMA, RAW_SCHEMA, RELEVANCE_KEYWORDS
+from clipwire.schema import COUNT_KEYWORDS, MEMORY_SCHEMA, RELEVANCE_KEYWORDS
 from clipwire.session import build_session
 
 
@@ -22,12 +22,14 @@ def _parser() -> argparse.ArgumentParser:
     history = jobs.add_parser("history", help="load payload files of past days into the raw table")
     history.add_argument("--payloads", required=True)
     history.add_argument("--raw", required=True)
+    history.add_argument("--rejects", help="table for malformed payloads")
 
     recent = jobs.add_parser("recent", help="insert new payload files into the raw table")
     recent.add_argument("--payloads", required=True)
     recent.add_argument("--raw", required=True)
     recent.add_argument("--staging", required=True)
     recent.add_argument("--checkpoint", required=True)
+    recent.add_argument("--rejects", help="table for malformed payloads")
     recent.add_argument("--hourly", action="store_true", help="stay up and load every hour")
 
     pending = jobs.add_parser("pending", help="list the texts that wait for a translation")
@@ -47,6 +49,9 @@ def _parser() -> argparse.ArgumentParser:
     words.add_argument("--harmonized", required=True)
     words.add_argument("--out", required=True)
     words.add_argument("--accents", action="store_true", help="keep words with accents")
+
+    counts = jobs.add_parser("counts", help="show the rows of tables by day")
+    counts.add_argument("tables", nargs="+", help="paths of tables")
     return parser
 
 
@@ -59,19 +64,31 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
             articles = ops.stamp_from_date(articles)
         dated = articles.withColumn("from_date", F.col("from_date").cast("date"))
         sources.write_partition_overwrite(dated, args.raw, args.fmt)
+        if args.rejects:
+            rejects = sources.rejected_payloads(payloads)
+            sources.write_overwrite(rejects, args.rejects, args.fmt)
     elif args.job == "recent":
         payloads = streaming.file_payloads(spark, args.payloads)
         trigger = streaming.hourly_batches() if args.hourly else streaming.available_now()
-        streaming.stream_stage_merge(
-            streaming.stream_articles(payloads),
-            args.raw,
-            args.staging,
-            args.checkpoint,
-            trigger=trigger,
-            fmt=args.fmt,
-        ).awaitTermination()
+        queries = [
+            streaming.stream_stage_merge(
+                streaming.stream_articles(payloads),
+                args.raw,
+                args.staging,
+                f"{args.checkpoint}/articles",
+                trigger=trigger,
+                fmt=args.fmt,
+            )
+        ]
+        if args.rejects:
+            checkpoint = f"{args.checkpoint}/rejects"
+            queries.append(
+                streaming.append_rejects(payloads, args.rejects, checkpoint, trigger, args.fmt)
+            )
+        for query in queries:
+            query.awaitTermination()
     elif args.job == "pending":
-        raw = sources.load_table(spark, args.raw, args.fmt, RAW_SCHEMA)
+        raw = sources.load_table(spark, args.raw, args.fmt)
         memory = sources.load_table(spark, args.memory, args.fmt, MEMORY_SCHEMA)
         sources.write_overwrite(ops.translation_pending(raw, memory), args.out, args.fmt)
     elif args.job == "daily":
@@ -89,6 +106,9 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
         harmonized = sources.load_table(spark, args.harmonized, args.fmt)
         count = ops.zipf_word_freq if args.accents else ops.word_count
         sources.write_overwrite(count(harmonized), args.out, args.fmt)
+    elif args.job == "counts":
+        tables = {path: sources.load_table(spark, path, args.fmt) for path in args.tables}
+        ops.table_counts(tables).orderBy("table_name", "from_date").show(1000, truncate=False)
 
 
 if __name__ == "__main__":

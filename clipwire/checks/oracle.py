@@ -278,6 +278,9 @@ FROM (
   FROM freqs {_TOP} 10
 ) AS top""",
         "stream_articles": _with(_ARTICLES, _WIRED) + f"SELECT {_ID}, content FROM wired",
+        "stream_rejects": "SELECT value FROM "
+        "(SELECT unnest(string_split(html, chr(10))) AS value FROM pages) AS lines "
+        "WHERE value <> ''",
         "stream_stage_merge": _with(_ARTICLES, _WIRED)
         + f"SELECT {_ID}, content FROM {_latest('wired')} AS a",
         "stream_dedup": _with(_ARTICLES, _WIRED) + "SELECT DISTINCT author, title FROM wired",

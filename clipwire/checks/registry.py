@@ -24,7 +24,6 @@ from clipwire.schema import (
     DAY_TABLE,
     HARMONIZED_TABLE,
     KEYWORD_TABLE,
-    MAX_PAGES,
     SOURCE_AUTHOR_TABLE,
 )
 from clipwire.session import scratch_dir
@@ -382,6 +381,17 @@ def stream_articles(spark, sf):
     return sources.load_table(spark, f"{folder}/raw").select(*_ID, "content")
 
 
+@query
+def stream_rejects(spark, sf):
+    folder = scratch_dir(spark, "stream-rejects")
+    mixed_payloads(spark, sf).write.text(f"{folder}/landing")
+    payloads = streaming.file_payloads(spark, f"{folder}/landing", P.FILES_PER_BATCH)
+    streaming.append_rejects(
+        payloads, f"{folder}/rejects", f"{folder}/checkpoint"
+    ).awaitTermination()
+    return sources.load_table(spark, f"{folder}/rejects").select("value")
+
+
 @query
 def stream_stage_merge(spark, sf):
     stream, folder = _payload_stream(spark, sf, "stream-merge")

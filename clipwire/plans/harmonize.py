@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clipwire.operators.articles import flatten_source, keyword_filter
 from clipwire.operators.dedup import dedup_latest
 from clipwire.operators.translation import translate_enrich
-from clipwire.schema import MEMORY_SCHEMA, RAW_SCHEMA, RELEVANCE_KEYWORDS
+from clipwire.schema import MEMORY_SCHEMA, RELEVANCE_KEYWORDS
 from clipwire.sources.tables import DEFAULT_FORMAT, load_table, write_overwrite
 
 
@@ -39,10 +39,10 @@ def run_harmonize(
     since: dt.date | None = None,
     fmt: str = DEFAULT_FORMAT,
 ) -> None:
-    """Build the harmonized table anew from the raw table.
+    """Build the harmonized table anew from the raw table, with all its columns.
 
     ``since`` restricts the raw partitions read. The output is then made of those alone.
     """
-    raw = load_table(spark, raw_path, fmt, RAW_SCHEMA, since)
+    raw = load_table(spark, raw_path, fmt, since=since)
     memory = load_table(spark, memory_path, fmt, MEMORY_SCHEMA)
     write_overwrite(harmonize(raw, memory, keywords), out_path, fmt)

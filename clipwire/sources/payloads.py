@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipwire.schema import CORRUPT_COLUMN, PAYLOAD_SCHEMA
@@ -25,7 +25,7 @@ def _parsed(payloads: DataFrame, value: str) -> DataFrame:
     return payloads.withColumn("_payload", F.from_json(value, PAYLOAD_SCHEMA, _PERMISSIVE))
 
 
-def _is_corrupt() -> F.Column:
+def _is_corrupt() -> Column:
     return F.col(f"_payload.{CORRUPT_COLUMN}").isNotNull()
 
 
@@ -42,6 +42,7 @@ def ingest_articles(payloads: DataFrame, value: str = "value") -> DataFrame:
     return (
         _parsed(payloads, value)
         .select(*others, F.explode(found).alias("_article"))
+        .where(F.col("_article").isNotNull())
         .select("_article.*", *others)
     )
 

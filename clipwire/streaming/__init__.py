@@ -2,6 +2,7 @@
 
 from clipwire.streaming.articles import (
     append_raw,
+    append_rejects,
     available_now,
     file_payloads,
     hourly_batches,
@@ -14,6 +15,7 @@ from clipwire.streaming.merge import new_articles, stream_stage_merge
 
 __all__ = [
     "append_raw",
+    "append_rejects",
     "available_now",
     "file_payloads",
     "hourly_batches",

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clipwire.operators.windows import stamp_from_date
 from clipwire.schema import PARTITION_COLUMN
-from clipwire.sources.payloads import ingest_articles
+from clipwire.sources.payloads import ingest_articles, rejected_payloads
 from clipwire.sources.tables import DEFAULT_FORMAT
 
 # Fixed value: the topic the payloads are sent to, one whole payload per message.
@@ -43,6 +43,24 @@ def stream_articles(payloads: DataFrame) -> DataFrame:
     return ingest_articles(payloads)
 
 
+def append_rejects(
+    payloads: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    fmt: str = DEFAULT_FORMAT,
+) -> StreamingQuery:
+    """Append the malformed payloads of a stream to a table of their own."""
+    return (
+        rejected_payloads(payloads)
+        .writeStream.format(fmt)
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or available_now()))
+        .start(path)
+    )
+
+
 def hourly_batches() -> dict[str, str]:
     """Trigger for a query that stays up and loads once an hour."""
     return {"processingTime": "1 hour"}

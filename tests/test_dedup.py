@@ -78,3 +78,16 @@ def test_only_one_row_per_key_leaves_a_map_task(spark):
     plan = dedup_latest(flat(spark, {"url": "1"}))._jdf.queryExecution().executedPlan().toString()
     before_shuffle = plan[plan.index("Exchange") :]
     assert "WindowGroupLimit" in before_shuffle and "Partial" in before_shuffle
+
+
+def test_a_hot_key_loses_no_other_row(spark):
+    # Every third row is a copy of one article, spread over all input partitions.
+    df = spark.range(0, 30000, 1, 12).selectExpr(
+        "cast(id AS string) AS url",
+        "if(id % 3 = 0, NULL, 'a') AS author",
+        "if(id % 3 = 0, 'hot', concat('t', id)) AS title",
+        "date_format(timestamp_seconds(id), \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS publishedAt",
+    )
+    for out in (dedup_latest(df), dedup_max_by(df)):
+        assert out.count() == 20001
+        assert rows(out.where("title = 'hot'"), "url") == [("29997",)]

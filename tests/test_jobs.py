@@ -12,25 +12,32 @@ def _payload(*articles):
     return json.dumps({"articles": [dict(zip(names, a)) for a in articles]}) + "\n"
 
 
-def test_jobs_from_payload_files_to_words(spark, tmp_path):
+def test_jobs_from_payload_files_to_words(spark, tmp_path, capsys):
     out = scratch_dir(spark, "jobs")
     past = tmp_path / "past" / "from_date=2024-01-01"
     past.mkdir(parents=True)
     old = ("Novos genes", "a", "2024-01-01T08:00:00Z", "1", "raro gene raro ação")
-    (past / "page.json").write_text(_payload(old, ("Clima", None, "2024-01-01T09:00:00Z", "2", "x")))
-    run(spark, ["history", "--payloads", str(tmp_path / "past"), "--raw", f"{out}/raw"])
+    page = _payload(old, ("Clima", None, "2024-01-01T09:00:00Z", "2", "x"))
+    (past / "page.json").write_text(page + "oops\n")
+    history = ["history", "--payloads", str(tmp_path / "past"), "--raw", f"{out}/raw"]
+    run(spark, [*history, "--rejects", f"{out}/rejects"])
+    assert rows(spark.read.parquet(f"{out}/rejects"), "value") == [("oops",)]
     raw = spark.read.parquet(f"{out}/raw")
     assert rows(raw, "url", "from_date") == [("1", dt.date(2024, 1, 1)), ("2", dt.date(2024, 1, 1))]
 
     new = tmp_path / "new"
     new.mkdir()
-    (new / "page.json").write_text(_payload(old, ("DNA", None, "2024-01-02T08:00:00Z", "3", "raro")))
+    page = _payload(old, ("DNA", None, "2024-01-02T08:00:00Z", "3", "raro"))
+    (new / "page.json").write_text(page + "{oops\n")
     recent = ["recent", "--payloads", str(new), "--raw", f"{out}/raw"]
     recent += ["--staging", f"{out}/staging", "--checkpoint", f"{out}/checkpoint"]
+    recent += ["--rejects", f"{out}/new-rejects"]
     run(spark, recent)
     run(spark, recent)
     assert rows(spark.read.parquet(f"{out}/raw"), "url") == [("1",), ("2",), ("3",)]
 
+    assert rows(spark.read.parquet(f"{out}/new-rejects"), "value") == [("{oops",)]
+
     memory = spark.createDataFrame([("raro", "raríssimo"), ("x", "y")], MEMORY_SCHEMA)
     memory.write.parquet(f"{out}/memory")
     tables = ["--raw", f"{out}/raw", "--memory", f"{out}/memory"]
@@ -51,3 +58,6 @@ def test_jobs_from_payload_files_to_words(spark, tmp_path):
     run(spark, [*words, f"{out}/accents", "--accents"])
     assert rows(spark.read.parquet(f"{out}/words")) == [("gene", 1), ("raro", 2)]
     assert ("ação", 1) in rows(spark.read.parquet(f"{out}/accents"))
+
+    run(spark, ["counts", f"{out}/raw", f"{out}/harmonized"])
+    assert "2024-01-01" in capsys.readouterr().out

@@ -47,6 +47,8 @@ def test_ingest_takes_all_articles_and_only_good_payloads(spark):
         '{"status": "ok"}',
         "{}",
         "not json",
+        '{"articles": [null]}',
+        '{"status": "error", "code": "rateLimited"}',
         '{"articles": "text"}',
         '{"articles": [{"title": ',
         None,
@@ -82,6 +84,20 @@ def test_payload_over_many_lines(spark, tmp_path):
     assert ingest_articles(read_payload_files(spark, str(tmp_path), whole_files=True)).count() == 1
 
 
+def test_daily_job_takes_a_map_source_and_keeps_other_columns(spark):
+    out = scratch_dir(spark, "inferred")
+    raw = spark.createDataFrame(
+        [({"id": None, "name": "S"}, "a", "genes", None, "2024-01-01T00:00:00Z", None, "u", "more", "2024-01-01")],
+        "source map<string,string>, author string, title string, description string, "
+        "publishedAt string, content string, url string, extra string, from_date string",
+    )
+    write_partition_append(raw, f"{out}/raw")
+    write_overwrite(spark.createDataFrame([], MEMORY_SCHEMA), f"{out}/memory")
+    paths = daily_job(spark, f"{out}/raw", f"{out}/memory", out, since=DAY)
+    harmonized = spark.read.parquet(paths["harmonized"])
+    assert rows(harmonized, "source_name", "extra", "title_pt") == [("S", "more", "genes")]
+
+
 def test_history_union(spark):
     a = spark.createDataFrame([(1, "x")], "n int, t string")
     b = spark.createDataFrame([("y",)], "t string")
