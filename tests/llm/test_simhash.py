@@ -1,0 +1,131 @@
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from clipwire.llm import simhash
+from clipwire.llm.components import connected_components
+from clipwire.llm.queries import llm_queries
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_print(text, size=4):
+    words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").encode()
+    for c in b"\t\n\x0b\x0c\r":
+        words = words.replace(bytes([c]), b" ")
+    words = [w for w in words.split(b" ") if w]
+    if not words:
+        return 0
+    shingles = [b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))]
+    hashes = [xxhash.xxh64_intdigest(s, seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(prints, radius=4):
+    """doc_id to smallest reachable, from a dict of prints, pair by pair."""
+    root = {d: d for d in prints}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    ids = sorted(prints)
+    for n, a in enumerate(ids):
+        for b in ids[:n]:
+            if (prints[a] ^ prints[b]).bit_count() <= radius:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {d: find(d) for d in ids}
+
+
+def test_query_is_brute_force(spark):
+    got = {r.doc_id: r for r in llm_queries()["op10_simhash_tiles"](spark, SF).collect()}
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    prints = {d: plain_print(t) for d, t in texts.items()}
+    assert {d: r.fingerprint for d, r in got.items()} == {d: f"{p:016x}" for d, p in prints.items()}
+    assert {d: r.component_id for d, r in got.items()} == plain_components(prints)
+
+
+@pytest.mark.parametrize("tile", [2, 5, 2048])
+def test_all_links_of_close_prints(spark, tile):
+    """Prints on a few centres, so that blocks are large and are cut into tiles."""
+    r = np.random.default_rng(3)
+    centres = r.integers(0, 2**63, 4, dtype=np.uint64)
+    prints = {}
+    for k in range(160):
+        p = int(centres[k % 4])
+        for bit in r.choice(64, r.integers(0, 9), replace=False):
+            p ^= 1 << int(bit)
+        prints[k] = p
+    rows = [(p.to_bytes(8), p.bit_count()) for p in set(prints.values())]
+    nodes = spark.createDataFrame(rows, "fp binary, ones int")
+    units = simhash._units(simhash._keyed(nodes, 4, 0), 4, tile)
+    assert units.groupBy("key", "unit").count().agg(F.max("count")).first()[0] <= 8 * tile
+    moved = connected_components(simhash._links(units, 4)).collect()
+    root = {bytes(x.node): bytes(x.root) for x in moved}
+    got = {}
+    for d, p in prints.items():
+        fp = p.to_bytes(8)
+        got.setdefault(root.get(fp, fp), set()).add(d)
+    want = {}
+    for d, c in plain_components(prints).items():
+        want.setdefault(c, set()).add(d)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+def test_near_pairs_of_long_and_short_runs():
+    r = np.random.default_rng(5)
+    base = r.integers(0, 2**63, (3, 2), dtype=np.uint64)
+    run = np.repeat([0, 1, 2], [1, 40, 700])
+    fp = base[run] ^ (np.uint64(1) << r.integers(0, 64, (741, 2)).astype(np.uint64))
+    i, j = simhash.near_pairs(fp, run, 2)
+    got = {tuple(sorted(p)) for p in zip(i.tolist(), j.tolist())}
+    want = {
+        (a, b)
+        for a in range(741)
+        for b in range(a + 1, 741)
+        if run[a] == run[b] and np.bitwise_count(fp[a] ^ fp[b]).sum() <= 2
+    }
+    assert got == want
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    links = [(k, k + 1) for k in range(200)] + [(1000, 1001 + k) for k in range(50)] + [(5, 5), (None, 7)]
+    got = connected_components(spark.createDataFrame(links, "a int, b int")).collect()
+    assert {(r.node, r.root) for r in got} == {(k, 0) for k in range(1, 201)} | {
+        (1001 + k, 1000) for k in range(50)
+    }
+    assert connected_components(spark.createDataFrame([], "a int, b int")).count() == 0
+
+
+def test_odd_rows(spark, documents, words):
+    long = " ".join(words(1, 30_000))
+    texts = [None, "", " \n\t", "one two", "ONE  two", "é É", long, long, long + " more"]
+    df = documents(texts, {"fp": 1, "fingerprint": "x", "component_id": -5, "key": 0, "h": None})
+    df = df.union(df.where("doc_id = 3")).union(df.where("doc_id = 6").withColumn("doc_id", F.lit(None).cast("long")))
+    got = simhash.near_duplicates(df).collect()
+    assert len(got) == 11
+    assert {r.doc_id: r.component_id for r in got} == {
+        0: 0, 1: 0, 2: 0, 3: 3, 4: 3, 5: 5, 6: 6, 7: 6, 8: 6, None: 6,
+    }
+    assert simhash.near_duplicates(df.limit(0)).collect() == []
+
+
+def test_near_copies_at_the_default_radius(documents, words):
+    """Copies as they are, copies with some words changed, and texts that share half."""
+    texts, near = [], {}
+    for k in range(60):
+        w = words(k, 400)
+        texts.append(" ".join(w))
+        if k % 3 == 0:  # some 0.87 on shingles of five words
+            for at in (30, 150, 200, 290, 350):
+                w[at] = "changed"
+        elif k % 3 == 1:
+            w[200:] = words(1000 + k, 200)
+        near[len(texts)] = len(texts) if k % 3 == 1 else len(texts) - 1
+        texts.append(" ".join(w))
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(documents(texts)).collect()}
+    assert sum(got[d] == c for d, c in near.items()) >= 58
+    assert all(got[d] == d for d, c in near.items() if c == d)
