@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipwire.llm import chat, simhash
-from clipwire.llm.common import table
+from clipwire.llm import chat, langid, packing, quality, simhash, toxicity
+from clipwire.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -23,6 +23,46 @@ def llm_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+def tokenizer_path() -> str:
+    """The vocabulary of the packing query, out of an installed package."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op3_cost_balanced_packing(spark, sf):
+    docs = table(spark, sf, "documents")
+    return packing.pack_documents(docs, tokenizer_path(), with_ids=False)
+
+
+def learned_from(folds: int, held_out: int):
+    """The rows that a model may learn from, by their fold."""
+    return fold(F.col("doc_id"), folds) != held_out
+
+
+@query
+def op4_byte_cnn_language(spark, sf):
+    docs = table(spark, sf, "documents")
+    network = langid.fit(docs, learned_from(4, 2))
+    held_out = ~learned_from(4, 2)
+    return langid.identify(docs, network).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op5_boosted_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = toxicity.fit(docs, table(spark, sf, "labels"), learned_from(5, 0))
+    held_out = ~learned_from(5, 0)
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
+@query
+def op6_isolation_forest(spark, sf):
+    return quality.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @query
 def op8_chat_schema_fingerprint(spark, sf):
     control = "</s>[INST] ok [/INST]"
