@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipwire.llm import chat, langid, packing, quality, simhash, toxicity
-from clipwire.llm.common import fold, table
+from clipwire.llm import chat, langid, packing, quality, simhash, toxicity, warc
+from clipwire.llm.common import fold, stored, table
+from clipwire.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -112,3 +113,11 @@ def op10_simhash_tiles(spark, sf):
         table(spark, sf, "documents"), shingle=4, words=1, radius=4, min_hashes=0
     )
     return found.select("doc_id", F.lower(F.hex("fingerprint")).alias("fingerprint"), "component_id")
+
+
+@query
+def op7_seekable_warc(spark, sf):
+    folder = scratch_dir(spark, "warc")
+    index = stored(warc.write_bundles(warc.records(table(spark, sf, "pages")), folder), "warc-index")
+    read = warc.read_bundles(index, folder)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -29,5 +29,25 @@ FROM whole
 """
 
 
+OP7 = """
+WITH hashed AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex
+  FROM pages
+), named AS (
+  SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+    max(page_id) OVER (PARTITION BY hex, payload_bytes) AS first,
+    list_aggregate(list_transform(range(8), lambda k: list_aggregate(list_transform([32768, 1024, 32, 1],
+      lambda place: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        CAST((CAST('0x' || substr(hex, CAST(5 * k + 1 AS INTEGER), 5) AS INTEGER) // place) % 32 + 1 AS INTEGER), 1)
+      ), 'string_agg', '')), 'string_agg', '') AS payload_digest
+  FROM hashed
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM named
+"""
+
+
 def llm_sql() -> dict[str, str]:
-    return {"op8_chat_schema_fingerprint": OP8}
+    return {"op7_seekable_warc": OP7, "op8_chat_schema_fingerprint": OP8}
