@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipwire.llm import chat, langid, packing, quality, simhash, toxicity, warc
+from clipwire.llm import chat, langid, mixing, packing, quality, simhash, toxicity, warc
 from clipwire.llm.common import fold, stored, table
 from clipwire.session import scratch_dir
 
@@ -24,6 +24,20 @@ def llm_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+#: Target weights of the mixture.
+MIX_WEIGHTS = {
+    "domain": {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1},
+    "lang": {"en": 4, "de": 3, "fr": 3, "es": 2},
+}
+
+
+@query
+def op2_hierarchical_budgets(spark, sf):
+    """Four fifths of all tokens, up to three epochs of a leaf."""
+    budget = F.expr("total * 4 div 5")
+    return mixing.mix(table(spark, sf, "documents"), budget, MIX_WEIGHTS, epochs=3, seed=7)
+
+
 def tokenizer_path() -> str:
     """The vocabulary of the packing query, out of an installed package."""
     import public_tokenizers

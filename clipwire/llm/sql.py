@@ -29,6 +29,72 @@ FROM whole
 """
 
 
+def _level(name: str, family: str, nodes: str, out: str) -> str:
+    """CTEs that part each family's budget among its members."""
+    part = f"PARTITION BY {family}" if family else ""
+    columns = f"{family}, {name}" if family else name
+    return f"""
+{out}_ranked AS (
+  SELECT *,
+    coalesce(sum(held) OVER ({part} ORDER BY held / weight, {name}
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+    sum(weight) OVER ({part} ORDER BY held / weight, {name}
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight_left
+  FROM ({nodes})
+), {out}_marked AS (
+  SELECT *, CAST(held AS HUGEINT) * weight_left <= (CAST(budget AS HUGEINT) - before) * weight AS is_full
+  FROM {out}_ranked
+), {out}_parted AS (
+  SELECT *, budget - sum(CASE WHEN is_full THEN held ELSE 0 END) OVER ({part}) AS rest,
+    sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER ({part} ORDER BY held / weight, {name}
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
+    sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER ({part}) AS total_open
+  FROM {out}_marked
+), {out} AS (
+  SELECT {columns}, CAST(CASE WHEN is_full THEN held
+    ELSE (rest * upto) // total_open - (rest * (upto - weight)) // total_open END AS BIGINT) AS share
+  FROM {out}_parted
+)"""
+
+
+OP2 = f"""
+WITH counted AS (
+  SELECT doc_id, coalesce(lang, 'none') AS lang, coalesce(source, 'none') AS source,
+    'domain' || (coalesce(TRY_CAST(regexp_extract(coalesce(source, ''), '([0-9]{{1,9}})$', 1) AS INTEGER), 0) % 4) AS domain,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS tokens
+  FROM documents
+), docs AS (
+  SELECT doc_id, domain, lang, source, CAST(sum(tokens) AS BIGINT) AS tokens FROM counted
+  WHERE tokens > 0 GROUP BY ALL
+), supply AS (
+  SELECT domain, lang, source, sum(tokens) AS tokens, 3 * sum(tokens) AS held FROM docs GROUP BY ALL
+),{_level("domain", "", """
+  SELECT domain, sum(held) AS held, (SELECT sum(tokens) * 4 // 5 FROM docs) AS budget,
+    CASE domain WHEN 'domain0' THEN 4 WHEN 'domain1' THEN 3 WHEN 'domain2' THEN 2 ELSE 1 END AS weight
+  FROM supply GROUP BY domain""", "by_domain")},{_level("lang", "domain", """
+  SELECT s.domain, lang, sum(held) AS held, any_value(share) AS budget,
+    CASE lang WHEN 'en' THEN 4 WHEN 'de' THEN 3 WHEN 'fr' THEN 3 WHEN 'es' THEN 2 ELSE 1 END AS weight
+  FROM supply s JOIN by_domain d ON s.domain = d.domain GROUP BY s.domain, lang""", "by_lang")},{_level("source", "domain, lang", """
+  SELECT s.domain, s.lang, source, held, share AS budget, 1 AS weight
+  FROM supply s JOIN by_lang l ON s.domain = l.domain AND s.lang = l.lang""", "by_source")},
+leaves AS (
+  SELECT s.domain, s.lang, s.source, share // tokens AS whole, share % tokens AS part
+  FROM supply s JOIN by_source b ON s.domain = b.domain AND s.lang = b.lang AND s.source = b.source
+), ordered AS (
+  SELECT d.*, whole, part, md5('7:' || CAST(whole AS BIGINT) || ':' || coalesce(CAST(doc_id AS VARCHAR), 'none')) AS key
+  FROM docs d JOIN leaves l ON d.domain = l.domain AND d.lang = l.lang AND d.source = l.source
+), placed AS (
+  SELECT *, coalesce(sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY key, doc_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM ordered
+)
+SELECT doc_id, domain, lang, source, tokens, CAST(unnest(range(CAST(whole AS BIGINT))) AS INTEGER) AS epoch, tokens AS taken
+FROM placed
+UNION ALL
+SELECT doc_id, domain, lang, source, tokens, CAST(whole AS INTEGER), CAST(least(tokens, part - start) AS BIGINT)
+FROM placed WHERE start < part
+"""
+
+
 OP7 = """
 WITH hashed AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex
@@ -50,4 +116,4 @@ FROM named
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op7_seekable_warc": OP7, "op8_chat_schema_fingerprint": OP8}
+    return {"op2_hierarchical_budgets": OP2, "op7_seekable_warc": OP7, "op8_chat_schema_fingerprint": OP8}
