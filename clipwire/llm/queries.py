@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipwire.llm import chat, langid, mixing, packing, quality, simhash, toxicity, warc
+from clipwire.llm import chat, fingerprints, langid, mixing, packing, quality, simhash, toxicity, warc
 from clipwire.llm.common import fold, stored, table
 from clipwire.session import scratch_dir
 
@@ -24,6 +24,11 @@ def llm_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+@query
+def op1_weighted_sampling(spark, sf):
+    return fingerprints.edited_pairs(table(spark, sf, "documents"))
+
+
 #: Target weights of the mixture.
 MIX_WEIGHTS = {
     "domain": {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1},
