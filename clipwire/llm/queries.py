@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipwire.llm import chat, fingerprints, langid, mixing, packing, quality, simhash, toxicity, warc
+from clipwire.llm import chat, fingerprints, langid, mixing, packing, quality, sharding, simhash, toxicity, warc
 from clipwire.llm.common import fold, stored, table
 from clipwire.session import scratch_dir
 
@@ -126,6 +126,20 @@ def op8_chat_schema_fingerprint(spark, sf):
     )
 
 
+@query
+def op9_kd_tree_shards(spark, sf):
+    placed = sharding.shard(table(spark, sf, "documents"), shards=40)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query
 def op10_simhash_tiles(spark, sf):
     found = simhash.near_duplicates(
