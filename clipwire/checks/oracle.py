@@ -57,13 +57,35 @@ translated AS (
 _WIRED = """
 wired AS (
   SELECT source_id, source_name, author, title, description, url, "publishedAt", content,
-    published_day
+    published_day, concat('{"lang":"', lang, '"}') AS extra, 0 AS position
   FROM articles
   UNION ALL
-  SELECT 'wire', 'Wire', NULL, title, description, url, "publishedAt", content, published_day
+  SELECT 'wire', 'Wire', NULL, title, description, url, "publishedAt", content, published_day,
+    NULL, 2
   FROM articles
 )"""
 
+_FIRST_DAY = "(SELECT min(published_day) FROM articles)"
+
+_STREAMED = f"""
+streamed AS (
+  SELECT * FROM wired UNION ALL SELECT * FROM wired WHERE published_day = {_FIRST_DAY}
+)"""
+
+_OFFSET = """
+shifted AS (
+  SELECT a.* EXCLUDE ("publishedAt", published_day),
+    CASE WHEN a.doc_id % 3 = 0 THEN date_trunc('day', e.ts) ELSE e.ts END AS moment
+  FROM articles a JOIN events e ON a.doc_id = e.event_id
+), windowed AS (
+  SELECT *, CAST(moment AS DATE) AS published_day FROM shifted
+  UNION ALL
+  SELECT *, CAST(moment AS DATE) - 1 FROM shifted 
+  WHERE date_trunc('second', moment) = date_trunc('day', moment)
+), offsets AS (
+  SELECT *, strftime(moment - INTERVAL 5 HOURS, '%Y-%m-%dT%H:%M:%S-05:00') AS "publishedAt" FROM windowed
+)"""
+
 _ID = 'url, author, title, "publishedAt"'
 _TRANSLATED_COLUMNS = """description_pt, content_pt, title_pt,
   description_translated, content_translated, title_translated"""
@@ -99,6 +121,12 @@ def _whole_word(terms, columns) -> str:
     return "(" + " OR ".join(tests) + ")"
 
 
+# A stream inserts an article with the first day that has its key.
+_FIRST_SEEN = """(
+    SELECT * FROM wired
+    QUALIFY published_day = min(published_day) OVER (PARTITION BY author, title)
+  ) AS first_seen"""
+
 _STOP = "(" + ", ".join(f"'{w}'" for w in P.STOPWORDS) + ")"
 
 # Cutting at single whitespace leaves no empty tokens at the end of a text, but does
@@ -180,12 +208,17 @@ def oracles() -> dict[str, str]:
     art = _with(_ARTICLES)
     sql = {
         "ingest_articles": _with(_ARTICLES, _WIRED)
-        + f"SELECT source_id, source_name, {_ID}, description, content FROM wired",
+        + f"SELECT source_id, source_name, {_ID}, description, content, extra, position FROM wired",
+        "rejected_articles": art
+        + """SELECT concat('{"source":"none","url":"', url, '"}') AS value FROM articles""",
         "rejected_payloads": "SELECT html AS value FROM pages",
         "stamp_from_date": art + "SELECT url, title, '2024-01-31' AS from_date FROM articles",
         "history_union": _with(_ARTICLES, _WIRED)
-        + f"SELECT {_ID}, content, {_FROM_DATE} FROM wired",
+        + f"""SELECT {_ID}, content, {_FROM_DATE},
+  CASE WHEN published_day > {_FIRST_DAY} THEN description END AS description FROM wired""",
         "assign_windows": art + f"SELECT {_ID}, {_FROM_DATE} FROM articles WHERE {_IN_WINDOWS}",
+        "assign_windows_closed": _with(_ARTICLES, _OFFSET)
+        + f"SELECT {_ID}, {_FROM_DATE} FROM offsets WHERE {_IN_WINDOWS}",
         "window_page_cap": art
         + f"""SELECT url, popularity, {_FROM_DATE} FROM articles WHERE {_IN_WINDOWS}
 QUALIFY row_number() OVER (PARTITION BY published_day ORDER BY popularity DESC, url)
@@ -277,15 +310,27 @@ FROM (
   SELECT word, count, row_number() OVER (ORDER BY count DESC, word) AS rank
   FROM freqs {_TOP} 10
 ) AS top""",
-        "stream_articles": _with(_ARTICLES, _WIRED) + f"SELECT {_ID}, content FROM wired",
-        "stream_rejects": "SELECT value FROM "
+        "stream_articles": _with(_ARTICLES, _WIRED, _STREAMED)
+        + f"SELECT {_ID}, content FROM streamed",
+        "stream_rejects": art
+        + "SELECT value FROM "
         "(SELECT unnest(string_split(html, chr(10))) AS value FROM pages) AS lines "
-        "WHERE value <> ''",
+        """WHERE value <> ''
+UNION ALL
+SELECT concat('{"source":"none","url":"', url, '"}') FROM articles""",
         "stream_stage_merge": _with(_ARTICLES, _WIRED)
-        + f"SELECT {_ID}, content FROM {_latest('wired')} AS a",
-        "stream_dedup": _with(_ARTICLES, _WIRED) + "SELECT DISTINCT author, title FROM wired",
-        "stream_counts_by_day": _with(_ARTICLES, _WIRED)
-        + f"SELECT {_DAY}, count(*) AS news_count FROM wired GROUP BY published_day",
+        + f"""SELECT {_ID}, content FROM {_latest(_FIRST_SEEN)} AS a""",
+        "stream_dedup": _with(_ARTICLES, _WIRED)
+        + """SELECT author, title, CAST(min(published_day) AS VARCHAR) AS published_day
+FROM wired GROUP BY author, title""",
+        "stream_counts_by_day": _with(_ARTICLES, _WIRED, _STREAMED)
+        + f"SELECT {_DAY}, count(*) AS news_count FROM streamed GROUP BY published_day",
+        "history_after_recent": _with(
+            _ARTICLES, _WIRED, f"\nfirst_day AS (SELECT * FROM wired WHERE published_day = {_FIRST_DAY})"
+        )
+        + f"""SELECT {_ID}, content FROM {_latest('first_day')} AS a
+UNION ALL
+SELECT {_ID}, content FROM wired WHERE published_day > {_FIRST_DAY}""",
         "harmonize": _with(
             _ARTICLES,
             _MEMORY,
@@ -313,6 +358,7 @@ ORDER BY popularity DESC, url LIMIT {P.PAGE_SIZE}""",
         )
         + _tall("harmonized", _match(P.KEYWORDS, _PT)),
     }
+    sql["translate_udf_twice"] = sql["translate_udf"]
     sql["dedup_max_by"] = sql["dedup_latest"]
     sql["translate_enrich_few"] = sql["translate_enrich"]
     sql["translate_enrich_large"] = sql["translate_enrich"]

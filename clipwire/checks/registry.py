@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,17 +16,21 @@ from clipwire.checks.views import (
     articles,
     memory,
     mixed_payloads,
+    offset_articles,
     with_pt,
 )
 from clipwire import operators as ops
 from clipwire import plans, sources, streaming
+from clipwire.__main__ import run as run_job
 from clipwire.functions import keyword_match as match_column
 from clipwire.schema import (
     ARTICLE_KEYS,
     DAY_TABLE,
     HARMONIZED_TABLE,
     KEYWORD_TABLE,
+    RAW_SCHEMA,
     SOURCE_AUTHOR_TABLE,
+    STORE_SCHEMA,
 )
 from clipwire.session import scratch_dir
 
@@ -44,6 +50,15 @@ def registered() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
+def _land_days(payloads: DataFrame, landing: str) -> list:
+    """Write the payloads of each day to a folder of two files, day after day; the days."""
+    days = [r[0] for r in payloads.select("from_date").distinct().orderBy("from_date").collect()]
+    for n, day in enumerate(days):
+        of_day = payloads.where(F.col("from_date") == F.lit(day)).select("value")
+        of_day.repartition(2).write.text(f"{landing}/{n}")
+    return days
+
+
 def _date_text(name: str = "from_date") -> Column:
     return F.col(name).cast("string").alias(name)
 
@@ -64,6 +79,8 @@ def ingest_articles(spark, sf):
         *_ID,
         "description",
         "content",
+        "extra",
+        "position",
     )
 
 
@@ -72,6 +89,11 @@ def rejected_payloads(spark, sf):
     return sources.rejected_payloads(mixed_payloads(spark, sf)).select("value")
 
 
+@query
+def rejected_articles(spark, sf):
+    return sources.rejected_articles(mixed_payloads(spark, sf)).select("value")
+
+
 @query
 def stamp_from_date(spark, sf):
     stamped = ops.stamp_from_date(article_texts(spark, sf), P.STAMP)
@@ -80,10 +102,17 @@ def stamp_from_date(spark, sf):
 
 @query
 def history_union(spark, sf):
+    """One frame per day; the first has no description."""
     landing = scratch_dir(spark, "history")
-    article_payloads(spark, sf).write.partitionBy("from_date").text(landing)
-    history = sources.ingest_articles(sources.read_payload_files(spark, landing))
-    return history.select(*_ID, "content", _date_text())
+    days = _land_days(article_payloads(spark, sf), landing)
+    frames = [
+        ops.stamp_from_date(
+            sources.ingest_articles(sources.read_payload_files(spark, f"{landing}/{n}")), day
+        )
+        for n, day in enumerate(days)
+    ]
+    history = sources.history_union([frames[0].drop("description"), *frames[1:]])
+    return history.select(*_ID, "description", "content", _date_text())
 
 
 @query
@@ -91,6 +120,12 @@ def assign_windows(spark, sf):
     return ops.assign_windows(articles(spark, sf), P.TODAY).select(*_ID, _date_text())
 
 
+@query
+def assign_windows_closed(spark, sf):
+    windows = ops.assign_windows(offset_articles(spark, sf), P.TODAY, closed=True)
+    return windows.select(*_ID, _date_text())
+
+
 @query
 def window_page_cap(spark, sf):
     windows = ops.assign_windows(articles(spark, sf), P.TODAY)
@@ -368,10 +403,14 @@ def zipf_compare(spark, sf):
 
 
 def _payload_stream(spark, sf, label):
+    """A stream with a micro-batch for each day, and the first day once more at the end."""
     landing = scratch_dir(spark, label)
-    article_payloads(spark, sf).write.partitionBy("from_date").text(f"{landing}/landing")
-    payloads = streaming.file_payloads(spark, f"{landing}/landing", P.FILES_PER_BATCH)
-    return streaming.stream_articles(payloads), landing
+    payloads = article_payloads(spark, sf)
+    days = _land_days(payloads, f"{landing}/landing")
+    again = payloads.where(F.col("from_date") == F.lit(days[0])).select("value")
+    again.repartition(2).write.text(f"{landing}/landing/again")
+    stream = streaming.file_payloads(spark, f"{landing}/landing/*", P.FILES_PER_BATCH)
+    return streaming.stream_articles(stream), landing
 
 
 @query
@@ -408,17 +447,23 @@ def stream_dedup(spark, sf):
     stream, folder = _payload_stream(spark, sf, "stream-dedup")
     unique = streaming.stream_dedup(stream, P.STREAM_DELAY).drop("published_ts")
     streaming.append_raw(unique, f"{folder}/raw", f"{folder}/checkpoint").awaitTermination()
-    # Which copy comes first depends on file order, so only the keys are compared.
-    return sources.load_table(spark, f"{folder}/raw").select(*ARTICLE_KEYS)
+    # Which of a day's copies comes first depends on file order, so of each row its key and day
+    # are compared, and that it is one of the rows that came in.
+    came = sources.ingest_articles(sources.read_payload_files(spark, f"{folder}/landing/*"))
+    same = [F.col(f"kept.{c}").eqNullSafe(F.col(f"came.{c}")) for c in (*_ID, "content")]
+    kept = sources.load_table(spark, f"{folder}/raw").alias("kept")
+    kept = kept.join(came.alias("came"), reduce(and_, same), "left_semi")
+    day = F.col("publishedAt").try_cast("date").cast("string").alias("published_day")
+    return kept.select(*ARTICLE_KEYS, day)
 
 
 @query
 def stream_counts_by_day(spark, sf):
     stream, folder = _payload_stream(spark, sf, "stream-counts")
     streaming.stream_counts_by_day(
-        stream, f"{folder}/counts", f"{folder}/checkpoint", P.STREAM_DELAY
+        stream, f"{folder}/counts", f"{folder}/checkpoint"
     ).awaitTermination()
-    return streaming.latest_counts(spark, f"{folder}/counts")
+    return streaming.latest_counts(spark, f"{folder}/counts", f"{folder}/checkpoint")
 
 
 # Whole jobs
@@ -498,6 +543,35 @@ def aggregate_all(spark, sf):
     return _tall(spark, paths)
 
 
+@query
+def history_after_recent(spark, sf):
+    """The jobs: the first day comes recently, the others as history by day, one of them undated."""
+    folder = scratch_dir(spark, "history-job")
+    payloads = article_payloads(spark, sf)
+    days = _land_days(payloads, f"{folder}/landing")
+    later = payloads.where(F.col("from_date") > F.lit(days[0]))
+    later.where(F.col("from_date") < F.lit(days[-1])).write.partitionBy("from_date").text(f"{folder}/past")
+    raw = ["--raw", f"{folder}/raw"]
+    recent = ["recent", "--payloads", f"{folder}/landing/0", *raw, "--staging", f"{folder}/staging"]
+    run_job(spark, [*recent, "--checkpoint", f"{folder}/checkpoint"])
+    run_job(spark, ["history", "--payloads", f"{folder}/past", *raw])
+    run_job(spark, ["history", "--payloads", f"{folder}/landing/{len(days) - 1}", *raw])
+    stored = sources.load_table(spark, f"{folder}/raw", schema=RAW_SCHEMA)
+    return stored.select(*_ID, "content")
+
+
+@query
+def translate_udf_twice(spark, sf):
+    """Two runs on halves of the articles share one store, and the second translates the rest."""
+    store = scratch_dir(spark, "translations-twice")
+    texts = article_texts(spark, sf)
+    for half in (0, 1):
+        part = texts.where(F.pmod(F.xxhash64("url"), F.lit(2)) == half)
+        ops.fill_memory(part, _demo_translator(), store)
+    known = spark.read.schema(STORE_SCHEMA).parquet(store)
+    return ops.translate_enrich(texts, known).select("url", *_TRANSLATED)
+
+
 @query
 def daily_job(spark, sf):
     folder = scratch_dir(spark, "daily")

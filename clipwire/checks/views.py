@@ -6,7 +6,7 @@ the whole text the content. The event of the same number gives time and populari
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipwire.operators.translation import source_texts
@@ -69,8 +69,8 @@ def memory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def article_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One payload per article, holding it and a wire copy without author."""
+def _payload_articles(df: DataFrame) -> list[Column]:
+    """The JSON of each article and of its wire copy without author, in this order."""
     fields = [
         F.col(f.name) if f.name != "urlToImage" else F.lit(None).cast("string").alias(f.name)
         for f in ARTICLE_SCHEMA
@@ -83,15 +83,40 @@ def article_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         else F.col(f.name)
         for f in ARTICLE_SCHEMA
     ]
-    both = F.array(F.struct(*fields), F.struct(*wire))
-    return articles(spark, sf_dir).select(
-        F.to_json(F.struct(F.lit("ok").alias("status"), both.alias("articles"))).alias("value"),
-        F.col("publishedAt").try_cast("date").alias("from_date"),
+    return [F.to_json(F.struct(*fields, "lang")), F.to_json(F.struct(*wire))]
+
+
+def _payload_of(*articles: Column) -> Column:
+    joined = F.concat_ws(",", *articles)
+    return F.concat(F.lit('{"status":"ok","articles":['), joined, F.lit("]}")).alias("value")
+
+
+def article_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One payload per article, holding it and a wire copy without author."""
+    df = articles(spark, sf_dir)
+    return df.select(
+        _payload_of(*_payload_articles(df)), F.col("publishedAt").try_cast("date").alias("from_date")
     )
 
 
 def mixed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Article payloads, with event properties (no articles) and web pages (no JSON)."""
+    """Payloads of a good article, a bad one and a good one; event properties (no articles); pages."""
+    df = articles(spark, sf_dir)
+    good, wire = _payload_articles(df)
+    bad = F.concat(F.lit('{"source":"none","url":"'), "url", F.lit('"}'))
     empty = table(spark, sf_dir, "events").select(F.col("props").alias("value"))
     broken = table(spark, sf_dir, "pages").select(F.col("html").alias("value"))
-    return article_payloads(spark, sf_dir).select("value").union(empty).union(broken)
+    return df.select(_payload_of(good, bad, wire)).union(empty).union(broken)
+
+
+def offset_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles whose times are written with the offset of New York, some of them at midnight UTC."""
+    events = table(spark, sf_dir, "events")
+    at = F.when(F.col("event_id") % 3 == 0, F.date_trunc("day", "ts")).otherwise(F.col("ts"))
+    times = events.select(
+        F.col("event_id").alias("doc_id"),
+        F.concat(F.date_format(at - F.expr("INTERVAL 5 HOURS"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-05:00")).alias(
+            "publishedAt"
+        ),
+    )
+    return article_texts(spark, sf_dir).join(times, "doc_id").drop("doc_id")

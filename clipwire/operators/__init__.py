@@ -15,6 +15,7 @@ from clipwire.operators.counts import (
 )
 from clipwire.operators.dedup import dedup_latest, dedup_max_by
 from clipwire.operators.translation import (
+    fill_memory,
     translate_enrich,
     translate_texts,
     translate_udf,
@@ -52,6 +53,7 @@ __all__ = [
     "dedup_latest",
     "dedup_max_by",
     "explode_words",
+    "fill_memory",
     "flatten_source",
     "keyword_filter",
     "producer_window",

@@ -52,6 +52,8 @@ def count_keyword_occurrences(
     keyword list; only the finished day rows are turned into one row per keyword.
     """
     words = list(dict.fromkeys(w.lower() for w in keywords))
+    if not words:
+        raise ValueError("keywords must be given")
     sums = [
         F.sum(sum((occurrences(c, w) for c in columns), F.lit(0))).cast("bigint").alias(f"_k{i}")
         for i, w in enumerate(words)

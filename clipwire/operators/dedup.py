@@ -43,7 +43,10 @@ def dedup_max_by(
     published: str = "publishedAt",
     tie: Sequence[str] = ("url",),
 ) -> DataFrame:
-    """The rows of ``dedup_latest`` by aggregation, merged within each map task first."""
+    """The rows of ``dedup_latest`` by aggregation, merged within each map task first.
+
+    A cross-check, not the fast way: whole rows are aggregation buffers here, which Spark sorts.
+    """
     rest = [c for c in df.columns if c not in keys]
     best = F.max_by(F.struct(*rest), F.struct(*_recency(published, tie)))
     return df.groupBy(*keys).agg(best.alias("_best")).select(

@@ -8,8 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipwire.schema import TEXT_COLUMNS
-from clipwire.session import is_small
+from clipwire.schema import STORE_SCHEMA, TEXT_COLUMNS
 
 
 def _known(memory: DataFrame, key: Column) -> DataFrame:
@@ -67,26 +66,22 @@ def translate_enrich(
     df: DataFrame,
     memory: DataFrame,
     columns: Sequence[str] = TEXT_COLUMNS,
-    lookup: bool | None = None,
-    few: bool | None = None,
+    lookup: bool = False,
+    few: bool = False,
 ) -> DataFrame:
     """Add ``<column>_pt`` and ``<column>_translated`` from ``memory(text, text_pt)``.
 
     A text without translation stays as it is with the flag false; null stays null.
 
-    A memory proven small is broadcast and articles are not shuffled. Otherwise
-    digests of the texts, 32 bytes each, are joined to the memory: broadcast to it if
-    the articles are proven few, as in a daily load, and else shuffled. The articles are
-    shuffled once to meet their translations, rather than once per column. ``lookup``
-    and ``few`` override the two size checks. AQE's skew join splits hot texts.
+    Digests of the texts, 32 bytes each, are joined to the memory, and the articles are
+    shuffled once to meet their translations, rather than once per column. AQE makes
+    a broadcast of what turns out small at run time, and its skew join splits hot texts.
+    Callers who know the sizes may ask for a broadcast of the whole memory with
+    ``lookup``, so that articles are not shuffled, or of the digests with ``few``.
     """
-    if lookup is None:
-        lookup = is_small(memory.select("text", "text_pt"))
     if lookup:
         found = _by_lookup(df, memory, columns)
     else:
-        if few is None:
-            few = is_small(df.select(*[_digest(c).alias(c) for c in columns]))
         found = _by_digest(df, memory, columns, few)
     added = []
     for c in columns:
@@ -109,15 +104,14 @@ def translation_pending(
     df: DataFrame,
     memory: DataFrame,
     columns: Sequence[str] = TEXT_COLUMNS,
-    lookup: bool | None = None,
+    lookup: bool = False,
 ) -> DataFrame:
     """Distinct source texts that the memory has no translation for.
 
-    A memory proven small is broadcast, and only texts not in it are shuffled. Otherwise
-    of the memory only digests are shuffled, and each task merges repeated texts first.
+    Of the memory only digests are shuffled, and each task merges repeated texts first.
+    With ``lookup``, for a memory known to be small, it is broadcast, and only texts not
+    in it are shuffled.
     """
-    if lookup is None:
-        lookup = is_small(memory.select("text"))
     if lookup:
         known = _known(memory, F.col("text")).select("_key").distinct()
         texts = _texts(df, columns)
@@ -130,28 +124,52 @@ def translation_pending(
 
 
 def translate_texts(
-    texts: DataFrame, translate: Callable[[str], str], parallelism: int | None = None
+    texts: DataFrame,
+    translate: Callable[[str], str] | Callable[[list[str]], list[str]],
+    parallelism: int | None = None,
+    batched: bool = False,
 ) -> DataFrame:
     """Call ``translate`` on each text; gives ``text``, ``text_pt`` and ``error``.
 
-    A failure fills ``error`` and leaves ``text_pt`` null. ``parallelism`` spreads slow
-    calls over that many tasks.
+    A failure fills ``error`` and leaves ``text_pt`` null, and so does an answer that is no
+    string. ``batched`` calls it on lists of texts instead, for a list as long; where that fails
+    every text of the list has the error. ``parallelism`` spreads slow calls over that
+    many tasks.
     """
 
+    def one(text: str) -> tuple[str | None, str | None]:
+        try:
+            return checked(translate(text))
+        except Exception as problem:
+            return None, str(problem)
+
+    def checked(answer) -> tuple[str | None, str | None]:
+        if isinstance(answer, str):
+            return answer, None
+        return None, f"the translator gave {type(answer).__name__}, not a string"
+
+    def many(asked: list[str]) -> list[tuple[str | None, str | None]]:
+        try:
+            answers = list(translate(asked))
+            if len(answers) != len(asked):
+                raise ValueError(f"{len(answers)} answers for {len(asked)} texts")
+        except Exception as problem:
+            return [(None, str(problem))] * len(asked)
+        return [checked(a) for a in answers]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import pandas
 
         for batch in batches:
-            done, errors = [], []
-            for text in batch["text"]:
-                try:
-                    done.append(translate(text))
-                    errors.append(None)
-                except Exception as problem:
-                    done.append(None)
-                    errors.append(str(problem))
+            asked = batch["text"].tolist()
+            answers = many(asked) if batched else [one(t) for t in asked]
             yield pandas.DataFrame(
-                {"text": batch["text"].to_numpy(), "text_pt": done, "error": errors}, dtype=object
+                {
+                    "text": asked,
+                    "text_pt": [a for a, _ in answers],
+                    "error": [e for _, e in answers],
+                },
+                dtype=object,
             )
 
     if parallelism:
@@ -159,28 +177,50 @@ def translate_texts(
     return texts.select("text").mapInPandas(run, "text string, text_pt string, error string")
 
 
-def translate_udf(
+def fill_memory(
     df: DataFrame,
-    translate: Callable[[str], str],
+    translate: Callable,
     store: str,
     memory: DataFrame | None = None,
     columns: Sequence[str] = TEXT_COLUMNS,
     fmt: str = "parquet",
     parallelism: int | None = None,
+    batched: bool = False,
 ) -> DataFrame:
-    """``translate_enrich`` with a caller's function for the texts not in ``memory``.
+    """Translate what neither ``memory`` nor the table at ``store`` has, and append it there.
 
-    Each distinct text is translated once. Results go to a table at ``store``, in a
-    folder all executors share, so neither the join nor a lost executor calls the
-    function again. That table can serve as the next run's memory.
+    Gives all translations known then: ``text``, ``text_pt``. Texts whose translation failed are
+    in the store with their ``error`` and are tried again by the next run. A run that is
+    repeated after a failure translates only what is still missing.
     """
     spark = df.sparkSession
-    if memory is None:
-        texts = source_texts(df, columns)
-    else:
-        texts = translation_pending(df, memory, columns)
-    translate_texts(texts, translate, parallelism).write.format(fmt).mode("overwrite").save(store)
-    added = spark.read.format(fmt).load(store).select("text", "text_pt")
-    if memory is not None:
-        added = memory.select("text", "text_pt").unionByName(added)
-    return translate_enrich(df, added, columns)
+    # An empty table of the right shape, unless one is there.
+    spark.createDataFrame([], STORE_SCHEMA).write.format(fmt).mode("ignore").save(store)
+
+    def known() -> DataFrame:
+        stored = spark.read.format(fmt).load(store).select("text", "text_pt")
+        return stored if memory is None else memory.select("text", "text_pt").unionByName(stored)
+
+    pending = translation_pending(df, known(), columns)
+    translate_texts(pending, translate, parallelism, batched).write.format(fmt).mode("append").save(store)
+    return known()
+
+
+def translate_udf(
+    df: DataFrame,
+    translate: Callable,
+    store: str,
+    memory: DataFrame | None = None,
+    columns: Sequence[str] = TEXT_COLUMNS,
+    fmt: str = "parquet",
+    parallelism: int | None = None,
+    batched: bool = False,
+) -> DataFrame:
+    """``translate_enrich`` with a caller's function for the texts that are not known yet.
+
+    Each distinct text is translated once. The table at ``store``, in a folder all executors
+    share, is a memory that adds up over runs, see ``fill_memory``; neither the join nor
+    a lost executor calls the function again.
+    """
+    known = fill_memory(df, translate, store, memory, columns, fmt, parallelism, batched)
+    return translate_enrich(df, known, columns)

@@ -8,8 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipwire.functions.dates import published_date, published_ts
-from clipwire.schema import HISTORY_DAYS, MAX_PAGES, PAGE_SIZE, PARTITION_COLUMN
+from clipwire.functions.dates import published_ts
+from clipwire.schema import HISTORY_DAYS, MAX_PAGES, PAGE_SIZE, PARTITION_COLUMN, POSITION_COLUMN
 
 _DAY_MICROS = 24 * 60 * 60 * 1_000_000
 
@@ -29,13 +29,15 @@ def assign_windows(
 ) -> DataFrame:
     """Put each article into its one-day UTC window, as ``from_date``.
 
-    Windows start on each day from ``today - days`` to ``today``, both included, and
+    The day is that of the instant in UTC, so ``2024-01-01T23:30:00-05:00`` is in the window
+    of January 2. Windows start on each day from ``today - days`` to ``today``, both included, and
     are half-open. With ``closed`` both ends belong to the window, so an article of
     exactly midnight is in two. The window follows from the row alone: no join.
     """
-    day = published_date(published)
+    micros = F.unix_micros(published_ts(published))
+    day = F.date_from_unix_date(F.floor(micros / _DAY_MICROS).cast("int"))
     if closed:
-        midnight = F.pmod(F.unix_micros(published_ts(published)), F.lit(_DAY_MICROS)) == 0
+        midnight = F.pmod(micros, F.lit(_DAY_MICROS)) == 0
         both = F.array(day, F.date_sub(day, 1))
         day = F.explode(F.when(midnight, both).otherwise(F.array(day)))
     first = today - dt.timedelta(days=days)
@@ -70,16 +72,30 @@ def top_k_per_group(
     )
 
 
+def popularity_order(popularity: str | None, tie: Sequence[str]) -> list[Column]:
+    """The most popular first: by a column, or by the place in the sender's reply."""
+    if popularity is None:
+        first = F.col(POSITION_COLUMN).asc_nulls_last()
+    else:
+        first = F.col(popularity).desc_nulls_last()
+    return [first, *[F.col(c).asc() for c in tie]]
+
+
 def window_page_cap(
     df: DataFrame,
-    popularity: str,
+    popularity: str | None = None,
     tie: Sequence[str] = ("url",),
     pages: int = MAX_PAGES,
     page_size: int = PAGE_SIZE,
     slices: int = 256,
 ) -> DataFrame:
-    """At most ``pages`` full pages of articles per window, the most popular first."""
-    order = [F.col(popularity).desc_nulls_last(), *[F.col(c).asc() for c in tie]]
+    """At most ``pages`` full pages of articles per window, the most popular first.
+
+    Popularity is a column, or by default the place in the sender's reply. Beyond 1000 rows a
+    window, set ``spark.sql.optimizer.windowGroupLimitThreshold`` to ``pages * page_size``,
+    so that Spark still drops the rest of each slice before the shuffle.
+    """
+    order = popularity_order(popularity, tie)
     return top_k_per_group(df, [PARTITION_COLUMN], order, pages * page_size, slices)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
@@ -20,7 +19,6 @@ def daily_job(
     out_dir: str,
     keywords: Sequence[str] = RELEVANCE_KEYWORDS,
     count_keywords: Sequence[str] = COUNT_KEYWORDS,
-    since: dt.date | None = None,
     fmt: str = DEFAULT_FORMAT,
 ) -> dict[str, str]:
     """Write the harmonized table and, from it, the three count tables.
@@ -28,7 +26,7 @@ def daily_job(
     Gives the table paths by name. Run it from any scheduler, once a day.
     """
     harmonized = f"{out_dir}/{HARMONIZED_TABLE}"
-    run_harmonize(spark, raw_path, memory_path, harmonized, keywords, since, fmt)
+    run_harmonize(spark, raw_path, memory_path, harmonized, keywords, fmt)
     counts = aggregate_all(
         load_table(spark, harmonized, fmt), f"{out_dir}/{SEMANTIC_DIR}", count_keywords, fmt=fmt
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +18,8 @@ def harmonize(
     memory: DataFrame,
     keywords: Sequence[str] = RELEVANCE_KEYWORDS,
     tie: Sequence[str] = ("url",),
-    lookup: bool | None = None,
-    few: bool | None = None,
+    lookup: bool = False,
+    few: bool = False,
 ) -> DataFrame:
     """Flatten, translate, keep relevant articles, keep the latest of each.
 
@@ -36,13 +35,13 @@ def run_harmonize(
     memory_path: str,
     out_path: str,
     keywords: Sequence[str] = RELEVANCE_KEYWORDS,
-    since: dt.date | None = None,
     fmt: str = DEFAULT_FORMAT,
 ) -> None:
-    """Build the harmonized table anew from the raw table, with all its columns.
+    """Build the harmonized table anew from the whole raw table, with all its columns.
 
-    ``since`` restricts the raw partitions read. The output is then made of those alone.
+    A newer translation can make an old article relevant or stop it from being so, and
+    bring back an older copy. So the table is always built from all raw articles.
     """
-    raw = load_table(spark, raw_path, fmt, since=since)
+    raw = load_table(spark, raw_path, fmt)
     memory = load_table(spark, memory_path, fmt, MEMORY_SCHEMA)
     write_overwrite(harmonize(raw, memory, keywords), out_path, fmt)

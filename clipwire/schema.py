@@ -22,14 +22,25 @@ ARTICLE_SCHEMA = T.StructType(
 )
 
 CORRUPT_COLUMN = "_corrupt_record"
+# The articles of a payload stay JSON texts, so that a bad one does not spoil the others.
 PAYLOAD_SCHEMA = T.StructType(
     [
-        T.StructField("articles", T.ArrayType(ARTICLE_SCHEMA)),
+        T.StructField("articles", T.ArrayType(T.StringType())),
         T.StructField(CORRUPT_COLUMN, T.StringType()),
     ]
 )
+# What an ingested article has besides: its other fields as JSON, and its place in the reply.
+EXTRA_COLUMN = "extra"
+POSITION_COLUMN = "position"
+INGESTED_SCHEMA = T.StructType(
+    [
+        *ARTICLE_SCHEMA.fields,
+        T.StructField(EXTRA_COLUMN, T.StringType()),
+        T.StructField(POSITION_COLUMN, T.IntegerType()),
+    ]
+)
 
-RAW_SCHEMA = T.StructType([*ARTICLE_SCHEMA.fields, T.StructField("from_date", T.DateType())])
+RAW_SCHEMA = T.StructType([*INGESTED_SCHEMA.fields, T.StructField("from_date", T.DateType())])
 
 MEMORY_SCHEMA = T.StructType(
     [
@@ -38,6 +49,15 @@ MEMORY_SCHEMA = T.StructType(
     ]
 )
 
+# A translation memory that runs add to: failed texts stand there with their error.
+STORE_SCHEMA = T.StructType(
+    [
+        T.StructField("text", T.StringType()),
+        T.StructField("text_pt", T.StringType()),
+        T.StructField("error", T.StringType()),
+    ]
+)
+
 # Text columns, their translated names, and the identity of an article.
 TEXT_COLUMNS = ("description", "content", "title")
 TRANSLATED_COLUMNS = ("description_pt", "content_pt", "title_pt")

@@ -1,13 +1,10 @@
-"""Session settings, shared scratch space and the size check used before broadcasting."""
+"""Session settings and shared scratch space."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import SparkSession
 
 RECOMMENDED_CONF = {
     # Day parts follow the UTC calendar of the ISO timestamps.
@@ -22,12 +19,6 @@ RECOMMENDED_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-BROADCAST_MAX_ROWS = 100_000
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-
-_local_scratch: dict[str, str] = {}
-
-
 def build_session(app_name: str = "clipwire", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the recommended settings; keyword settings win over them."""
     builder = SparkSession.builder.appName(app_name)
@@ -41,38 +32,9 @@ def build_session(app_name: str = "clipwire", master: str | None = None, **conf:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder name under the shared folder the session names.
 
-    The folder is ``spark.checkpoint.dir``. Where that is unset, a temporary folder
-    is used in local mode only: on a cluster, executors could not see it.
+    The folder is ``spark.checkpoint.dir``, or where that is unset a folder of the warehouse.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        app = spark.conf.get("spark.app.id", "local")
-        if app not in _local_scratch:
-            _local_scratch[app] = tempfile.mkdtemp(prefix="clipwire-")
-        base = _local_scratch[app]
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{base.rstrip('/')}/clipwire/{label}-{uuid.uuid4().hex}"
-
-
-def is_small(
-    df: DataFrame,
-    max_rows: int = BROADCAST_MAX_ROWS,
-    max_bytes: int = BROADCAST_MAX_BYTES,
-) -> bool:
-    """True if ``df`` is proven to stay within both bounds, so it may be broadcast.
-
-    Reads row sizes only, partition by partition, and stops one row past the bound: a
-    huge table is found out in its first partitions. Arrays, maps and structs have no
-    known size, so a frame with such a column is never small.
-    """
-    row_bytes = F.lit(0).cast("bigint")
-    for field in df.schema:
-        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            return False
-        size = F.lit(16)
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            size += F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
-        row_bytes += size
-    sizes = df.select(row_bytes.alias("row_bytes")).take(max_rows + 1)
-    return len(sizes) <= max_rows and sum(r["row_bytes"] for r in sizes) <= max_bytes

@@ -4,6 +4,7 @@ from clipwire.sources.payloads import (
     history_union,
     ingest_articles,
     read_payload_files,
+    rejected_articles,
     rejected_payloads,
 )
 from clipwire.sources.tables import (
@@ -21,6 +22,7 @@ __all__ = [
     "load_table",
     "read_csv_export",
     "read_payload_files",
+    "rejected_articles",
     "rejected_payloads",
     "write_csv_export",
     "write_overwrite",

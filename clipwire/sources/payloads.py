@@ -7,8 +7,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from clipwire.schema import CORRUPT_COLUMN, PAYLOAD_SCHEMA
+from clipwire.schema import (
+    ARTICLE_SCHEMA,
+    CORRUPT_COLUMN,
+    EXTRA_COLUMN,
+    PAYLOAD_SCHEMA,
+    POSITION_COLUMN,
+)
 
 _PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
 
@@ -25,25 +32,46 @@ def _parsed(payloads: DataFrame, value: str) -> DataFrame:
     return payloads.withColumn("_payload", F.from_json(value, PAYLOAD_SCHEMA, _PERMISSIVE))
 
 
-def _is_corrupt() -> Column:
-    return F.col(f"_payload.{CORRUPT_COLUMN}").isNotNull()
+def _is_corrupt(parsed: str = "_payload") -> Column:
+    return F.col(f"{parsed}.{CORRUPT_COLUMN}").isNotNull()
 
 
-def ingest_articles(payloads: DataFrame, value: str = "value") -> DataFrame:
-    """One row per article; other columns of ``payloads`` are kept.
-
-    Payloads without articles give no rows. A malformed payload gives none either: see
-    ``rejected_payloads``. Works on batch and streaming frames.
-    """
+def _articles(payloads: DataFrame, value: str) -> DataFrame:
+    """Each article's JSON text and fields, with its position and the payload's other columns."""
     others = [c for c in payloads.columns if c != value]
     # The corrupt payloads go inside the explode: a filter before it would be rewritten
     # to parse each payload again.
     found = F.when(~_is_corrupt(), F.col("_payload.articles"))
+    schema = T.StructType([*ARTICLE_SCHEMA.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
     return (
         _parsed(payloads, value)
-        .select(*others, F.explode(found).alias("_article"))
-        .where(F.col("_article").isNotNull())
-        .select("_article.*", *others)
+        .select(*others, F.posexplode(found).alias(POSITION_COLUMN, "_json"))
+        .where(F.col("_json").isNotNull())
+        .withColumn("_article", F.from_json("_json", schema, _PERMISSIVE))
+    )
+
+
+def ingest_articles(payloads: DataFrame, value: str = "value") -> DataFrame:
+    """One row per article; other columns of ``payloads`` are kept.
+
+    ``extra`` holds an article's unknown fields as a JSON object, null if it has none, and
+    ``position`` its place in the payload from 0, which is the order the sender ranked it in.
+    Payloads without articles give no rows. A malformed payload gives none either, and a
+    malformed article is left out alone: see ``rejected_payloads``, ``rejected_articles``.
+    Works on batch and streaming frames.
+    """
+    others = [c for c in payloads.columns if c != value]
+    fields = F.from_json("_json", "map<string,string>")
+    unknown = F.map_filter(fields, lambda k, _: ~k.isin(*ARTICLE_SCHEMA.names))
+    return (
+        _articles(payloads, value)
+        .where(~_is_corrupt("_article"))
+        .select(
+            *[f"_article.{name}" for name in ARTICLE_SCHEMA.names],
+            F.when(F.size(unknown) > 0, F.to_json(unknown)).alias(EXTRA_COLUMN),
+            POSITION_COLUMN,
+            *[c for c in others if c not in (EXTRA_COLUMN, POSITION_COLUMN)],
+        )
     )
 
 
@@ -52,6 +80,12 @@ def rejected_payloads(payloads: DataFrame, value: str = "value") -> DataFrame:
     return _parsed(payloads, value).where(_is_corrupt()).drop("_payload")
 
 
+def rejected_articles(payloads: DataFrame, value: str = "value") -> DataFrame:
+    """The malformed articles of good payloads, as their JSON in ``value``."""
+    bad = _articles(payloads, value).where(_is_corrupt("_article"))
+    return bad.select(*[F.col("_json").alias(c) if c == value else c for c in payloads.columns])
+
+
 def history_union(batches: Iterable[DataFrame]) -> DataFrame | None:
     """All batches as one frame by column name; ``None`` if there is no batch.
 

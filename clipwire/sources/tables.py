@@ -28,6 +28,29 @@ def load_table(
     return df if since is None else df.where(F.col(PARTITION_COLUMN) >= F.lit(since))
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
+def folders(spark: SparkSession, path: str) -> dict[str, int]:
+    """The folders within a folder, by name, with the time each was last changed."""
+    store, place = _file_system(spark, path)
+    if not store.exists(place):
+        return {}
+    return {
+        f.getPath().getName(): f.getModificationTime()
+        for f in store.listStatus(place)
+        if f.isDirectory()
+    }
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all in it, if it is there."""
+    store, place = _file_system(spark, path)
+    store.delete(place, True)
+
+
 def _by_partition(df: DataFrame) -> DataFrame:
     # Rebalancing brings a day together into few files; AQE splits a day that is too
     # big for one task and merges days that are small.

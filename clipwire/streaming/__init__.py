@@ -1,6 +1,7 @@
 """Structured Streaming: article streams, merge without duplicates, running counts."""
 
 from clipwire.streaming.articles import (
+    TOPIC,
     append_raw,
     append_rejects,
     available_now,
@@ -14,6 +15,7 @@ from clipwire.streaming.dedup import stream_dedup
 from clipwire.streaming.merge import new_articles, stream_stage_merge
 
 __all__ = [
+    "TOPIC",
     "append_raw",
     "append_rejects",
     "available_now",

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clipwire.operators.windows import stamp_from_date
 from clipwire.schema import PARTITION_COLUMN
-from clipwire.sources.payloads import ingest_articles, rejected_payloads
+from clipwire.sources.payloads import ingest_articles, rejected_articles, rejected_payloads
 from clipwire.sources.tables import DEFAULT_FORMAT
 
 # Fixed value: the topic the payloads are sent to, one whole payload per message.
@@ -50,9 +50,10 @@ def append_rejects(
     trigger: dict | None = None,
     fmt: str = DEFAULT_FORMAT,
 ) -> StreamingQuery:
-    """Append the malformed payloads of a stream to a table of their own."""
+    """Append the malformed payloads and articles of a stream to a table of their own."""
+    bad = rejected_payloads(payloads).select("value")
     return (
-        rejected_payloads(payloads)
+        bad.union(rejected_articles(payloads).select("value"))
         .writeStream.format(fmt)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)

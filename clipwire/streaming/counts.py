@@ -2,65 +2,83 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from clipwire.sources.tables import DEFAULT_FORMAT, load_table
+from clipwire.functions.dates import day_parts, published_date
+from clipwire.sources.tables import DEFAULT_FORMAT, delete_folder, folders, load_table
 from clipwire.streaming.articles import available_now
-from clipwire.streaming.dedup import with_event_time
 
-_DAY_SECONDS = 24 * 60 * 60
+TOTALS_SCHEMA = T.StructType(
+    [
+        T.StructField("published_day", T.DateType()),
+        T.StructField("news_count", T.LongType()),
+    ]
+)
 
 
-def _utc_day(start: Column) -> Column:
-    return F.date_from_unix_date(F.floor(F.unix_seconds(start) / _DAY_SECONDS).cast("int"))
+def _run_folder(path: str, checkpoint: str) -> str:
+    return f"{path}/run={hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
 
 
-def day_windows(articles: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Running article count per UTC day; a day closes ``delay`` after its end."""
-    return (
-        with_event_time(articles, delay)
-        .groupBy(F.window("published_ts", "1 day").alias("_day"))
-        .agg(F.count("*").alias("news_count"))
-        .select(_utc_day(F.col("_day.start")).alias("published_day"), "news_count")
-    )
+def _batch_folder(run: str, batch_id: int) -> str:
+    return f"{run}/batch={batch_id:010d}"
 
 
 def stream_counts_by_day(
     articles: DataFrame,
     path: str,
     checkpoint: str,
-    delay: str = "1 day",
     trigger: dict | None = None,
     fmt: str = DEFAULT_FORMAT,
 ) -> StreamingQuery:
-    """Write, per micro-batch, the new counts of the days it changed.
+    """Keep the articles per written day of a stream, as ``count_by_day`` counts them.
 
-    Each batch has its own folder, which a repeated batch replaces, so no count is
-    ever added twice. ``latest_counts`` reads the result.
+    Each micro-batch adds its own counts to the totals of the batch before and writes the
+    sums to a folder of its own, one row per day. No article is late, and dates that are
+    none are counted under null. A batch that runs again after a failure starts from the
+    same totals, so nothing is added twice; older totals are deleted. Each checkpoint has
+    totals of its own, and one that starts anew starts from none.
     """
+    run = _run_folder(path, checkpoint)
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.format(fmt).mode("overwrite").save(f"{path}/batch_id={batch_id}")
+        session = batch.sparkSession
+        if batch_id == 0:
+            delete_folder(session, run)
+        counts = batch.groupBy(published_date().alias("published_day")).agg(
+            F.count("*").alias("news_count")
+        )
+        if batch_id > 0:
+            before = load_table(session, _batch_folder(run, batch_id - 1), fmt, TOTALS_SCHEMA)
+            counts = counts.union(before).groupBy("published_day")
+            counts = counts.agg(F.sum("news_count").alias("news_count"))
+        counts.write.format(fmt).mode("overwrite").save(_batch_folder(run, batch_id))
+        delete_folder(session, _batch_folder(run, batch_id - 2))
 
     return (
-        day_windows(articles, delay)
-        .writeStream.outputMode("update")
-        .foreachBatch(save)
+        articles.writeStream.foreachBatch(save)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or available_now()))
         .start()
     )
 
 
-def latest_counts(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
-    """Articles per year, month and day, as of the last micro-batch."""
-    day = F.col("published_day")
-    return (
-        load_table(spark, path, fmt)
-        .groupBy(
-            F.year(day).alias("year"), F.month(day).alias("month"), F.dayofmonth(day).alias("day")
-        )
-        .agg(F.max_by("news_count", "batch_id").alias("news_count"))
-    )
+def latest_counts(
+    spark: SparkSession, path: str, checkpoint: str | None = None, fmt: str = DEFAULT_FORMAT
+) -> DataFrame:
+    """Articles per year, month and day, as of the last micro-batch.
+
+    Of the query with the given ``checkpoint``, or of the one that wrote last.
+    """
+    if checkpoint is not None:
+        run = _run_folder(path, checkpoint)
+    else:
+        runs = {f"{path}/{name}" for name in folders(spark, path)}
+        run = max(runs, key=lambda r: max(folders(spark, r).items(), key=lambda f: f[0])[1])
+    last = load_table(spark, f"{run}/{max(folders(spark, run))}", fmt, TOTALS_SCHEMA)
+    return last.select(*day_parts("published_day"), "news_count")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from clipwire.functions.dates import published_ts
 from clipwire.schema import ARTICLE_KEYS
@@ -17,10 +16,7 @@ def with_event_time(articles: DataFrame, delay: str) -> DataFrame:
 
 
 def stream_dedup(
-    articles: DataFrame,
-    delay: str = "1 day",
-    keys: Sequence[str] = ARTICLE_KEYS,
-    slices: int = 32,
+    articles: DataFrame, delay: str = "1 day", keys: Sequence[str] = ARTICLE_KEYS
 ) -> DataFrame:
     """The first seen article of each key, among those at most ``delay`` apart.
 
@@ -28,13 +24,7 @@ def stream_dedup(
     time is never late, but is forgotten at once, so its repeats in later batches pass;
     ``stream_stage_merge`` has no such limit.
 
-    Repeats are first dropped within ``slices`` of each key, by input partition, so the
-    task that settles a hot key gets few of its rows.
+    One state per key, and one state only: a second stage before it would remember copies
+    that are dropped here, and so drop later ones that are to stay.
     """
-    timed = with_event_time(articles, delay)
-    sliced = timed.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(slices)))
-    return (
-        sliced.dropDuplicatesWithinWatermark([*keys, "_slice"])
-        .drop("_slice")
-        .dropDuplicatesWithinWatermark(list(keys))
-    )
+    return with_event_time(articles, delay).dropDuplicatesWithinWatermark(list(keys))

@@ -15,7 +15,6 @@ from pyspark.sql.streaming import StreamingQuery
 from clipwire.operators.dedup import dedup_latest
 from clipwire.operators.windows import stamp_from_date
 from clipwire.schema import ARTICLE_KEYS, RAW_SCHEMA
-from clipwire.session import is_small
 from clipwire.sources.tables import (
     DEFAULT_FORMAT,
     load_table,
@@ -39,18 +38,16 @@ def new_articles(
     target: DataFrame,
     keys: Sequence[str] = ARTICLE_KEYS,
     tie: Sequence[str] = ("url",),
-    lookup: bool | None = None,
+    lookup: bool = False,
 ) -> DataFrame:
     """The latest row of each key in ``batch`` whose key is not in ``target``.
 
-    If the batch keys are proven small they are broadcast to the scan of the target's key
-    columns, so the target is not shuffled, and only keys found there come back.
-    Otherwise the distinct target keys are shuffled to the batch.
+    The distinct target keys are shuffled to the batch. With ``lookup``, for a batch known
+    to be small, its keys are broadcast to the scan of the target's key columns, so that
+    the target is not shuffled and only keys found there come back.
     """
     latest = dedup_latest(batch, keys, tie=tie)
     stored = target.select(*keys)
-    if lookup is None:
-        lookup = is_small(batch.select(*keys))
     if lookup:
         asked = F.broadcast(_keys_of(batch, keys).distinct())
         stored = stored.join(asked, _same_key(stored, asked, keys), "left_semi")

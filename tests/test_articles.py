@@ -1,7 +1,10 @@
 import datetime as dt
 
+import pytest
+
 from clipwire.functions import keyword_match, published_date, published_ts
 from clipwire.operators import (
+    count_keyword_occurrences,
     flatten_source,
     keyword_filter,
     relevance_strict,
@@ -102,3 +105,13 @@ def test_dates_follow_the_string_in_any_zone(spark):
 def test_article_schema_takes_a_batch_with_an_all_null_column(spark):
     row = (("a", "b"), None, "t", None, None, None, None, None)
     assert spark.createDataFrame([row], ARTICLE_SCHEMA).count() == 1
+
+
+def test_blank_words_are_refused(spark):
+    for bad in ([], [" "], ["a", ""]):
+        with pytest.raises(ValueError, match="blank"):
+            search_query(flat(spark, {}), bad)
+        with pytest.raises(ValueError, match="blank"):
+            keyword_filter(flat(spark, {}), bad)
+    with pytest.raises(ValueError, match="given"):
+        count_keyword_occurrences(flat(spark, {}), [])

@@ -3,7 +3,7 @@ import json
 
 from clipwire.operators import stamp_from_date
 from clipwire.plans import daily_job
-from clipwire.schema import ARTICLE_SCHEMA, MEMORY_SCHEMA, RAW_SCHEMA
+from clipwire.schema import INGESTED_SCHEMA, MEMORY_SCHEMA, RAW_SCHEMA
 from clipwire.session import scratch_dir
 from clipwire.sources import (
     history_union,
@@ -11,6 +11,7 @@ from clipwire.sources import (
     load_table,
     read_csv_export,
     read_payload_files,
+    rejected_articles,
     rejected_payloads,
     write_csv_export,
     write_overwrite,
@@ -55,15 +56,31 @@ def test_ingest_takes_all_articles_and_only_good_payloads(spark):
     )
     out = ingest_articles(df)
     assert rows(out, "title") == [("a",), ("b",)]
-    assert [f.name for f in out.schema] == ARTICLE_SCHEMA.names
+    assert [f.name for f in out.schema] == INGESTED_SCHEMA.names
+    assert rows(out, "extra", "position") == [('{"unknown":"1"}', 0), ('{"unknown":"1"}', 1)]
     assert {r[0] for r in rows(rejected_payloads(df))} == {
         "not json", '{"articles": "text"}', '{"articles": [{"title": ',
     }
 
 
 def test_each_payload_is_parsed_once(spark):
-    plan = ingest_articles(_payloads(spark, "{}"))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("from_json") + plan.count("JsonToStructs") <= 1
+    path = scratch_dir(spark, "once")
+    _payloads(spark, _payload("a")).write.text(path)
+    out = ingest_articles(read_payload_files(spark, path))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("StructField(articles,") == 1
+
+
+def test_a_bad_article_rejects_itself_only(spark):
+    bad = {"title": "bad", "source": "text"}
+    payload = json.loads(_payload("a", "b"))
+    payload["articles"].insert(1, bad)
+    df = _payloads(spark, json.dumps(payload), '{"articles": [7, "x", {}]}', "broken")
+    out = ingest_articles(df)
+    assert rows(out, "title", "position") == [(None, 2), ("a", 0), ("b", 2)]
+    rejected = rows(rejected_articles(df), "value")
+    assert [json.loads(r[0]) if r[0][0] == "{" else r[0] for r in rejected] == ["7", "x", bad]
+    assert rows(rejected_payloads(df)) == [("broken",)]
 
 
 def test_payload_files_by_day(spark):
@@ -93,7 +110,7 @@ def test_daily_job_takes_a_map_source_and_keeps_other_columns(spark):
     )
     write_partition_append(raw, f"{out}/raw")
     write_overwrite(spark.createDataFrame([], MEMORY_SCHEMA), f"{out}/memory")
-    paths = daily_job(spark, f"{out}/raw", f"{out}/memory", out, since=DAY)
+    paths = daily_job(spark, f"{out}/raw", f"{out}/memory", out)
     harmonized = spark.read.parquet(paths["harmonized"])
     assert rows(harmonized, "source_name", "extra", "title_pt") == [("S", "more", "genes")]
 

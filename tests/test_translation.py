@@ -8,8 +8,9 @@ from clipwire.operators import (
     translation_pending,
 )
 from clipwire.plans import harmonize
+from clipwire.streaming import new_articles
 from clipwire.schema import ARTICLE_SCHEMA, MEMORY_SCHEMA
-from clipwire.session import is_small, scratch_dir
+from clipwire.session import scratch_dir
 from helpers import rows
 
 TEXT = "url string, title string, description string, content string"
@@ -32,7 +33,7 @@ def _memory(spark, *pairs):
     return spark.createDataFrame(pairs or [("hello", "olá"), ("world", "mundo")], MEMORY_SCHEMA)
 
 
-WAYS = [(True, None), (False, True), (False, False), (False, None), (None, None)]
+WAYS = [(True, False), (False, True), (False, False)]
 
 
 @pytest.mark.parametrize("lookup,few", WAYS)
@@ -62,7 +63,7 @@ def test_a_repeated_or_failed_memory_entry_does_no_harm(spark, lookup, few):
     )
 
 
-@pytest.mark.parametrize("lookup", [True, False, None])
+@pytest.mark.parametrize("lookup", [True, False])
 def test_pending_is_distinct_and_without_known_texts(spark, lookup):
     memory = _memory(spark, ("hello", "olá"), ("hello", "oi"), ("x", None))
     assert rows(translation_pending(_articles(spark), memory, lookup=lookup)) == [
@@ -99,13 +100,50 @@ def test_a_failed_translation_is_no_keyword_match(spark):
     assert keyword_filter(out, ["genes"]).count() == 0
 
 
-def test_is_small_by_rows_and_bytes(spark):
-    df = spark.range(100).selectExpr("repeat('x', 100) AS text")
-    assert is_small(df)
-    assert not is_small(df, max_rows=99)
-    assert is_small(df, max_rows=100)
-    assert not is_small(df, max_bytes=5_000)
-    assert not is_small(df.selectExpr("array(text) AS texts"))
+def test_the_store_adds_up_and_errors_are_tried_again(spark):
+    store, asked = scratch_dir(spark, "adds-up"), spark.sparkContext.accumulator(0)
+
+    def first(text):
+        if text == "other":
+            raise ValueError("busy")
+        return None if text == "x" else f"<{text}>"
+
+    def second(texts):
+        asked.add(len(texts))
+        return [f"[{t}]" for t in texts]
+
+    half = _articles(spark).where("url <> '4'")
+    translate_udf(half, first, store)
+    assert rows(spark.read.parquet(store), "text", "text_pt", "error") == [
+        ("hello", "<hello>", None), ("other", None, "busy"), ("world", "<world>", None),
+    ]
+    out = translate_udf(_articles(spark), second, store, batched=True)
+    assert asked.value == 3
+    assert rows(out, "url", "content_pt")[-2:] == [("3", None), ("4", "[x]")]
+    assert ("2", "[other]") in rows(out, "url", "content_pt")
+    # The store itself may be the memory of another run, which then asks nothing.
+    again = translate_udf(_articles(spark), second, store, spark.read.parquet(store), batched=True)
+    assert asked.value == 3 and rows(again, "content_pt") == rows(out, "content_pt")
+
+
+def test_answers_that_are_no_strings_are_errors(spark):
+    texts = spark.createDataFrame([("a",), ("b",)], "text string")
+    got = rows(translate_texts(texts, lambda t: 7 if t == "a" else "B"))
+    assert got[0][1] is None and "not a string" in got[0][2] and got[1] == ("b", "B", None)
+    short = rows(translate_texts(texts.coalesce(1), lambda ts: ["A"], batched=True))
+    assert all(r[1] is None and "1 answers for 2 texts" in r[2] for r in short)
+
+
+def test_building_a_frame_starts_no_job(spark):
+    articles, memory = _articles(spark), _memory(spark)
+    spark.sparkContext.setJobGroup("building", "no job may start here")
+    try:
+        translate_enrich(articles, memory)
+        translation_pending(articles, memory)
+        new_articles(articles.selectExpr("*", "'a' AS author", "'1' AS publishedAt"), articles.selectExpr("title", "'a' AS author"))
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 @pytest.mark.parametrize("lookup", [True, False])

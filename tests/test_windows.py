@@ -31,6 +31,17 @@ def test_windows_are_half_open_and_31_long(spark):
     ]
 
 
+def test_windows_go_by_the_instant(spark):
+    df = _at(spark, "2024-01-01T23:30:00-05:00", "2024-01-02T00:30:00+01:00", "2024-01-02T01:00:00+01:00")
+    assert rows(assign_windows(df, TODAY), "url", "from_date") == [
+        ("0", dt.date(2024, 1, 2)), ("1", dt.date(2024, 1, 1)), ("2", dt.date(2024, 1, 2)),
+    ]
+    assert rows(assign_windows(df, TODAY, closed=True), "url", "from_date") == [
+        ("0", dt.date(2024, 1, 2)), ("1", dt.date(2024, 1, 1)),
+        ("2", dt.date(2024, 1, 1)), ("2", dt.date(2024, 1, 2)),
+    ]
+
+
 def test_closed_windows_share_midnight(spark):
     df = _at(spark, "2024-01-02T00:00:00Z", "2024-01-02T00:00:01Z", "2024-02-01T00:00:00Z")
     out = assign_windows(df, TODAY, closed=True)
