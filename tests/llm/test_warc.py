@@ -1,0 +1,103 @@
+import hashlib
+import io
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from clipwire.llm import warc
+from clipwire.llm.common import stored
+from clipwire.llm.queries import llm_queries
+from clipwire.session import scratch_dir
+
+PAGE = "page_id long, url string, html string"
+
+
+def write(spark, rows, **sizes):
+    df = spark.createDataFrame(rows, PAGE).withColumns({"payload": F.lit(1), "sha": F.lit(2), "bundle": F.lit("x")})
+    folder = scratch_dir(spark, "bundles")
+    index = stored(warc.write_bundles(warc.records(df), folder, **sizes), "index")
+    return folder, index
+
+
+def test_round_trip_of_odd_pages(spark):
+    big = "é<p>" * 50_000
+    rows = [(k, f"http://a/{k}", f"page {k}") for k in range(40)]
+    rows += [(100, None, None), (101, "u", ""), (102, "a\r\nWARC-Type: x%0A", big), (103, "v", big), (None, "n", "page 5"), (None, "m", None)]
+    rows += [(104, "w", "WARC/1.1\r\n\r\nx\r\n\r\n"), (7, "again", "page 7"), (7, "again", "page 7")]
+    folder, index = write(spark, rows, frame_bytes=300, bundle_bytes=900)
+    got = warc.read_bundles(index, folder).collect()
+    assert len(got) == len(rows)
+    assert sorted((r.page_id is None, r.page_id, str(r.url)) for r in got) == sorted((p is None, p, str(u)) for p, u, _ in rows)
+    first = {}
+    for p, _, html in rows:
+        first[html or ""] = max(first.get(html or "", p), p, key=lambda x: -1 if x is None else x)
+    html = {(p, u): h or "" for p, u, h in rows}
+    for r in got:
+        payload = html[r.page_id, r.url].encode()
+        best = first[html[r.page_id, r.url]]
+        assert r.payload_digest == warc.digest(payload) and r.payload_bytes == len(payload)
+        assert (r.record_type, r.refers_to) == (("response", None) if r.page_id == best else ("revisit", best))
+        assert r.payload == (payload if r.record_type == "response" else b"")
+    assert index.select("bundle").distinct().count() > 1
+
+
+def test_one_record_by_the_index(spark):
+    folder, index = write(spark, [(k, "u", f"text {k} " * 50) for k in range(30)], frame_bytes=2000)
+    entry = index.where("page_id = 17").first()
+    head, block = warc.read_record(folder, entry.bundle, entry.frame, entry.start, entry.length)
+    assert head["WARC-Record-ID"] == entry.record_id and block == b"text 17 " * 50
+    assert index.agg(F.max("frame")).first()[0] > 2
+    with pytest.raises(ValueError, match="another bundle"):
+        warc.read_record(folder, entry.bundle, entry.frame, entry.start, entry.length - 1)
+
+
+def test_bundles_are_plain_zstandard_files(spark):
+    import zstandard
+
+    folder, index = write(spark, [(k, "u", f"text {k}") for k in range(9)], frame_bytes=200)
+    store, base = warc.filesystem(folder)
+    names = sorted(r.bundle for r in index.select("bundle").distinct().collect())
+    assert sorted(n for n in os.listdir(base) if not n.endswith(".crc")) == names
+    whole = b""
+    for name in names:
+        with open(f"{base}/{name}", "rb") as file:
+            reader = zstandard.ZstdDecompressor().stream_reader(file, read_across_frames=True)
+            whole += reader.read()
+    assert whole.count(b"WARC/1.1\r\n") == 9
+
+
+def test_seek_table():
+    data = io.BytesIO(b"x" * 7 + b"y" * 5 + warc.seek_table([(7, 70), (5, 50)]))
+    assert warc.frames_of(data) == [(0, 7, 70), (7, 5, 50)]
+    with pytest.raises(ValueError, match="seek table"):
+        warc.frames_of(io.BytesIO(b"z" * 40))
+
+
+def test_small_payloads_may_all_be_responses(spark):
+    df = spark.createDataFrame([(1, "u", "abc"), (2, "u", "abc"), (3, "u", "long text"), (4, "u", "long text")], PAGE)
+    got = {r.page_id: r.record_type for r in warc.records(df, least=5).collect()}
+    assert got == {1: "response", 2: "response", 3: "revisit", 4: "response"}
+
+
+def test_a_damaged_payload_is_noticed(spark):
+    row = {"page_id": 1, "url": "u", "payload": b"abc", "payload_digest": warc.digest(b"abd"), "payload_bytes": 3, "record_type": "response", "refers_to": None}
+    with pytest.raises(ValueError, match="damaged"):
+        warc._rows(warc.serialize(row))
+
+
+def test_no_pages(spark):
+    folder, index = write(spark, [])
+    assert warc.read_bundles(index, folder).count() == 0
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.001"
+    got = {r.page_id: r for r in llm_queries()["op7_seekable_warc"](spark, sf).collect()}
+    pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
+    assert len(got) == len(pages)
+    for p in pages:
+        raw = (p.html or "").encode()
+        assert got[p.page_id].payload_bytes == len(raw)
+        assert got[p.page_id].payload_digest == warc.digest(raw)
+        assert len(hashlib.sha1(raw).digest()) == 20
