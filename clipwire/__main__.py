@@ -99,6 +99,7 @@ def _insert(spark: SparkSession, found: DataFrame, raw: str, fmt: str) -> None:
 def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
     args = _parser().parse_args(arguments)
     if args.job == "history":
+        streaming.forget_keys(spark, args.raw)
         payloads = sources.read_payload_files(spark, args.payloads)
         articles = sources.ingest_articles(payloads)
         if "from_date" not in articles.columns:
@@ -150,6 +151,7 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
         memory = sources.load_table(spark, args.memory, args.fmt, MEMORY_SCHEMA)
         sources.write_overwrite(ops.translation_pending(raw, memory), args.out, args.fmt)
     elif args.job == "collect":
+        streaming.forget_keys(spark, args.raw)
         payloads = sources.read_payload_files(spark, args.payloads)
         articles = sources.ingest_articles(payloads)
         found = plans.collect_recent(articles, args.to, terms=args.terms, days=args.days)

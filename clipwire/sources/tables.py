@@ -33,6 +33,11 @@ def _file_system(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    store, place = _file_system(spark, path)
+    return store.exists(place)
+
+
 def folders(spark: SparkSession, path: str) -> dict[str, int]:
     """The folders within a folder, by name, with the time each was last changed."""
     store, place = _file_system(spark, path)

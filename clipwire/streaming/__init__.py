@@ -12,7 +12,7 @@ from clipwire.streaming.articles import (
 )
 from clipwire.streaming.counts import latest_counts, stream_counts_by_day
 from clipwire.streaming.dedup import stream_dedup
-from clipwire.streaming.merge import new_articles, stream_stage_merge
+from clipwire.streaming.merge import forget_keys, make_keys, new_articles, stream_stage_merge
 
 __all__ = [
     "TOPIC",
@@ -20,9 +20,11 @@ __all__ = [
     "append_rejects",
     "available_now",
     "file_payloads",
+    "forget_keys",
     "hourly_batches",
     "kafka_payloads",
     "latest_counts",
+    "make_keys",
     "new_articles",
     "stream_articles",
     "stream_counts_by_day",

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -17,12 +18,26 @@ from clipwire.operators.windows import stamp_from_date
 from clipwire.schema import ARTICLE_KEYS, RAW_SCHEMA
 from clipwire.sources.tables import (
     DEFAULT_FORMAT,
+    delete_folder,
+    folder_exists,
     load_table,
     write_overwrite,
     write_partition_append,
 )
 from clipwire.streaming.articles import available_now
 
+#: Folders of a key table. A micro-batch reads those its keys fall into.
+BUCKETS = 64
+KEYS_SCHEMA = T.StructType(
+    [
+        T.StructField("_digest", T.BinaryType()),
+        T.StructField("_run", T.StringType()),
+        T.StructField("_batch", T.LongType()),
+        T.StructField("_day", T.DateType()),
+        T.StructField("_bucket", T.IntegerType()),
+    ]
+)
+
 
 def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     # Null-safe: an article without author equals its stored copy without author.
@@ -55,6 +70,54 @@ def new_articles(
     return latest.join(known, _same_key(latest, known, keys), "left_anti")
 
 
+def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with the digest of its keys, nulls included, and the bucket the digest is in."""
+    key = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+    digested = df.withColumn("_digest", F.unhex(F.sha2(key, 256)))
+    return digested.withColumn("_bucket", F.pmod(F.xxhash64("_digest"), F.lit(BUCKETS)).cast("int"))
+
+
+def keys_path(target: str) -> str:
+    """Where the key table of the table at ``target`` is."""
+    return f"{target.rstrip('/')}_keys"
+
+
+def forget_keys(spark: SparkSession, target: str) -> None:
+    """Delete the key table, so that the next merge makes it anew.
+
+    Call it before another job writes to ``target``.
+    """
+    delete_folder(spark, keys_path(target))
+
+
+def make_keys(
+    spark: SparkSession,
+    target: str,
+    keys: Sequence[str] = ARTICLE_KEYS,
+    schema: T.StructType = RAW_SCHEMA,
+    fmt: str = DEFAULT_FORMAT,
+) -> None:
+    """Write the key table of all articles in ``target``. It also does away with small files."""
+    stored = _keyed(load_table(spark, target, fmt, schema), keys)
+    rows = stored.groupBy("_digest", "_bucket").agg(F.max("from_date").alias("_day"))
+    rows = rows.select("_digest", F.lit("").alias("_run"), F.lit(-1).cast("long").alias("_batch"), "_day", "_bucket")
+    _save_keys(rows, target, "overwrite", fmt)
+
+
+def _save_keys(rows: DataFrame, target: str, mode: str, fmt: str) -> None:
+    by_bucket = rows.hint("rebalance", F.col("_bucket"))
+    by_bucket.write.format(fmt).mode(mode).partitionBy("_bucket").save(keys_path(target))
+
+
+def known_keys(
+    spark: SparkSession, target: str, digests: DataFrame, fmt: str = DEFAULT_FORMAT
+) -> DataFrame:
+    """The rows of the key table for some digests; reads only the buckets these are in."""
+    hit = [r[0] for r in digests.select("_bucket").distinct().collect()]  # at most BUCKETS
+    index = load_table(spark, keys_path(target), fmt, KEYS_SCHEMA).where(F.col("_bucket").isin(hit))
+    return index.join(digests.select("_digest"), "_digest", "left_semi")
+
+
 def stream_stage_merge(
     articles: DataFrame,
     target: str,
@@ -69,23 +132,46 @@ def stream_stage_merge(
 ) -> StreamingQuery:
     """Insert a stream of articles into the table at ``target`` without duplicates.
 
-    Each micro-batch is first written to ``staging``, in place of the one before, then
-    checked and inserted from there. A batch that runs again after a failure is staged
-    anew and inserts only what is still missing. Each query needs its own ``staging``.
+    Each micro-batch is first written to ``staging``, in place of the one before. Its keys are
+    looked up in a narrow table of key digests beside the target, of which only the buckets that
+    the batch falls into are read; the target is not. Keys are written first, with the batch
+    they came with, then the articles. A batch that runs again after a failure does not
+    take its own keys for known, and looks for its articles in the days it wrote to
+    before. So none is lost and none comes twice. Each query needs its own ``staging``.
+
+    Other jobs that write to the target call ``forget_keys`` first.
     """
     spark = articles.sparkSession
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
     # An empty table of the right shape, unless one is there.
     empty = spark.createDataFrame([], schema)
     empty.write.format(fmt).mode("ignore").partitionBy("from_date").save(target)
+    if not folder_exists(spark, keys_path(target)):
+        make_keys(spark, target, keys, schema, fmt)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
+        day = from_date or session.range(1).select(F.current_date()).first()[0]
         write_overwrite(batch, staging, fmt)
         staged = load_table(session, staging, fmt, batch.schema)
-        stored = load_table(session, target, fmt, schema)
-        write_partition_append(
-            stamp_from_date(new_articles(staged, stored, keys, tie), from_date), target, fmt
-        )
+        latest = _keyed(dedup_latest(staged, keys, tie=tie), keys)
+        known = known_keys(session, target, latest, fmt)
+        own = (F.col("_run") == run) & (F.col("_batch") == batch_id)
+        fresh = latest.join(known.where(~own).select("_digest"), "_digest", "left_anti")
+        before = known.where(own)
+        days = [r[0] for r in before.select("_day").distinct().collect()]
+        new = fresh.join(before.select("_digest"), "_digest", "left_anti")
+        new = new.select(
+            "_digest", F.lit(run).alias("_run"), F.lit(batch_id).cast("long").alias("_batch"),
+            F.lit(day).alias("_day"), "_bucket",
+        )
+        _save_keys(new, target, "append", fmt)
+        if days:
+            stored = load_table(session, target, fmt, schema).where(F.col("from_date").isin(days))
+            there = _keyed(stored.select(*keys), keys).select("_digest")
+            fresh = fresh.join(there, "_digest", "left_anti")
+        rows = stamp_from_date(fresh.drop("_digest", "_bucket"), day)
+        write_partition_append(rows, target, fmt)
 
     return (
         articles.writeStream.foreachBatch(merge)

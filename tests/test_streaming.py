@@ -5,16 +5,23 @@ import os
 import pytest
 
 from clipwire.checks import registry
-from clipwire.operators import count_by_day
+from clipwire.operators import count_by_day, stamp_from_date
 from clipwire.schema import RAW_SCHEMA
 from clipwire.session import scratch_dir
-from clipwire.sources import ingest_articles, load_table, read_payload_files
+from clipwire.sources import (
+    ingest_articles,
+    load_table,
+    read_payload_files,
+    write_partition_append,
+)
 from clipwire.streaming import (
     append_raw,
     available_now,
     file_payloads,
     hourly_batches,
     latest_counts,
+    make_keys,
+    merge,
     new_articles,
     stream_articles,
     stream_counts_by_day,
@@ -85,6 +92,59 @@ def test_merge_inserts_each_article_once(spark, landing):
     assert run("one") == [(None, "n", DAY), (None, "v", DAY), ("a", "t", DAY), ("a", "u", DAY)]
 
 
+@pytest.mark.parametrize("when", ["before", "after"])
+def test_merge_after_a_crash(spark, landing, monkeypatch, when):
+    """A crash between the key write and the article write, or between that and the commit."""
+    out = scratch_dir(spark, "crash")
+    write, crashes = merge.write_partition_append, []
+
+    def crash(df, path, fmt):
+        if when == "after":
+            write(df, path, fmt)
+        crashes.append(path)
+        raise RuntimeError("executor lost")
+
+    def run(day):
+        return stream_stage_merge(
+            _stream(spark, landing), f"{out}/raw", f"{out}/staging", f"{out}/cp", from_date=day
+        )
+
+    monkeypatch.setattr(merge, "write_partition_append", crash)
+    with pytest.raises(Exception, match="executor lost"):
+        run(DAY).awaitTermination()
+    monkeypatch.setattr(merge, "write_partition_append", write)
+    # The second try is on another day.
+    run(DAY + dt.timedelta(1)).awaitTermination()
+    table = load_table(spark, f"{out}/raw", schema=RAW_SCHEMA)
+    assert crashes and rows(table, "author", "title") == [(None, "n"), ("a", "t"), ("a", "u")]
+
+
+def test_merge_reads_only_the_buckets_hit(spark, landing):
+    out = scratch_dir(spark, "buckets")
+    stream_stage_merge(
+        _stream(spark, landing), f"{out}/raw", f"{out}/staging", f"{out}/cp"
+    ).awaitTermination()
+    batch = spark.createDataFrame([("a", "t")], "author string, title string")
+    keyed = merge._keyed(batch, ["author", "title"])
+    found = merge.known_keys(spark, f"{out}/raw", keyed)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    bucket = keyed.first()["_bucket"]
+    assert f"(_bucket" in plan and f"= {bucket})" in plan.split("PartitionFilters: [")[1]
+    assert found.count() == 1
+
+
+def test_merge_knows_what_other_jobs_wrote(spark, landing):
+    out = scratch_dir(spark, "others")
+    raw = stamp_from_date(ingest_articles(read_payload_files(spark, landing.path)), DAY)
+    write_partition_append(raw.where("url IN ('2', '3')"), f"{out}/raw")
+    for n in (1, 2):
+        stream_stage_merge(
+            _stream(spark, landing), f"{out}/raw", f"{out}/staging", f"{out}/cp{n}"
+        ).awaitTermination()
+        assert rows(load_table(spark, f"{out}/raw"), "url") == [("2",), ("3",), ("5",)]
+        make_keys(spark, f"{out}/raw")
+
+
 def test_merge_takes_the_latest_copy_within_a_batch(spark, landing):
     out = scratch_dir(spark, "latest")
     stream_stage_merge(
