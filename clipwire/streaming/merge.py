@@ -27,7 +27,7 @@ from clipwire.sources.tables import (
 from clipwire.streaming.articles import available_now
 
 #: Folders of a key table. A micro-batch reads those its keys fall into.
-BUCKETS = 64
+BUCKETS = 16
 KEYS_SCHEMA = T.StructType(
     [
         T.StructField("_digest", T.BinaryType()),
