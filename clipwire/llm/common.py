@@ -30,3 +30,32 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def fold(doc_id: Column, folds: int) -> Column:
     """The fold of a document: CRC-32 of its id as text, modulo ``folds``; 0 without an id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0))
+
+
+def hash_order() -> list[Column]:
+    """Documents in an order that has nothing to do with their content."""
+    return [F.xxhash64("doc_id"), F.col("doc_id")]
+
+
+def likely_first(rows: Column, n: int) -> Column:
+    """True for some four times ``n`` of ``rows`` rows, the first by :func:`hash_order`.
+
+    Filter by it before a sort with a limit of ``n``: else every task would hand on ``n`` rows.
+    """
+    share = F.least(F.lit(1.0), F.lit(4.0 * n) / F.greatest(rows, F.lit(1)))
+    return F.xxhash64("doc_id").cast("double") <= share * 2.0**64 - 2.0**63
+
+
+def hash_sample(df: DataFrame, n: int) -> DataFrame:
+    """At most ``n`` rows of ``df``, the first by :func:`hash_order`."""
+    return df.where(likely_first(F.lit(df.count()), n)).orderBy(*hash_order()).limit(n)
+
+
+def joined_apart(df: DataFrame, small: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """``df`` joined on a column with ``small``, an aggregate that has one row for each value.
+
+    AQE splits a hot value only where both sides of the join come straight from a shuffle. Under
+    its old name the column would spare the aggregate its shuffle, so it gets a new one.
+    """
+    again = small.withColumn("_again", F.array_max(F.array(on))).drop(on)
+    return df.join(again, F.col(on) == F.col("_again"), how).drop("_again")

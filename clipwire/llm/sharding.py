@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clipwire.llm.common import stored
+from clipwire.llm.common import joined_apart, stored
 
 DIMENSIONS = ("log_size", "lang_place", "source_place", "id_place")
 BINS = 512
@@ -98,17 +98,16 @@ def metadata(docs: DataFrame, shards: int) -> DataFrame:
         "lang",
         "source",
     )
-    rows = stored(rows, "shard-rows")
-    group = ["text_hash", "text_crc32", "size"]
+    rows = stored(rows, "shard-rows").withColumn("group", F.struct("text_hash", "text_crc32", "size"))
     first = F.min(F.struct("doc_id", "lang", "source")).alias("first")
-    groups = rows.groupBy(*group).agg(F.sum("size").alias("group_bytes"), first)
+    groups = rows.groupBy("group").agg(F.sum("size").alias("group_bytes"), first)
     total, low, high = rows.agg(F.sum("size"), F.min("doc_id"), F.max("doc_id")).first()
     span = float((high or 0) - (low or 0)) or 1.0
     limit = (total or 0) / shards * WHOLE_GROUP
     heavy = F.col("group_bytes") > limit
     own = F.xxhash64(F.lit(7), "doc_id", "text_hash")
     return stored(
-        rows.drop("lang", "source").join(groups, group).select(
+        joined_apart(rows.drop("lang", "source"), groups, "group").select(
             "doc_id",
             "size",
             "text_crc32",

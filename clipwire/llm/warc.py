@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from clipwire.llm.common import joined_apart
+
 #: Fixed values of the seekable format.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 
@@ -56,8 +58,9 @@ def records(pages: DataFrame, least: int = 0) -> DataFrame:
     payload = F.coalesce("html", F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", payload.alias("payload"))
     rows = rows.select("*", F.unhex(F.sha1("payload")).alias("sha"), F.octet_length("payload").alias("size"))
-    first = rows.where(F.col("size") >= least).groupBy("sha", "size").agg(F.max("page_id").alias("first"))
-    both = rows.join(first, ["sha", "size"], "left")
+    rows = rows.withColumn("same", F.struct("sha", "size"))
+    first = rows.where(F.col("size") >= least).groupBy("same").agg(F.max("page_id").alias("first"))
+    both = joined_apart(rows, first, "same", "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
 
     @F.pandas_udf("string")

@@ -1,0 +1,48 @@
+"""A value that holds a third of all rows is split, not one task's work."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from clipwire.llm import warc
+from clipwire.llm.common import joined_apart
+
+CONF = {
+    "spark.sql.shuffle.partitions": "32",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+}
+
+
+@pytest.fixture
+def small_tasks(spark):
+    before = {k: spark.conf.get(k) for k in CONF}
+    for k, v in CONF.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def splits(df):
+    rows = df.toPandas()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return len(rows), plan[: plan.index("Initial Plan")].count("skew=true")
+
+
+def test_equal_payloads(small_tasks):
+    pages = small_tasks.range(0, 30_000, 1, 8).selectExpr(
+        "id AS page_id", "sha2(cast(id * 7 AS string), 512) AS url",
+        "if(id % 3 = 0, 'hot page', concat('page ', sha2(cast(id AS string), 512))) AS html",
+    )
+    records = warc.records(pages)
+    assert splits(records) == (30_000, 1)
+    hot = records.where("record_type = 'revisit'").agg(F.count("*"), F.min("refers_to")).first()
+    assert tuple(hot) == (9_999, 29_997)
+
+
+def test_links_of_one_node(small_tasks):
+    links = small_tasks.range(0, 60_000, 1, 8).selectExpr("if(id % 2 = 0, 0, id) AS u", "id + 1 AS v")
+    least = links.groupBy("u").agg(F.min("v").alias("m"))
+    assert splits(joined_apart(links, least, "u")) == (60_000, 1)
