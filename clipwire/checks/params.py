@@ -14,6 +14,4 @@ PRODUCER_TO = "2024-01-02T12:00:00"
 PRODUCER_DAYS = 1
 REWRITE_TO = "2024-01-03T00:00:00"
 PAGE_SIZE = 10
-# Shorter than the time covered by the events, so articles of the first day come late at the end.
-STREAM_DELAY = "1 day"
 FILES_PER_BATCH = 2

@@ -410,12 +410,12 @@ def _payload_stream(spark, sf, label):
     again = payloads.where(F.col("from_date") == F.lit(days[0])).select("value")
     again.repartition(2).write.text(f"{landing}/landing/again")
     stream = streaming.file_payloads(spark, f"{landing}/landing/*", P.FILES_PER_BATCH)
-    return streaming.stream_articles(stream), landing
+    return streaming.stream_articles(stream), landing, len(days)
 
 
 @query
 def stream_articles(spark, sf):
-    stream, folder = _payload_stream(spark, sf, "stream-articles")
+    stream, folder, _ = _payload_stream(spark, sf, "stream-articles")
     streaming.append_raw(stream, f"{folder}/raw", f"{folder}/checkpoint").awaitTermination()
     return sources.load_table(spark, f"{folder}/raw").select(*_ID, "content")
 
@@ -433,7 +433,7 @@ def stream_rejects(spark, sf):
 
 @query
 def stream_stage_merge(spark, sf):
-    stream, folder = _payload_stream(spark, sf, "stream-merge")
+    stream, folder, _ = _payload_stream(spark, sf, "stream-merge")
     for run in ("first", "second"):
         # The second run sees every payload again and must add nothing.
         streaming.stream_stage_merge(
@@ -444,8 +444,11 @@ def stream_stage_merge(spark, sf):
 
 @query
 def stream_dedup(spark, sf):
-    stream, folder = _payload_stream(spark, sf, "stream-dedup")
-    unique = streaming.stream_dedup(stream, P.STREAM_DELAY).drop("published_ts")
+    stream, folder, days = _payload_stream(spark, sf, "stream-dedup")
+    # Too long for a key to be forgotten before the last day, short enough for the first day
+    # to be late when it comes once more.
+    delay = f"{max(1, days - 2)} days"
+    unique = streaming.stream_dedup(stream, delay).drop("published_ts")
     streaming.append_raw(unique, f"{folder}/raw", f"{folder}/checkpoint").awaitTermination()
     # Which of a day's copies comes first depends on file order, so of each row its key and day
     # are compared, and that it is one of the rows that came in.
@@ -459,7 +462,7 @@ def stream_dedup(spark, sf):
 
 @query
 def stream_counts_by_day(spark, sf):
-    stream, folder = _payload_stream(spark, sf, "stream-counts")
+    stream, folder, _ = _payload_stream(spark, sf, "stream-counts")
     streaming.stream_counts_by_day(
         stream, f"{folder}/counts", f"{folder}/checkpoint"
     ).awaitTermination()

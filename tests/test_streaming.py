@@ -259,7 +259,7 @@ def test_stream_counts_take_the_written_day_and_count_bad_dates(spark, tmp_path)
 
 
 def test_registered_streams_have_many_batches(spark):
-    stream, folder = registry._payload_stream(spark, "/root/testdata/sf0.001", "count-batches")
+    stream, folder, _ = registry._payload_stream(spark, "/root/testdata/sf0.001", "count-batches")
     query = append_raw(stream, f"{folder}/raw", f"{folder}/checkpoint")
     query.awaitTermination()
     assert len([p for p in query.recentProgress if p["numInputRows"]]) >= 3
