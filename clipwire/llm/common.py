@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +15,20 @@ WORD_GAP = "\\x20\\x09-\\x0D"
 WORD = f"[^{WORD_GAP}]+"
 
 
+def _workers_import(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where it is.
+
+    On a cluster, ship it with ``--py-files``; a folder that is not there does no harm.
+    """
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the given folder, for a query whose functions are in this package."""
+    _workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
