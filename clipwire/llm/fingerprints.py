@@ -20,17 +20,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clipwire.llm.common import WORD_GAP
+from clipwire.llm.common import WORD_GAP, stored
 
 SAMPLES = 32
 SHINGLE = 5
 #: Documents of a range of ids, on average, and ranges of a range of ranges.
 RANGE, RANGES = 256, 4096
+#: Documents of a task, so that their terms fit into memory; beyond so many tasks they spill.
+IN_TASK, MOST_TASKS = 2048, 100_000
 
 #: Bits of a sample's identity, and of its value after the binary point; values are under 64.
 _ID_BITS, _VALUE_BITS = 20, 36
 _ID_MASK = (1 << _ID_BITS) - 1
 _DIGITS = _ID_BITS // 4
+#: What each t adds to a term's identity.
+_T_STEP = 0x9E3779B1
 
 
 def word_hashes(text: Column) -> Column:
@@ -44,18 +48,19 @@ def _sample(term: Column, weight: Column, k: int) -> Column:
 
     Values are rounded to 2**-36; of equal ones the lesser identity wins, for any texts alike.
     """
-    bits, more = F.xxhash64(term, F.lit(2 * k)), F.xxhash64(term, F.lit(2 * k + 1))
+    bits = F.xxhash64(term, F.lit(2 * k))
 
     def uniform(h: Column, shift: int) -> Column:
-        part = F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << 32) - 1)).cast("double")
-        return part * F.lit(2.0**-32) + F.lit(2.0**-33)
+        part = F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << 21) - 1)).cast("double")
+        return part * F.lit(2.0**-21) + F.lit(2.0**-22)
 
-    u1, u2 = uniform(bits, 0), uniform(bits, 32)
-    single = -F.log(uniform(more, 0) * uniform(more, 32)) * u2
+    u2 = uniform(bits, 0)
+    single = -F.log(uniform(bits, 21) * uniform(bits, 42)) * u2
+    u1 = uniform(F.xxhash64(term, F.lit(2 * k + 1)), 0)  # matters only to weights over 1
     r = -F.log(u1 * u2)
-    t = F.floor((F.log(weight) - F.log(u1)) / r)
+    t = F.floor(F.log(weight / u1) / r)
     value = single * F.when(weight == 1, 1.0).when(weight > 1, F.exp(-r * t))
-    identity = F.when((weight == 1) | (t == 0), term).otherwise(F.xxhash64(term, t))
+    identity = F.when(weight == 1, term).otherwise(term.bitwiseXOR(t * F.lit(_T_STEP)))
     return F.floor(value * F.lit(2.0**_VALUE_BITS)) * F.lit(1 << _ID_BITS) + identity.bitwiseAND(F.lit(_ID_MASK))
 
 
@@ -80,18 +85,20 @@ def fingerprint_pairs(
     rows: DataFrame,
     keys: list[str],
     first: str,
-    second: str,
+    second: str | None,
     carried: list[str],
     samples: int = SAMPLES,
     shingle: int = SHINGLE,
 ) -> DataFrame:
-    """Fingerprints ``first_fp`` and ``second_fp`` of two texts of each row.
+    """Fingerprints ``first_fp`` and ``second_fp`` of two texts of each row, or of one text.
 
     ``keys`` tell rows apart; where ``rows`` are partitioned by some of them, nothing is shuffled.
     ``carried`` are columns of whole numbers that are kept, one at least. Texts of fewer words
     than ``shingle`` have one term, texts without words none; null is such a text.
     """
-    hashed = rows.select(*keys, *carried, word_hashes(F.col(first)).alias("h1"), word_hashes(F.col(second)).alias("h2"))
+    h2 = F.array().cast("array<bigint>") if second is None else word_hashes(F.col(second))
+    texts = {"first_w": "first_fp"} if second is None else {"first_w": "first_fp", "second_w": "second_fp"}
+    hashed = rows.select(*keys, *carried, word_hashes(F.col(first)).alias("h1"), h2.alias("h2"))
     nothing = F.lit(None).cast("long")
     pad = lambda h: F.concat(h, F.array_repeat(nothing, F.greatest(F.lit(0), shingle - F.size(h))))
     count = lambda h: F.when(F.size(h) == 0, 0).otherwise(F.greatest(F.lit(1), F.size(h) - (shingle - 1)))
@@ -125,38 +132,41 @@ def fingerprint_pairs(
     least = [
         F.min(_sample(F.col("term"), F.col(w), k)).alias(f"{w}_{k}")
         for k in range(samples)
-        for w in ("first_w", "second_w")
+        for w in texts
     ]
     kept = [F.max(F.when(~F.col("real") & (F.col("term") == -1 - k), F.col("w1"))).alias(n) for k, n in enumerate(carried)]
     sampled = weighed.groupBy(*keys).agg(*kept, *least)
     return sampled.select(
         *keys,
         *carried,
-        _as_text([F.col(f"first_w_{k}") for k in range(samples)]).alias("first_fp"),
-        _as_text([F.col(f"second_w_{k}") for k in range(samples)]).alias("second_fp"),
+        *[_as_text([F.col(f"{w}_{k}") for k in range(samples)]).alias(name) for w, name in texts.items()],
     )
 
 
 def fingerprints(docs: DataFrame, samples: int = SAMPLES, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id`` and ``fingerprint`` for every row of ``docs``; equal texts have equal ones."""
-    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"), F.lit("").alias("none"))
-    made = fingerprint_pairs(rows, ["row"], "text", "none", ["doc_id"], samples, shingle)
+    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    made = fingerprint_pairs(rows, ["row"], "text", None, ["doc_id"], samples, shingle)
     return made.select("doc_id", F.col("first_fp").alias("fingerprint"))
 
 
-def in_ranges(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text``, ``range`` and ``spot``: 1, 2, ... in a range, ids descending.
+def with_ranges(docs: DataFrame) -> tuple[DataFrame, int]:
+    """``doc_id``, ``text`` and ``range`` of every row, and the number of rows.
 
     Ranges are of equal width and hold ``RANGE`` documents on average, if ids are spread evenly. Null
-    ids are a range of their own below all others. Rows with equal ids go by a hash of their text.
+    ids are a range of their own below all others.
     """
     low, high, rows = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
     width = 1 if low is None else max(1, -(-(high - low + 1) * RANGE // rows))
     wide = lambda c: c.cast("decimal(20,0)")
     number = F.floor((wide(F.col("doc_id")) - wide(F.lit(low or 0))) / wide(F.lit(width))).cast("long")
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // 2048))
-    ranged = docs.select("doc_id", "text", F.coalesce(number, F.lit(-1)).alias("range")).repartition(parts, "range")
-    return ranged.withColumn("spot", F.row_number().over(_in_range()))
+    return docs.select("doc_id", "text", F.coalesce(number, F.lit(-1)).alias("range")), rows
+
+
+def in_order(ranged: DataFrame, rows: int) -> DataFrame:
+    """``ranged`` with ``spot``: 1, 2, ... in a range, ids descending, equal ids by a hash of their text."""
+    parts = max(int(ranged.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(-(-rows // IN_TASK), MOST_TASKS))
+    return ranged.repartition(parts, "range").withColumn("spot", F.row_number().over(_in_range()))
 
 
 def _in_range():
@@ -168,8 +178,13 @@ def range_heads(ranged: DataFrame) -> DataFrame:
 
     Ranges are put in order within ranges of ranges, and these by their first and last.
     """
-    heads = ranged.where("spot = 1").select("range", F.col("text").alias("head"))
-    ids = heads.select("range", F.floor(F.col("range") / RANGES).alias("group"))
+    # Stored, so that Spark knows its size: while small it is broadcast, and texts stay in place.
+    first = stored(ranged.groupBy("range").agg(F.max("doc_id").alias("top_id")), "range-tops")
+    tops = first.select(F.col("range").alias("of_range"), "top_id")
+    top = (F.col("range") == F.col("of_range")) & F.col("doc_id").eqNullSafe(F.col("top_id"))
+    there = ranged.join(tops, top)
+    heads = there.groupBy("range").agg(F.min_by("text", F.xxhash64("text")).alias("head"))
+    ids = first.select("range", F.floor(F.col("range") / RANGES).alias("group"))
     down = W.partitionBy("group").orderBy(F.col("range").desc())
     within = ids.select("range", "group", F.lead("range").over(down).alias("after"))
     groups = ids.groupBy("group").agg(F.max("range").alias("top"))
@@ -195,8 +210,9 @@ def edited_pairs(docs: DataFrame, samples: int = SAMPLES, shingle: int = SHINGLE
     A null text is empty. Texts without words are as like as can be to each other, and unlike
     all others. Other columns are ignored; no rows give none.
     """
-    ranged = in_ranges(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    ranged, count = with_ranges(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     heads = range_heads(ranged)
+    ranged = in_order(ranged, count)
     n = F.length("text")
     rows = ranged.withColumn("after", F.lead("text").over(_in_range())).join(heads, "range", "left")
     after = F.coalesce("after", "head")
@@ -207,8 +223,8 @@ def edited_pairs(docs: DataFrame, samples: int = SAMPLES, shingle: int = SHINGLE
     rows = rows.select("range", "spot", "doc_id", n.cast("long").alias("n_chars"), *parts, "text", "edited")
     carried = ["doc_id", "n_chars", *[f"sha{k}" for k in range(4)]]
     made = fingerprint_pairs(rows, ["range", "spot"], "text", "edited", carried, samples, shingle)
-    ends = heads.select("range", "head", F.lit("").alias("none"), F.lit(0).cast("long").alias("zero"))
-    ends = fingerprint_pairs(ends, ["range"], "head", "none", ["zero"], samples, shingle)
+    ends = heads.select("range", "head", F.lit(0).cast("long").alias("zero"))
+    ends = fingerprint_pairs(ends, ["range"], "head", None, ["zero"], samples, shingle)
     both = made.withColumn("after_fp", F.lead("first_fp").over(W.partitionBy("range").orderBy("spot")))
     both = both.join(ends.select("range", F.col("first_fp").alias("head_fp")), "range", "left")
     return both.select(
