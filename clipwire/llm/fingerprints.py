@@ -163,14 +163,8 @@ def with_ranges(docs: DataFrame) -> tuple[DataFrame, int]:
     return docs.select("doc_id", "text", F.coalesce(number, F.lit(-1)).alias("range")), rows
 
 
-def in_order(ranged: DataFrame, rows: int) -> DataFrame:
-    """``ranged`` with ``spot``: 1, 2, ... in a range, ids descending, equal ids by a hash of their text."""
-    parts = max(int(ranged.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(-(-rows // IN_TASK), MOST_TASKS))
-    return ranged.repartition(parts, "range").withColumn("spot", F.row_number().over(_in_range()))
-
-
 def _in_range():
-    return W.partitionBy("range").orderBy(F.col("doc_id").desc(), F.xxhash64("text"))
+    return W.partitionBy("range").orderBy("guest", F.col("doc_id").desc(), F.xxhash64("text"))
 
 
 def range_heads(ranged: DataFrame) -> DataFrame:
@@ -199,6 +193,21 @@ def range_heads(ranged: DataFrame) -> DataFrame:
     return linked.join(heads, "range").select(F.col("of").alias("range"), "head")
 
 
+def in_order(ranged: DataFrame, rows: int) -> DataFrame:
+    """``ranged`` with ``spot`` (1, 2, ... in a range, ids descending), ``after`` and ``guest``.
+
+    ``after`` is the next row's text. Each range gets one row more, the first of the range that
+    follows, as its ``guest``, so that its last row has a next one without looking elsewhere.
+    """
+    heads = stored(range_heads(ranged), "range-heads")
+    guests = heads.select(F.lit(None).cast("long").alias("doc_id"), F.col("head").alias("text"), "range")
+    both = ranged.withColumn("guest", F.lit(0)).unionByName(guests.withColumn("guest", F.lit(1)))
+    parts = max(int(ranged.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(-(-rows // IN_TASK), MOST_TASKS))
+    return both.repartition(parts, "range").select(
+        "*", F.row_number().over(_in_range()).alias("spot"), F.lead("text").over(_in_range()).alias("after")
+    )
+
+
 def edited_pairs(docs: DataFrame, samples: int = SAMPLES, shingle: int = SHINGLE) -> DataFrame:
     """Each document's fingerprint beside that of its edited text and that of the next document.
 
@@ -210,23 +219,22 @@ def edited_pairs(docs: DataFrame, samples: int = SAMPLES, shingle: int = SHINGLE
     A null text is empty. Texts without words are as like as can be to each other, and unlike
     all others. Other columns are ignored; no rows give none.
     """
-    ranged, count = with_ranges(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
-    heads = range_heads(ranged)
-    ranged = in_order(ranged, count)
-    n = F.length("text")
-    rows = ranged.withColumn("after", F.lead("text").over(_in_range())).join(heads, "range", "left")
-    after = F.coalesce("after", "head")
-    half = F.expr("length(text) div 2").cast("int")
-    rows = rows.withColumn("edited", F.concat(F.substr("text", F.lit(1), n - half), F.substr(after, F.lit(1), half)))
+    ranged, count = with_ranges(
+        docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    )
+    rows = in_order(ranged, count)
+    n, half = F.length("text"), F.expr("length(text) div 2").cast("int")
+    edited = F.concat(F.substr("text", F.lit(1), n - half), F.substr("after", F.lit(1), half))
+    rows = rows.withColumn("edited", F.when(F.col("guest") == 0, edited))
     sha = F.sha2("edited", 256)
     parts = [F.conv(F.substring(sha, 16 * k + 1, 16), 16, -10).cast("long").alias(f"sha{k}") for k in range(4)]
-    rows = rows.select("range", "spot", "doc_id", n.cast("long").alias("n_chars"), *parts, "text", "edited")
-    carried = ["doc_id", "n_chars", *[f"sha{k}" for k in range(4)]]
+    rows = rows.select(
+        "range", "spot", "doc_id", n.cast("long").alias("n_chars"), "guest", *parts, "text", "edited"
+    )
+    carried = ["doc_id", "n_chars", "guest", *[f"sha{k}" for k in range(4)]]
     made = fingerprint_pairs(rows, ["range", "spot"], "text", "edited", carried, samples, shingle)
-    ends = heads.select("range", "head", F.lit(0).cast("long").alias("zero"))
-    ends = fingerprint_pairs(ends, ["range"], "head", None, ["zero"], samples, shingle)
-    both = made.withColumn("after_fp", F.lead("first_fp").over(W.partitionBy("range").orderBy("spot")))
-    both = both.join(ends.select("range", F.col("first_fp").alias("head_fp")), "range", "left")
+    after_fp = F.lead("first_fp").over(W.partitionBy("range").orderBy("spot")).alias("after_fp")
+    both = made.select("*", after_fp).where("guest = 0")
     return both.select(
         "doc_id",
         "n_chars",
@@ -234,5 +242,5 @@ def edited_pairs(docs: DataFrame, samples: int = SAMPLES, shingle: int = SHINGLE
         F.col("first_fp").alias("fingerprint"),
         F.col("second_fp").alias("edited_fingerprint"),
         likeness(F.col("first_fp"), F.col("second_fp"), samples).alias("near_edited"),
-        likeness(F.col("first_fp"), F.coalesce("after_fp", "head_fp"), samples).alias("near_next"),
+        likeness(F.col("first_fp"), F.col("after_fp"), samples).alias("near_next"),
     )
