@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipwire.llm.common import stored
+from clipwire.llm.common import hash_sample, stored
 
 #: Labelled rows that the lexicon, the trees and the calibration are fitted on.
 SAMPLE = 8000
@@ -223,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, sample: int = SAMPLE)
     """
     known = labels.select("doc_id", "toxic").where(keep & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     ids = known.groupBy("doc_id").agg(F.max("toxic").alias("y"))
-    ids = stored(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "toxic-ids")
+    ids = stored(hash_sample(ids, sample), "toxic-ids")
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
     rows = stored(rows, "toxic-sample")
     words = F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+")

@@ -92,7 +92,7 @@ def test_run_is_its_stages(spark):
 def test_odd_documents(spark, documents, words):
     long = " ".join(words(3, 20_000))
     texts = [None, "", "12", long, long, "you are a pathetic idiot and scum", " ".join(words(4, 60))]
-    df = documents(texts, {"fp": 1, "score": "x", "lang_pred": 2, "n": 3, "row": 4, "tokens": 5, "found": 6, "taken": 7})
+    df = documents(texts, {"fp": 1, "score": "x", "lang_pred": 2, "n": 3, "row": 4, "tokens": 5, "found": 6, "taken_id": 7, "first_id": 8})
     df = df.union(df.where("doc_id = 6")).union(df.where("doc_id = 6").withColumn("doc_id", F.lit(None).cast("long")))
     for some, left in ((df, True), (df.limit(0), False)):
         docs = some
