@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from clipwire.llm.common import hash_order, likely_first
+
 WINDOW = 128
 WIDTHS = (2, 3, 4)
 FILTERS = 16
@@ -164,8 +166,10 @@ def training_sample(docs: DataFrame, keep: Column, per_language: int = PER_LANGU
     left out. Ids are chosen first, so that only the chosen texts are sorted.
     """
     usable = docs.where(keep & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = usable.select("doc_id", "lang").withColumn("n", F.row_number().over(order))
+    counts = docs.groupBy("lang").agg(F.count("*").alias("rows"))
+    some = usable.select("doc_id", "lang").join(counts, "lang")
+    some = some.where(likely_first(F.col("rows"), per_language))
+    ids = some.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy(*hash_order())))
     ids = ids.where(F.col("n") <= per_language).select("doc_id").distinct()
     rows = usable.select("doc_id", "text", "lang").join(F.broadcast(ids), "doc_id", "left_semi")
     return sorted(rows.select("lang", "text").collect())
