@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clipwire.llm.common import hash_order, likely_first
+from clipwire.llm.common import hash_order, likely_first, stored
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -166,7 +166,8 @@ def training_sample(docs: DataFrame, keep: Column, per_language: int = PER_LANGU
     left out. Ids are chosen first, so that only the chosen texts are sorted.
     """
     usable = docs.where(keep & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = docs.groupBy("lang").agg(F.count("*").alias("rows"))
+    # Stored, so that Spark knows its size and need not shuffle documents by language.
+    counts = stored(docs.groupBy("lang").agg(F.count("*").alias("rows")), "language-counts")
     some = usable.select("doc_id", "lang").join(counts, "lang")
     some = some.where(likely_first(F.col("rows"), per_language))
     ids = some.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy(*hash_order())))
