@@ -11,7 +11,9 @@ two pieces at least, so every pair of pieces is a block key. No link can be miss
 Blocks of least hashes: a radius that stands for a similarity of 0.8 is too wide for pieces
 of bits. There, texts share a block if the least of their shingle hashes agrees under one
 of ``MIN_HASHES`` mixings; a pair with a similarity of 0.8 misses all of them once in
-15,000 times.
+15,000 times. Fingerprints are of distinct shingles there and links by bits only candidates:
+within what they join, each pair in the radius is linked if the Jaccard similarity of its
+shingles is ``similarity`` or more, and by nothing else.
 
 Blocks with more rows than a tile are cut by bit count and hash, and each pair of cuts is a
 unit of its own, so no task gets a whole large block. A unit returns a spanning set of
@@ -27,15 +29,19 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipwire.llm.common import stored
+from clipwire.llm.common import joined_apart, stored
 from clipwire.llm.components import connected_components
 
 SEED = 42
 TILE = 2048
 MIN_HASHES = 6
+#: Texts of one group have so many of their shingles in common, and candidates differ in so many bits.
+SIMILARITY, RADIUS = 0.8, 74
+#: Shingles in a tile whose rows have theirs with them.
+SHINGLES = 1 << 21
 #: Runs of up to so many rows are compared by shifting, not by tiles.
 SHORT = 64
 
@@ -82,22 +88,47 @@ def simhash(hashes: np.ndarray, words: int = 1) -> bytes:
     return b"".join(out)
 
 
+def _digest(distinct: np.ndarray) -> bytes:
+    """Eight bytes that stand for a set of shingles."""
+    return xxhash.xxh64_digest(distinct.tobytes(), SEED)
+
+
 def _fingerprints(size: int, words: int, min_hashes: int):
-    """A column function: the fingerprint, and the least hashes if asked for."""
-    schema = "fp binary, ones int" + ", mins array<bigint>" * bool(min_hashes)
+    """A column function: the fingerprint, and the least hashes if asked for.
+
+    With these, shingles count once, a digest of their set follows the fingerprint, and
+    ``n`` is their number.
+    """
+    schema = "fp binary, ones int" + ", n int, mins array<bigint>" * bool(min_hashes)
 
     @F.pandas_udf(schema)
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            fps, mins = [], []
+            fps, ones, sizes, mins = [], [], [], []
             for text in texts:
                 h = shingle_hashes(text, size)
-                fps.append(simhash(h, words))
                 if min_hashes:
+                    h = np.unique(h)
                     least = [mixed(h, 8 + k).min() if len(h) else 0 for k in range(min_hashes)]
                     mins.append(np.array(least, np.uint64).astype(np.int64))
-            ones = [int.from_bytes(fp).bit_count() for fp in fps]
-            yield pd.DataFrame({"fp": fps, "ones": ones} | ({"mins": mins} if min_hashes else {}))
+                    sizes.append(len(h))
+                fp = simhash(h, words)
+                ones.append(int.from_bytes(fp).bit_count())
+                fps.append(fp + _digest(h) if min_hashes else fp)
+            more = {"n": sizes, "mins": mins} if min_hashes else {}
+            yield pd.DataFrame({"fp": fps, "ones": ones} | more)
+
+    return of
+
+
+def _shingle_sets(size: int):
+    """A column function: the digest and the distinct shingle hashes, ascending."""
+
+    @F.pandas_udf("digest binary, shingles binary")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            sets = [np.unique(shingle_hashes(text, size)) for text in texts]
+            yield pd.DataFrame({"digest": [_digest(h) for h in sets], "shingles": [h.tobytes() for h in sets]})
 
     return of
 
@@ -138,11 +169,15 @@ def _keyed(nodes: DataFrame, radius: int, min_hashes: int) -> DataFrame:
 
 
 def _units(keyed: DataFrame, radius: int, tile: int) -> DataFrame:
-    """(key, unit, fp): a block is one unit, or one for each near pair of its tiles if large."""
-    large = keyed.groupBy("key").count().where(F.col("count") > tile).select("key")
+    """(key, unit, fp): a block is one unit, or one for each near pair of its tiles if large.
+
+    A row counts as one in a tile, or as its ``load`` if there is such a column.
+    """
+    load = F.sum("load") if "load" in keyed.columns else F.count("*")
+    large = keyed.groupBy("key").agg(load.alias("load")).where(F.col("load") > tile).select("key")
     band = F.floor(F.col("ones") / (radius + 1)).cast("int")
     many = keyed.join(large, "key").withColumn("band", band)
-    slices = many.groupBy("key", "band").agg(F.ceil(F.count("*") / tile).cast("int").alias("slices"))
+    slices = many.groupBy("key", "band").agg(F.ceil(load / tile).cast("int").alias("slices"))
     tiles = slices.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("band", "slices"))).alias("tiles"))
     own = F.struct("band", F.pmod(F.xxhash64("fp"), F.col("tiles")[F.col("band")]).cast("int").alias("slice"))
     near = F.flatten(
@@ -221,71 +256,161 @@ def spanning(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return label
 
 
-def _links(units: DataFrame, radius: int) -> DataFrame:
-    """Spanning links (a, b) of each unit; rows come sorted by key and unit."""
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """The similarity of two ascending arrays of distinct hashes; 0 if both are empty."""
+    both = np.concatenate((a, b))
+    both.sort()
+    same = np.count_nonzero(both[1:] == both[:-1])
+    return same / max(1, len(both) - same)
+
+
+def similar(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
+    """:func:`spanning` for those of the links i-j whose sets are ``similarity`` alike or more.
+
+    A pair is not looked at once others have joined its rows.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    fit = np.minimum(sizes[i], sizes[j]) >= similarity * np.maximum(sizes[i], sizes[j])
+    i, j, label, step = i[fit], j[fit], np.arange(len(sets)), 256
+    left, right = [], []
+    while len(i):
+        for a, b in zip(i[:step].tolist(), j[:step].tolist()):
+            if jaccard(sets[a], sets[b]) >= similarity:
+                left.append(a)
+                right.append(b)
+        label = spanning(len(sets), np.array(left, np.int64), np.array(right, np.int64))
+        i, j, step = i[step:], j[step:], 2 * step
+        apart = label[i] != label[j]
+        i, j = i[apart], j[apart]
+    return label
+
+
+def _links(units: DataFrame, radius: int, words: int | None = None, similarity: float | None = None) -> DataFrame:
+    """Spanning links (a, b) of each unit; rows come sorted by key and unit.
+
+    The first ``words`` of 64 bits are compared. With ``similarity``, ``shingles`` decide.
+    """
 
-    def compared(keys: np.ndarray, unit: list, raw: list) -> pa.RecordBatch:
-        fp = np.frombuffer(b"".join(raw), ">u8").astype(np.uint64).reshape(len(raw), -1)
+    def compared(keys: np.ndarray, unit: list, raw: list, shingles: list) -> pa.RecordBatch:
+        fp = np.frombuffer(b"".join(raw), ">u8").astype(np.uint64).reshape(len(raw), -1)[:, :words]
         new = np.r_[False, (keys[1:] != keys[:-1]) | (np.array(unit[1:], object) != np.array(unit[:-1], object))]
         i, j = near_pairs(fp, np.cumsum(new), radius)
-        label = spanning(len(raw), i, j)
+        if similarity is None:
+            label = spanning(len(raw), i, j)
+        else:
+            label = similar([np.frombuffer(s, np.uint64) for s in shingles], i, j, similarity)
         moved = np.flatnonzero(label != np.arange(len(raw)))
         a = pa.array([raw[k] for k in moved], pa.binary())
         b = pa.array([raw[k] for k in label[moved]], pa.binary())
         return pa.RecordBatch.from_arrays([a, b], ["a", "b"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, unit, raw = np.zeros(0, np.int64), [], []
+        keys, unit, raw, shingles = np.zeros(0, np.int64), [], [], []
         for batch in batches:
             keys = np.concatenate((keys, batch.column("key").to_numpy(zero_copy_only=False)))
             unit += batch.column("unit").to_pylist()
             raw += batch.column("fp").to_pylist()
+            if similarity is not None:
+                shingles += batch.column("shingles").to_pylist()
             whole = len(raw)  # the last unit may go on in the next batch
             while whole and keys[whole - 1] == keys[-1] and unit[whole - 1] == unit[-1]:
                 whole -= 1
             if whole:
-                yield compared(keys[:whole], unit[:whole], raw[:whole])
-                keys, unit, raw = keys[whole:], unit[whole:], raw[whole:]
+                yield compared(keys[:whole], unit[:whole], raw[:whole], shingles[:whole])
+                keys, unit, raw, shingles = keys[whole:], unit[whole:], raw[whole:], shingles[whole:]
         if raw:
-            yield compared(keys, unit, raw)
+            yield compared(keys, unit, raw, shingles)
 
     dealt = units.repartition("key", "unit").sortWithinPartitions("key", "unit")
     return dealt.mapInArrow(scan, "a binary, b binary")
 
 
+def _alike(docs: DataFrame, nodes: DataFrame, moved: DataFrame, how: tuple) -> DataFrame:
+    """Links between nodes of one candidate component (``moved``) whose shingles are alike."""
+    shingle, words, radius, min_hashes, tile, similarity = how
+    members = moved.select(F.col("node").alias("member"), "root")
+    members = members.union(moved.select(F.col("root").alias("member"), "root").distinct())
+    load = F.greatest(F.lit(1.0), F.col("n") * (tile / SHINGLES)).alias("load")
+    found = nodes.join(members, nodes["fp"] == members["member"]).select(
+        "fp", "ones", "mins", "text_hash", "root", load
+    )
+    found = stored(found, "candidates")
+    # a component is one block if it fits into a tile, else it has the blocks of its least hashes
+    sizes = found.groupBy("root").agg(F.sum("load").alias("size"))
+    least = F.transform("mins", lambda m, k: F.xxhash64(k, m))
+    blocks = F.when(F.col("size") <= tile, F.array(F.xxhash64("root"))).otherwise(least)
+    keyed = joined_apart(found, sizes, "root").select(F.explode(blocks).alias("key"), "fp", "ones", "load")
+    units = _units(stored(keyed, "blocks"), radius, tile)
+    # texts of candidates only, each once, and none sorted for the joins; equal hashes of other texts find no node below
+    wanted = found.select("text_hash").distinct()
+    texts = docs.select("text", F.xxhash64("text").alias("text_hash"))
+    texts = joined_apart(texts, wanted.hint("shuffle_hash"), "text_hash").select("text").distinct()
+    hashed = _shingle_sets(shingle)(F.col("text"))
+    sets = texts.select(hashed.alias("h")).select("h.*")
+    own = units.withColumn("_digest", F.expr(f"substring(fp, {8 * words + 1}, 8)"))
+    rows = own.hint("shuffle_hash").join(sets, own["_digest"] == sets["digest"]).select("key", "unit", "fp", "shingles")
+    return _links(rows, radius, words, similarity)
+
+
+def _grouped(docs: DataFrame, kept: list, how: tuple) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``docs`` (``kept`` and fp), and for each fp its root and its least doc_id."""
+    shingle, words, radius, min_hashes, tile, _ = how
+    hashed = _fingerprints(shingle, words, min_hashes)(F.col("text"))
+    if min_hashes:
+        kept = [*kept, F.xxhash64("text").alias("text_hash")]
+    names = docs.select(kept).columns
+    prints = stored(docs.select(*kept, hashed.alias("h")).select(*names, "h.*"), "fingerprints")
+    firsts = [F.min("doc_id").alias("first"), F.min("ones").alias("ones")]
+    if min_hashes:
+        firsts += [F.min("mins").alias("mins"), F.min("n").alias("n"), F.min("text_hash").alias("text_hash")]
+    nodes = stored(prints.groupBy("fp").agg(*firsts), "nodes")
+    links = _links(_units(_keyed(nodes, radius, min_hashes), radius, tile), radius, words)
+    moved = connected_components(links)
+    if min_hashes:
+        moved = connected_components(_alike(docs, nodes, moved, how))
+    rooted = nodes.join(moved, nodes["fp"] == moved["node"], "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+    return prints, rooted
+
+
+def near_groups(docs: DataFrame, row: Column) -> DataFrame:
+    """``doc_id``, ``row`` and ``root`` for every row of ``docs``.
+
+    Rows of one component of :func:`near_duplicates`, with its defaults, have one ``root``, whatever
+    their ids are.
+    """
+    how = 5, 4, RADIUS, MIN_HASHES, TILE, SIMILARITY
+    prints, rooted = _grouped(docs, [F.col("doc_id"), row.alias("row")], how)
+    return joined_apart(prints.select("doc_id", "row", "fp"), rooted.select("fp", "root"), "fp").drop("fp")
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = 5,
     words: int = 4,
-    radius: int = 45,
+    radius: int = RADIUS,
     min_hashes: int = MIN_HASHES,
     tile: int = TILE,
+    similarity: float = SIMILARITY,
 ) -> DataFrame:
     """``doc_id``, ``fingerprint`` (binary), ``component_id`` for every row of ``docs``.
 
     ``component_id`` is the smallest ``doc_id`` that links lead to, the row's own included.
-    The defaults stand for a similarity of about 0.8 on shingles of five words: 256 bits,
-    of which texts at 0.8 differ in 39 on average, give or take 6. ``min_hashes=0`` uses
-    blocks of bits instead, exact for any texts, for 64 bits and a small radius.
+    By default texts are linked whose sets of five-word shingles have a Jaccard similarity of
+    0.8 or more; 256 bits with a radius of 74 find the candidates. Texts at 0.8 differ in 39
+    bits on average, give or take 6, and in 48 where they have only four or five shingles.
+    ``min_hashes=0`` links by the radius alone and uses blocks of bits instead, exact for any
+    texts, for 64 bits and a small radius.
 
     Null, empty and blank texts have fingerprint zero and are linked like any other. Equal
     texts, and repeated rows, have one component. A null ``doc_id`` is never a
     component's id unless the component has no other. Other columns are ignored. An empty
     table gives no rows.
     """
-    hashed = _fingerprints(shingle, words, min_hashes)(F.col("text"))
-    prints = stored(docs.select("doc_id", hashed.alias("h")).select("doc_id", "h.*"), "fingerprints")
-    firsts = [F.min("doc_id").alias("first"), F.min("ones").alias("ones")]
-    if min_hashes:
-        firsts.append(F.min("mins").alias("mins"))
-    nodes = stored(prints.groupBy("fp").agg(*firsts), "nodes")
-    links = _links(_units(_keyed(nodes, radius, min_hashes), radius, tile), radius)
-    moved = connected_components(links)
-    rooted = nodes.join(moved, nodes["fp"] == moved["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
+    how = shingle, words, radius, min_hashes, tile, similarity
+    prints, rooted = _grouped(docs, [F.col("doc_id")], how)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
-    return prints.select("doc_id", "fp").join(named, "fp").select(
-        "doc_id", F.col("fp").alias("fingerprint"), "component_id"
-    )
+    fingerprint = F.expr(f"substring(fp, 1, {8 * words})").alias("fingerprint")
+    return prints.select("doc_id", "fp").join(named, "fp").select("doc_id", fingerprint, "component_id")

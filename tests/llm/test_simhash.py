@@ -129,3 +129,68 @@ def test_near_copies_at_the_default_radius(documents, words):
     got = {r.doc_id: r.component_id for r in simhash.near_duplicates(documents(texts)).collect()}
     assert sum(got[d] == c for d, c in near.items()) >= 58
     assert all(got[d] == d for d, c in near.items() if c == d)
+
+
+def shingle_sets(texts):
+    out = []
+    for t in texts:
+        w = t.lower().split()
+        out.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    return out
+
+
+def plain_alike(texts, similarity=0.8):
+    """Component by document, from the similarity of all pairs of texts."""
+    sets, root = shingle_sets(texts), list(range(len(texts)))
+    for b in range(len(texts)):
+        for a in range(b):
+            both = len(sets[a] & sets[b])
+            if both >= similarity * (len(sets[a]) + len(sets[b]) - both):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    return root
+
+
+def test_links_are_pairs_at_the_similarity(documents, words):
+    """Pairs between 0.7 and 0.9, short ones at 0.8 and ones of one repeated passage."""
+    texts, r = [], np.random.default_rng(11)
+    for k in range(240):
+        w = words(k, 300)
+        texts.append(" ".join(w))
+        n = 3 + k % 8
+        for at in range(5, 5 + 30 * n, 30):
+            w[at] = f"changed{k}"
+        texts.append(" ".join(w))
+    for k in range(40):
+        w = words(5000 + k, 9)
+        texts += [" ".join(w), " ".join(w[:8])]
+    for k in range(4):
+        texts.append("stop stop stop stop stop " * 400 + " ".join(words(7000 + k, 60)))
+    alike = [len(a & b) / len(a | b) for a, b in zip(*[iter(shingle_sets(texts[:560]))] * 2)]
+    assert sum(0.8 <= a < 0.85 for a in alike) >= 80 and sum(0.7 < a < 0.8 for a in alike) >= 80
+    want = plain_alike(texts)
+    order = r.permutation(len(texts))
+    got = {x.doc_id: x.component_id for x in simhash.near_duplicates(documents([texts[k] for k in order])).collect()}
+    place = {int(k): n for n, k in enumerate(order)}
+    same = [(got[place[k]] == got[place[k + 1]], want[k] == want[k + 1]) for k in range(0, 560, 2)]
+    assert not any(g and not w for g, w in same)
+    assert sum(w and not g for g, w in same) <= 1
+    assert len({got[place[k]] for k in range(560, 564)}) == 4
+
+
+@pytest.mark.parametrize("tile", [8, 2048])
+def test_a_large_group_is_linked_as_all_pairs_are(documents, words, tile):
+    """Copies of copies, so that one group of candidates holds links and pairs that are none."""
+    r, texts = np.random.default_rng(2), []
+    for k in range(3):
+        versions = [words(100 + k, 80)]
+        for n in range(40):
+            w = list(versions[r.integers(0, len(versions))])
+            for at in r.choice(80, r.integers(0, 4), replace=False):
+                w[at] = f"w{k}x{n}x{at}"
+            versions.append(w)
+        texts += [" ".join(w) for w in versions]
+    want = plain_alike(texts)
+    got = {x.doc_id: x.component_id for x in simhash.near_duplicates(documents(texts), tile=tile).collect()}
+    assert 10 < len(set(want)) < len(texts)
+    assert sum(got[d] == c for d, c in enumerate(want)) >= len(texts) - 2
