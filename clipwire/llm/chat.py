@@ -30,6 +30,13 @@ _ESCAPED = r"(<|\[)\\(\\*)" + _INNER
 
 TURNS = "array<struct<role:string,text:string>>"
 
+#: Records of more bytes have their texts emptied before their paths are read, as Spark's
+#: parser of variants gives null beyond 128 MiB, or 20 million characters in one text.
+LARGE = 8 << 20
+_STRINGS = r"""(?s)("(?:[^"\\]|\\.)*+"\s*+:)|"(?:[^"\\]|\\.)*+(")"""
+_REPEATED = r"(\{[^{}]*+\})(?:\s*+,\s*+\1)++"
+_READING = {"maxStringLen": str(2**31 - 1), "columnNameOfCorruptRecord": "_unread"}
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -56,18 +63,29 @@ class Layout:
         return f"OBJECT<{', '.join(sorted(p for p, _ in self.fields))}>"
 
     def turns(self, record: Column) -> Column:
+        """The turns of such a record; an error if a large one cannot be read."""
+        unread = self._parsed(record)["_unread"].isNotNull() & _large(record)
+        return F.when(unread, _failed(TURNS)).otherwise(self._turns(record).cast(TURNS))
+
+    def _parsed(self, record: Column) -> Column:
         if self.array:
             kind = f"{self.array} array<struct<{self.role}:string,{self.text}:string>>"
+        else:
+            kind = ", ".join(f"{p} string" for p, _ in self.fields)
+        return F.from_json(record, f"{kind}, _unread string", _READING)
+
+    def _turns(self, record: Column) -> Column:
+        parsed = self._parsed(record)
+        if self.array:
             renamed = F.create_map(*[F.lit(x) for pair in self.roles.items() for x in pair])
             named = (lambda r: F.coalesce(F.try_element_at(renamed, r), r)) if self.roles else (lambda r: r)
             return F.transform(
-                F.from_json(record, kind)[self.array],
+                parsed[self.array],
                 lambda m: F.struct(
                     named(F.coalesce(m[self.role], F.lit(""))).alias("role"),
                     F.coalesce(m[self.text], F.lit("")).alias("text"),
                 ),
             )
-        parsed = F.from_json(record, ", ".join(f"{p} string" for p, _ in self.fields))
         made = [
             (p, F.struct(F.lit(r).alias("role"), F.coalesce(parsed[p], F.lit("")).alias("text")))
             for p, r in self.fields
@@ -99,9 +117,24 @@ LAYOUTS = (
 )
 
 
+def _large(record: Column) -> Column:
+    return F.octet_length(record) > LARGE
+
+
+def _failed(kind: str) -> Column:
+    return F.raise_error(F.lit(f"a record of more than {LARGE} bytes cannot be read")).cast(kind)
+
+
 def paths(record: Column) -> Column:
-    """The nested field paths of a JSON record, names sorted; null if it is no JSON."""
-    schema = F.schema_of_variant(F.try_parse_json(record))
+    """The nested field paths of a JSON record, names sorted; null if it is no JSON.
+
+    A record of more than ``LARGE`` bytes is read with its texts emptied and runs of equal
+    objects taken as one, which leaves the paths as they are. If it is no JSON, that is an error.
+    """
+    emptied = F.regexp_replace(F.regexp_replace(record, _STRINGS, "$1$2$2"), _REPEATED, "$1")
+    small = F.when(~_large(record), record).otherwise(emptied)
+    schema = F.schema_of_variant(F.try_parse_json(small))
+    schema = F.when(schema.isNull() & _large(record), _failed("string")).otherwise(schema)
     leaf = r": (?:STRING|VOID|BIGINT|DOUBLE|FLOAT|BOOLEAN|BINARY|DATE|TIMESTAMP(?:_NTZ)?|DECIMAL\(\d+,\d+\))(?=[,>])"
     return F.regexp_replace(schema, leaf, "")
 
@@ -114,7 +147,7 @@ def canonical_turns(records: DataFrame, layouts=LAYOUTS, record: str = "record")
     """``records`` with ``schema_fingerprint``, ``layout`` and ``turns`` (role, text).
 
     A record with other paths than any layout's, or that is null or no JSON, keeps its row:
-    ``layout`` and ``turns`` are null. Extra fields make other paths. Null roles and texts are
+    ``layout`` and ``turns`` are null; of more than ``LARGE`` bytes, no JSON is an error. Extra fields make other paths. Null roles and texts are
     empty. Columns of these three names are replaced.
     """
     skeleton = F.regexp_replace(paths(F.col(record)), "ARRAY<VOID>", "ARRAY<>")

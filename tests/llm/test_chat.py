@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -92,3 +93,38 @@ def test_no_python_in_the_plan(spark):
     df = llm_queries()["op8_chat_schema_fingerprint"](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_conversations_beyond_the_parsers_limits(spark):
+    """A text of over 20 million characters, and a record of over 128 MiB."""
+    long, part = 20_500_000, 8_500_000
+    rows = [(1, 0, "user", "q", 1), (1, 1, "assistant", 'a "b": \\', long // 8)]
+    rows += [(2, 0, "user", "x", long), (2, 1, "user", "y", 1), (2, 2, "assistant", "z", 1)]
+    rows += [(3, k, ("user", "assistant")[k % 2], "w", part) for k in range(16)]
+    rows += [(4, k, "user", f"{k}", 1) for k in range(3)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, n int")
+    df = df.withColumn("text", F.expr("repeat(text, n)"))
+    made = chat.canonical_turns(chat.records_of(df))
+    sizes = F.transform("turns", lambda t: F.length(t["text"])).alias("sizes")
+    got = {r.conv_id: (r.layout, r.sizes) for r in made.select("conv_id", "layout", sizes).collect()}
+    assert got == {
+        1: ("prompt", [1, long // 8 * 8]),
+        2: ("messages", [long, 1, 1]),
+        3: ("messages", [part] * 16),
+        4: ("messages", [1, 1, 1]),
+    }
+
+
+def test_large_records_have_the_paths_of_small_ones(spark, monkeypatch):
+    records = [
+        '{"messages": [{"role": "us\\"er", "content": "a: \\\\"}, {"role": "", "content": null}]}',
+        '{"prompt" : "{\\"x\\": [1, 2]}", "completion": "c", "meta": [{"k": 1.5}, {"k": "s"}, {"j": []}]}',
+        '["a", "b", {"c": {"d": "e"}}, {"c": {"d": "f"}}]',
+    ]
+    df = spark.createDataFrame([(r,) for r in records], "record string")
+    before = [r[0] for r in df.select(chat.paths(F.col("record"))).collect()]
+    monkeypatch.setattr(chat, "LARGE", 10)
+    assert [r[0] for r in df.select(chat.paths(F.col("record"))).collect()] == before
+    broken = spark.createDataFrame([('{"messages": [{"role": "x"',)], "record string")
+    with pytest.raises(Exception, match="cannot be read"):
+        chat.canonical_turns(broken).collect()
