@@ -103,3 +103,15 @@ def test_odd_documents(spark, documents, words):
                 assert {r.doc_id for r in docs.collect()} >= {0, 1, 2, 3, 4, 6, None}
         assert (docs.count() > 0) == left
         assert (pipeline.pack(spark, docs, SF).count() > 0) == left
+
+
+def test_each_group_keeps_one_row_whatever_its_ids_are(spark, documents, words):
+    a, b, c, d, e = [" ".join(words(50 + k, 60)) for k in range(5)]
+    rows = [(5, a), (5, b), (7, b), (None, c), (None, d), (None, d + " more"), (None, e), (9, e), (9, e), (5, None)]
+    df = documents([t for _, t in rows])
+    ids = F.element_at(F.array(*[F.lit(i).cast("long") for i, _ in rows]), F.col("doc_id").cast("int") + 1)
+    df = df.withColumn("doc_id", ids)
+    got = Counter((r.doc_id, r.text) for r in pipeline.keep_one_of_near_copies(spark, df, SF).collect())
+    copies = [got.pop((None, t), 0) for t in (d, d + " more")]
+    assert sorted(copies) == [0, 1]
+    assert got == Counter([(5, a), (5, b), (None, c), (9, e), (5, None)])
