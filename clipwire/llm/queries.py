@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipwire.llm import chat, fingerprints, langid, mixing, packing, quality, sharding, simhash, toxicity, warc
+from clipwire.llm import (
+    chat,
+    fingerprints,
+    infilling,
+    langid,
+    mixing,
+    packing,
+    personal,
+    quality,
+    resampling,
+    sharding,
+    simhash,
+    toxicity,
+    warc,
+)
 from clipwire.llm.common import fold, stored, table
 from clipwire.session import scratch_dir
 
@@ -154,3 +168,33 @@ def op7_seekable_warc(spark, sf):
     index = stored(warc.write_bundles(warc.records(table(spark, sf, "pages")), folder), "warc-index")
     read = warc.read_bundles(index, folder)
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op11_importance_resampling(spark, sf):
+    found = resampling.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op12_fill_in_middle(spark, sf):
+    made = infilling.fill_in_middle(table(spark, sf, "documents"))
+    text = infilling.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(text, 256).alias("restored_sha256"),
+    )
+
+
+@query
+def op13_skip_chain_personal_data(spark, sf):
+    docs = table(spark, sf, "documents")
+    found = personal.personal_data(docs, personal.fit(docs))
+    number = [personal.number_of("base", k).alias(f"n_{kind}") for k, kind in enumerate(personal.KINDS)]
+    digest = F.sha2(personal.told("base"), 256).alias("base_sha256")
+    return found.select("doc_id", *number, digest, personal.told("spans").alias("spans"))

@@ -115,5 +115,89 @@ FROM named
 """
 
 
+OP11 = r"""
+WITH cut AS (
+  SELECT 'd' AS side, doc_id, row_number() OVER () AS row,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+  UNION ALL SELECT 'b', NULL, row_number() OVER (),
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+  FROM benchmark
+), features AS (
+  SELECT side, row, unnest(list_concat(words, list_transform(range(1, len(words)),
+    lambda k: words[k] || ' ' || words[k + 1]))) AS feature
+  FROM cut
+), hashed AS (
+  SELECT feature, 4294967295 - list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+      range(1, octet_length(encode(feature)) + 1),
+      lambda k: list_transform(range(8), lambda j:
+        (CAST('0x' || substr(hex(encode(feature)), CAST(2 * k - 1 AS INTEGER), 2) AS BIGINT) >> CAST(j AS INTEGER)) % 2)
+    ))), lambda c, bit: xor(c >> 1, CASE WHEN xor(c, bit) % 2 = 1 THEN 3988292384 ELSE 0 END)) AS crc
+  FROM (SELECT DISTINCT feature FROM features)
+), known AS (
+  SELECT side, row, crc % 10000 AS bucket, count(*) AS n
+  FROM features JOIN hashed USING (feature) GROUP BY ALL
+), sums AS (
+  SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0) AS s, coalesce(sum(n) FILTER (side = 'b'), 0) AS t
+  FROM known GROUP BY bucket
+), totals AS (SELECT coalesce(sum(s), 0) AS s, coalesce(sum(t), 0) AS t FROM sums
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((CAST(sums.t AS DOUBLE) + 1) * (CAST(totals.s AS DOUBLE) + 10000)
+    / ((CAST(sums.s AS DOUBLE) + 1) * (CAST(totals.t AS DOUBLE) + 10000)))) AS BIGINT) AS gain
+  FROM sums, totals
+), weighed AS (
+  SELECT row, CAST(sum(n) AS BIGINT) AS n_features, CAST(floor(sum(n * gain) / sum(n)) AS BIGINT) AS weight
+  FROM known JOIN gains USING (bucket) WHERE side = 'd' GROUP BY row
+), scored AS (
+  SELECT doc_id, len(words) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8)
+      AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM cut LEFT JOIN weighed USING (row) WHERE side = 'd'
+), drawn AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place,
+    25 * count(*) OVER (PARTITION BY n_words >= 20) // 100 AS most
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= most THEN place END AS rank
+FROM drawn
+"""
+
+
+OP12 = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS tokens,
+    sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+), drawn AS (
+  SELECT *, len(tokens) AS n, list_transform(range(4), lambda k:
+    CAST('0x' || substr(h, CAST(8 * k + 1 AS INTEGER), 8) AS BIGINT)) AS d
+  FROM cut
+), parted AS (
+  SELECT doc_id, text, n, CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR d[3] % 100 >= 50 THEN 'plain'
+      WHEN d[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(tokens[1:least(d[1] % (n + 1), d[2] % (n + 1))], '') AS prefix,
+    array_to_string(tokens[least(d[1] % (n + 1), d[2] % (n + 1)) + 1:greatest(d[1] % (n + 1), d[2] % (n + 1))], '') AS middle,
+    array_to_string(tokens[greatest(d[1] % (n + 1), d[2] % (n + 1)) + 1:], '') AS suffix
+  FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text
+    WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parted
+"""
+
+
 def llm_sql() -> dict[str, str]:
-    return {"op2_hierarchical_budgets": OP2, "op7_seekable_warc": OP7, "op8_chat_schema_fingerprint": OP8}
+    return {
+        "op2_hierarchical_budgets": OP2,
+        "op7_seekable_warc": OP7,
+        "op8_chat_schema_fingerprint": OP8,
+        "op11_importance_resampling": OP11,
+        "op12_fill_in_middle": OP12,
+    }
