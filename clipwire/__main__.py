@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import importlib
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,13 +94,19 @@ def _insert(spark: SparkSession, found: DataFrame, raw: str, fmt: str) -> None:
         PARTITION_COLUMN
     ).save(raw)
     there = sources.load_table(spark, raw, fmt, RAW_SCHEMA)
-    sources.write_partition_append(streaming.new_articles(found, there), raw, fmt)
+    new = streaming.new_articles(found, there)
+    _tell_streams(new, raw)
+    sources.write_partition_append(new, raw, fmt)
+
+
+def _tell_streams(articles: DataFrame, raw: str) -> None:
+    """Index the keys of what is about to be written, for streams that merge into the table."""
+    streaming.add_keys(articles, raw, "jobs", time.time_ns())
 
 
 def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
     args = _parser().parse_args(arguments)
     if args.job == "history":
-        streaming.forget_keys(spark, args.raw)
         payloads = sources.read_payload_files(spark, args.payloads)
         articles = sources.ingest_articles(payloads)
         if "from_date" not in articles.columns:
@@ -110,13 +117,11 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
             _insert(spark, found, args.raw, args.fmt)
         else:
             # Days that payloads name belong to this job; the day of ingestion does not.
-            undated = articles.where("from_date IS NULL")
-            sources.write_partition_overwrite(
-                articles.where("from_date IS NOT NULL"), args.raw, args.fmt
-            )
-            sources.write_partition_append(
-                ops.stamp_from_date(undated, args.from_date), args.raw, args.fmt
-            )
+            dated = articles.where("from_date IS NOT NULL")
+            undated = ops.stamp_from_date(articles.where("from_date IS NULL"), args.from_date)
+            _tell_streams(dated.unionByName(undated), args.raw)
+            sources.write_partition_overwrite(dated, args.raw, args.fmt)
+            sources.write_partition_append(undated, args.raw, args.fmt)
         if args.rejects:
             bad = sources.rejected_payloads(payloads).select("value")
             bad = bad.union(sources.rejected_articles(payloads).select("value"))
@@ -151,7 +156,6 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
         memory = sources.load_table(spark, args.memory, args.fmt, MEMORY_SCHEMA)
         sources.write_overwrite(ops.translation_pending(raw, memory), args.out, args.fmt)
     elif args.job == "collect":
-        streaming.forget_keys(spark, args.raw)
         payloads = sources.read_payload_files(spark, args.payloads)
         articles = sources.ingest_articles(payloads)
         found = plans.collect_recent(articles, args.to, terms=args.terms, days=args.days)

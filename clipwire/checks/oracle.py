@@ -331,6 +331,21 @@ FROM wired GROUP BY author, title""",
         + f"""SELECT {_ID}, content FROM {_latest('first_day')} AS a
 UNION ALL
 SELECT {_ID}, content FROM wired WHERE published_day > {_FIRST_DAY}""",
+        "merge_after_history": _with(
+            _ARTICLES,
+            _WIRED,
+            """
+early AS (
+  SELECT * FROM wired WHERE published_day < (SELECT min(published_day) + 2 FROM articles)
+), late AS (
+  SELECT * FROM wired w WHERE published_day >= (SELECT min(published_day) + 2 FROM articles)
+    AND NOT EXISTS (SELECT 1 FROM early e WHERE e.author IS NOT DISTINCT FROM w.author
+      AND e.title IS NOT DISTINCT FROM w.title)
+)""",
+        )
+        + f"""SELECT {_ID}, content FROM early
+UNION ALL
+SELECT {_ID}, content FROM {_latest("(SELECT * FROM late QUALIFY published_day = min(published_day) OVER (PARTITION BY author, title)) AS l")} AS a""",
         "harmonize": _with(
             _ARTICLES,
             _MEMORY,

@@ -563,6 +563,26 @@ def history_after_recent(spark, sf):
     return stored.select(*_ID, "content")
 
 
+@query
+def merge_after_history(spark, sf):
+    """The jobs: history by day, with a stream of all payloads between its days and after them."""
+    folder = scratch_dir(spark, "merge-history")
+    payloads = article_payloads(spark, sf)
+    days = _land_days(payloads, f"{folder}/landing")
+    raw = ["--raw", f"{folder}/raw"]
+    recent = ["recent", "--payloads", f"{folder}/landing/*", *raw, "--staging", f"{folder}/staging"]
+    for n, day in enumerate(days[:2]):
+        of_day = payloads.where(F.col("from_date") == F.lit(day))
+        of_day.write.partitionBy("from_date").text(f"{folder}/past-{n}")
+        run_job(spark, ["history", "--payloads", f"{folder}/past-{n}", *raw])
+        if n == 0:
+            first = ["recent", "--payloads", f"{folder}/landing/0", *recent[3:]]
+            run_job(spark, [*first, "--checkpoint", f"{folder}/first"])
+    run_job(spark, [*recent, "--checkpoint", f"{folder}/all"])
+    stored = sources.load_table(spark, f"{folder}/raw", schema=RAW_SCHEMA)
+    return stored.select(*_ID, "content")
+
+
 @query
 def translate_udf_twice(spark, sf):
     """Two runs on halves of the articles share one store, and the second translates the rest."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clipwire.schema import PARTITION_COLUMN
+from clipwire.sources.files import finish_swap, swap
 
 DEFAULT_FORMAT = "parquet"
 
@@ -28,34 +29,6 @@ def load_table(
     return df if since is None else df.where(F.col(PARTITION_COLUMN) >= F.lit(since))
 
 
-def _file_system(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
-
-
-def folder_exists(spark: SparkSession, path: str) -> bool:
-    store, place = _file_system(spark, path)
-    return store.exists(place)
-
-
-def folders(spark: SparkSession, path: str) -> dict[str, int]:
-    """The folders within a folder, by name, with the time each was last changed."""
-    store, place = _file_system(spark, path)
-    if not store.exists(place):
-        return {}
-    return {
-        f.getPath().getName(): f.getModificationTime()
-        for f in store.listStatus(place)
-        if f.isDirectory()
-    }
-
-
-def delete_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder with all in it, if it is there."""
-    store, place = _file_system(spark, path)
-    store.delete(place, True)
-
-
 def _by_partition(df: DataFrame) -> DataFrame:
     # Rebalancing brings a day together into few files; AQE splits a day that is too
     # big for one task and merges days that are small.
@@ -63,8 +36,18 @@ def _by_partition(df: DataFrame) -> DataFrame:
 
 
 def write_overwrite(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT) -> None:
-    """Replace the whole table."""
-    df.write.format(fmt).mode("overwrite").save(path)
+    """Replace the whole table. It may be one that ``df`` is made of.
+
+    The new table is written beside the old one and then put into its place, so a crash leaves
+    one of them whole; the next call finishes a swap that was begun.
+    """
+    if fmt == "delta":  # replaces by its own log
+        df.write.format(fmt).mode("overwrite").save(path)
+        return
+    beside = path.rstrip("/")
+    finish_swap(df.sparkSession, f"{beside}_swap")
+    df.write.format(fmt).mode("overwrite").save(f"{beside}_next")
+    swap(df.sparkSession, f"{beside}_swap", {f"{beside}_next": beside})
 
 
 def write_partition_overwrite(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT) -> None:

@@ -12,17 +12,18 @@ from clipwire.streaming.articles import (
 )
 from clipwire.streaming.counts import latest_counts, stream_counts_by_day
 from clipwire.streaming.dedup import stream_dedup
-from clipwire.streaming.merge import forget_keys, make_keys, new_articles, stream_stage_merge
+from clipwire.streaming.merge import add_keys, key_index, make_keys, new_articles, stream_stage_merge
 
 __all__ = [
     "TOPIC",
+    "add_keys",
     "append_raw",
     "append_rejects",
     "available_now",
     "file_payloads",
-    "forget_keys",
     "hourly_batches",
     "kafka_payloads",
+    "key_index",
     "latest_counts",
     "make_keys",
     "new_articles",

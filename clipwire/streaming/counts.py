@@ -10,9 +10,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from clipwire.functions.dates import day_parts, published_date
-from clipwire.sources.tables import DEFAULT_FORMAT, delete_folder, folders, load_table
+from clipwire.sources.files import complete_folders, delete_folder, folders
+from clipwire.sources.tables import DEFAULT_FORMAT, load_table
 from clipwire.streaming.articles import available_now
 
+#: Totals of so many batches stay, so that slow readers finish with the one they began with.
+KEPT = 8
 TOTALS_SCHEMA = T.StructType(
     [
         T.StructField("published_day", T.DateType()),
@@ -58,7 +61,7 @@ def stream_counts_by_day(
             counts = counts.union(before).groupBy("published_day")
             counts = counts.agg(F.sum("news_count").alias("news_count"))
         counts.write.format(fmt).mode("overwrite").save(_batch_folder(run, batch_id))
-        delete_folder(session, _batch_folder(run, batch_id - 2))
+        delete_folder(session, _batch_folder(run, batch_id - KEPT))
 
     return (
         articles.writeStream.foreachBatch(save)
@@ -71,14 +74,22 @@ def stream_counts_by_day(
 def latest_counts(
     spark: SparkSession, path: str, checkpoint: str | None = None, fmt: str = DEFAULT_FORMAT
 ) -> DataFrame:
-    """Articles per year, month and day, as of the last micro-batch.
+    """Articles per year, month and day, as of the last micro-batch that is complete.
 
-    Of the query with the given ``checkpoint``, or of the one that wrote last.
+    Of the query with the given ``checkpoint``, or of the one that wrote last. Totals that are
+    being written do not count; before the first are whole there are no rows.
     """
     if checkpoint is not None:
-        run = _run_folder(path, checkpoint)
+        runs = [_run_folder(path, checkpoint)]
     else:
-        runs = {f"{path}/{name}" for name in folders(spark, path)}
-        run = max(runs, key=lambda r: max(folders(spark, r).items(), key=lambda f: f[0])[1])
-    last = load_table(spark, f"{run}/{max(folders(spark, run))}", fmt, TOTALS_SCHEMA)
-    return last.select(*day_parts("published_day"), "news_count")
+        runs = [f"{path}/{name}" for name in folders(spark, path)]
+    last = []
+    for run in runs:
+        times = folders(spark, run)
+        last += [(times[name], name, run) for name in complete_folders(spark, run)[-1:] if name in times]
+    if not last:
+        totals = spark.createDataFrame([], TOTALS_SCHEMA)
+    else:
+        _, name, run = max(last)
+        totals = load_table(spark, f"{run}/{name}", fmt, TOTALS_SCHEMA)
+    return totals.select(*day_parts("published_day"), "news_count")

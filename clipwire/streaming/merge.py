@@ -16,27 +16,12 @@ from pyspark.sql.streaming import StreamingQuery
 from clipwire.operators.dedup import dedup_latest
 from clipwire.operators.windows import stamp_from_date
 from clipwire.schema import ARTICLE_KEYS, RAW_SCHEMA
-from clipwire.sources.tables import (
-    DEFAULT_FORMAT,
-    delete_folder,
-    folder_exists,
-    load_table,
-    write_overwrite,
-    write_partition_append,
-)
+from clipwire.sources.keyindex import KeyIndex, key_digest
+from clipwire.sources.tables import DEFAULT_FORMAT, load_table, write_overwrite, write_partition_append
 from clipwire.streaming.articles import available_now
 
-#: Folders of a key table. A micro-batch reads those its keys fall into.
-BUCKETS = 16
-KEYS_SCHEMA = T.StructType(
-    [
-        T.StructField("_digest", T.BinaryType()),
-        T.StructField("_run", T.StringType()),
-        T.StructField("_batch", T.LongType()),
-        T.StructField("_day", T.DateType()),
-        T.StructField("_bucket", T.IntegerType()),
-    ]
-)
+#: The writer whose one run holds the keys of articles that were there before the index.
+BASE = "base"
 
 
 def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -70,24 +55,14 @@ def new_articles(
     return latest.join(known, _same_key(latest, known, keys), "left_anti")
 
 
-def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``df`` with the digest of its keys, nulls included, and the bucket the digest is in."""
-    key = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
-    digested = df.withColumn("_digest", F.unhex(F.sha2(key, 256)))
-    return digested.withColumn("_bucket", F.pmod(F.xxhash64("_digest"), F.lit(BUCKETS)).cast("int"))
-
-
 def keys_path(target: str) -> str:
-    """Where the key table of the table at ``target`` is."""
+    """Where the key index of the table at ``target`` is."""
     return f"{target.rstrip('/')}_keys"
 
 
-def forget_keys(spark: SparkSession, target: str) -> None:
-    """Delete the key table, so that the next merge makes it anew.
-
-    Call it before another job writes to ``target``.
-    """
-    delete_folder(spark, keys_path(target))
+def key_index(spark: SparkSession, target: str) -> KeyIndex:
+    """The index of the keys in the table at ``target``, with the day each came in."""
+    return KeyIndex(spark, keys_path(target), "_day date")
 
 
 def make_keys(
@@ -97,25 +72,26 @@ def make_keys(
     schema: T.StructType = RAW_SCHEMA,
     fmt: str = DEFAULT_FORMAT,
 ) -> None:
-    """Write the key table of all articles in ``target``. It also does away with small files."""
-    stored = _keyed(load_table(spark, target, fmt, schema), keys)
-    rows = stored.groupBy("_digest", "_bucket").agg(F.max("from_date").alias("_day"))
-    rows = rows.select("_digest", F.lit("").alias("_run"), F.lit(-1).cast("long").alias("_batch"), "_day", "_bucket")
-    _save_keys(rows, target, "overwrite", fmt)
+    """Index the keys of all articles in ``target``, unless that was done."""
+    index = key_index(spark, target)
+    if not index.has(BASE, 0):
+        stored = load_table(spark, target, fmt, schema)
+        rows = stored.select(key_digest(keys).alias("_digest"), F.col("from_date").alias("_day"))
+        index.add(rows.groupBy("_digest").agg(F.max("_day").alias("_day")), BASE, 0)
 
 
-def _save_keys(rows: DataFrame, target: str, mode: str, fmt: str) -> None:
-    by_bucket = rows.hint("rebalance", F.col("_bucket"))
-    by_bucket.write.format(fmt).mode(mode).partitionBy("_bucket").save(keys_path(target))
-
+def add_keys(
+    articles: DataFrame, target: str, writer: str, number: int, keys: Sequence[str] = ARTICLE_KEYS
+) -> None:
+    """Index the keys of articles that a job is about to write to ``target``.
 
-def known_keys(
-    spark: SparkSession, target: str, digests: DataFrame, fmt: str = DEFAULT_FORMAT
-) -> DataFrame:
-    """The rows of the key table for some digests; reads only the buckets these are in."""
-    hit = [r[0] for r in digests.select("_bucket").distinct().collect()]  # at most BUCKETS
-    index = load_table(spark, keys_path(target), fmt, KEYS_SCHEMA).where(F.col("_bucket").isin(hit))
-    return index.join(digests.select("_digest"), "_digest", "left_semi")
+    Streams that merge into the table at the same time then know them. ``number`` grows from one
+    call of a writer to its next. An article that a job takes out again stays known.
+    """
+    index = key_index(articles.sparkSession, target)
+    rows = articles.select(key_digest(keys).alias("_digest"), F.col("from_date").alias("_day"))
+    index.add(rows.groupBy("_digest").agg(F.max("_day").alias("_day")), writer, number)
+    index.merge(writer)
 
 
 def stream_stage_merge(
@@ -133,45 +109,46 @@ def stream_stage_merge(
     """Insert a stream of articles into the table at ``target`` without duplicates.
 
     Each micro-batch is first written to ``staging``, in place of the one before. Its keys are
-    looked up in a narrow table of key digests beside the target, of which only the buckets that
-    the batch falls into are read; the target is not. Keys are written first, with the batch
-    they came with, then the articles. A batch that runs again after a failure does not
-    take its own keys for known, and looks for its articles in the days it wrote to
-    before. So none is lost and none comes twice. Each query needs its own ``staging``.
+    looked up in an index beside the target, which reads little of it for a small batch; the
+    target is not read. Keys are written first, as the run of that batch, then the articles. A
+    batch that runs again after a failure keeps the run it wrote, does not take it for known,
+    and looks for its articles in the day it wrote to. So none is lost and none comes twice.
+    Each query needs its own ``staging``.
 
-    Other jobs that write to the target call ``forget_keys`` first.
+    Other jobs that write to the target call ``add_keys`` first.
     """
     spark = articles.sparkSession
     run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
     # An empty table of the right shape, unless one is there.
     empty = spark.createDataFrame([], schema)
     empty.write.format(fmt).mode("ignore").partitionBy("from_date").save(target)
-    if not folder_exists(spark, keys_path(target)):
-        make_keys(spark, target, keys, schema, fmt)
+    make_keys(spark, target, keys, schema, fmt)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
+        index = key_index(session, target)
         day = from_date or session.range(1).select(F.current_date()).first()[0]
+        again = index.has(run, batch_id)
         write_overwrite(batch, staging, fmt)
         staged = load_table(session, staging, fmt, batch.schema)
-        latest = _keyed(dedup_latest(staged, keys, tie=tie), keys)
-        known = known_keys(session, target, latest, fmt)
-        own = (F.col("_run") == run) & (F.col("_batch") == batch_id)
-        fresh = latest.join(known.where(~own).select("_digest"), "_digest", "left_anti")
-        before = known.where(own)
-        days = [r[0] for r in before.select("_day").distinct().collect()]
-        new = fresh.join(before.select("_digest"), "_digest", "left_anti")
-        new = new.select(
-            "_digest", F.lit(run).alias("_run"), F.lit(batch_id).cast("long").alias("_batch"),
-            F.lit(day).alias("_day"), "_bucket",
-        )
-        _save_keys(new, target, "append", fmt)
-        if days:
-            stored = load_table(session, target, fmt, schema).where(F.col("from_date").isin(days))
-            there = _keyed(stored.select(*keys), keys).select("_digest")
+        latest = dedup_latest(staged, keys, tie=tie).withColumn("_digest", key_digest(keys))
+        if again:
+            mine = index.lookup(latest, lambda r: r.writer == run and r.first == r.last == batch_id)
+            day = mine.agg(F.max("_day")).first()[0] or day
+            stored = load_table(session, target, fmt, schema).where(F.col("from_date") == F.lit(day))
+            there = stored.select(key_digest(keys).alias("_digest"))
+            fresh = latest.join(mine.select("_digest"), "_digest", "left_semi")
             fresh = fresh.join(there, "_digest", "left_anti")
-        rows = stamp_from_date(fresh.drop("_digest", "_bucket"), day)
-        write_partition_append(rows, target, fmt)
+        else:
+            known = index.lookup(latest, lambda r: r.writer != run or r.last < batch_id)
+            fresh = latest.join(known.select("_digest"), "_digest", "left_anti")
+            # Stored once: its keys and its articles come from the same rows.
+            write_overwrite(fresh, f"{staging}_fresh", fmt)
+            fresh = load_table(session, f"{staging}_fresh", fmt, fresh.schema)
+            index.add(fresh.select("_digest", F.lit(day).alias("_day")), run, batch_id)
+        write_partition_append(stamp_from_date(fresh.drop("_digest"), day), target, fmt)
+        if not again:
+            index.merge(run)
 
     return (
         articles.writeStream.foreachBatch(merge)

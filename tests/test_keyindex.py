@@ -1,0 +1,132 @@
+"""The index of digests: what it finds, what it reads, and what a crash leaves."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from clipwire.session import scratch_dir
+from clipwire.sources import files, write_overwrite
+from clipwire.sources.keyindex import KeyIndex, digest
+from helpers import rows
+
+
+@pytest.fixture
+def index(spark):
+    return KeyIndex(spark, scratch_dir(spark, "index"), "n bigint")
+
+
+def _keys(spark, first, last):
+    return spark.range(first, last).select(digest(F.col("id").cast("string")).alias("_digest"), F.col("id").alias("n"))
+
+
+def test_finds_what_was_added_whatever_the_age(spark, index):
+    for k in range(3):
+        index.add(_keys(spark, 10 * k, 10 * k + 10), "w", k)
+    index.add(_keys(spark, 100, 105), "other", 0)
+    asked = _keys(spark, 5, 12).union(_keys(spark, 103, 110)).select("_digest")
+    assert rows(index.lookup(asked), "n") == [(n,) for n in (*range(5, 12), 103, 104)]
+    assert rows(index.lookup(asked, lambda r: r.writer == "other"), "n") == [(103,), (104,)]
+    assert index.lookup(asked.limit(0)).count() == 0
+    assert index.has("w", 2) and not index.has("w", 3) and not index.has("x", 0)
+
+
+def test_no_runs(spark, index):
+    assert index.runs() == [] and index.lookup(_keys(spark, 0, 3)).collect() == []
+    index.merge("w")
+
+
+def test_null_and_repeated_keys(spark, index):
+    keys = spark.createDataFrame([(None, 1), ("a", 2), ("a", 3)], "k string, n long").select(digest("k").alias("_digest"), "n")
+    index.add(keys, "w", 0)
+    assert rows(index.lookup(keys), "n") == [(1,), (2,), (3,)]
+
+
+def test_a_thousand_keys_read_a_small_part_of_a_large_index(spark):
+    index = KeyIndex(spark, scratch_dir(spark, "large"), "n bigint", row_group=1 << 16)
+    index.add(_keys(spark, 0, 2_000_000), "w", 0)
+    asked = _keys(spark, 1_000_000, 1_001_000)
+
+    def read(asked):
+        found = index.lookup(asked)
+        found.collect()
+        plan, todo = found._jdf.queryExecution().executedPlan(), []
+        todo.append(plan.executedPlan() if hasattr(plan, "executedPlan") else plan)
+        total = 0
+        while todo:
+            node = todo.pop()
+            if "QueryStage" in node.nodeName():
+                todo.append(node.plan())
+            if "Scan parquet" in node.nodeName():
+                total += node.metrics().get("numOutputRows").get().value()
+            todo += [node.children().apply(k) for k in range(node.children().size())]
+        return total, found.count()
+
+    rows_read, found = read(asked)
+    assert found == 1000 and rows_read < 2_000_000 // 3
+    # Keys that are not there: Bloom filters turn away nearly all row groups.
+    rows_read, found = read(_keys(spark, 5_000_000, 5_001_000))
+    assert found == 0 and rows_read < 2_000_000 // 10
+
+
+def test_more_keys_than_are_pushed(spark, index):
+    index.add(_keys(spark, 0, 5000), "w", 0)
+    assert index.lookup(_keys(spark, 1000, 9000)).count() == 4000
+
+
+def test_merges_by_level_and_keeps_all_rows(spark, index):
+    for k in range(17):
+        index.add(_keys(spark, k, k + 2), "w", k)
+        index.merge("w", fanout=4)
+    assert [(r.level, r.first, r.last) for r in index.runs()] == [(2, 0, 15), (0, 16, 16)]
+    assert index.read().select("n").distinct().count() == 18
+    assert index.lookup(_keys(spark, 0, 100)).select("n").distinct().count() == 18
+
+
+@pytest.mark.parametrize("when", ["in the merge", "before deleting"])
+def test_a_crash_in_a_merge_loses_nothing(spark, index, when):
+    for k in range(4):
+        index.add(_keys(spark, k, k + 1), "w", k)
+    index.merge("w", fanout=4)
+    (merged,) = index.runs()
+    if when == "in the merge":
+        files.delete_folder(spark, f"{index.path}/{merged.name}/_SUCCESS")
+        assert len(index.runs()) == 4
+    else:
+        assert len(files.folders(spark, f"{index.path}/writer=w")) == 5
+    assert rows(index.lookup(_keys(spark, 0, 9)), "n") == [(k,) for k in range(4)]
+    index.merge("w", fanout=4)
+    index.merge("w", fanout=4)
+    assert len(index.runs()) == 1 and list(files.folders(spark, f"{index.path}/writer=w")) == [merged.name.split("/")[1]]
+    assert rows(index.lookup(_keys(spark, 0, 9)), "n") == [(k,) for k in range(4)]
+
+
+def test_a_swap_is_finished_after_a_crash(spark, monkeypatch):
+    out = scratch_dir(spark, "swap")
+    for name, n in (("a", 1), ("b", 2), ("gone", 3), ("next-a", 11), ("next-b", 12)):
+        spark.range(n).write.parquet(f"{out}/{name}")
+    move, calls = files.move_folder, []
+
+    def crash(spark, source, target):
+        if calls:
+            raise RuntimeError("driver lost")
+        calls.append(source)
+        move(spark, source, target)
+
+    monkeypatch.setattr(files, "move_folder", crash)
+    moves = {f"{out}/next-{n}": f"{out}/{n}" for n in "ab"}
+    with pytest.raises(RuntimeError):
+        files.swap(spark, f"{out}/journal", moves, [f"{out}/gone"])
+    monkeypatch.setattr(files, "move_folder", move)
+    assert files.finish_swap(spark, f"{out}/journal") and not files.finish_swap(spark, f"{out}/journal")
+    assert [spark.read.parquet(f"{out}/{n}").count() for n in "ab"] == [11, 12]
+    assert sorted(files.folders(spark, out)) == ["a", "b"]
+
+
+def test_overwriting_keeps_the_old_table_until_the_new_one_is_whole(spark, monkeypatch):
+    path = f"{scratch_dir(spark, 'beside')}/t"
+    write_overwrite(spark.range(3), path)
+    with pytest.raises(Exception):
+        write_overwrite(spark.range(5).select(F.raise_error(F.lit("lost"))), path)
+    assert spark.read.parquet(path).count() == 3
+    # A table may be made of itself.
+    write_overwrite(spark.read.parquet(path).union(spark.range(4)), path)
+    assert spark.read.parquet(path).count() == 7

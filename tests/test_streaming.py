@@ -8,6 +8,7 @@ from clipwire.checks import registry
 from clipwire.operators import count_by_day, stamp_from_date
 from clipwire.schema import RAW_SCHEMA
 from clipwire.session import scratch_dir
+from clipwire.sources.files import folders
 from clipwire.sources import (
     ingest_articles,
     load_table,
@@ -15,6 +16,7 @@ from clipwire.sources import (
     write_partition_append,
 )
 from clipwire.streaming import (
+    add_keys,
     append_raw,
     available_now,
     file_payloads,
@@ -64,6 +66,29 @@ def _stream(spark, landing):
     return stream_articles(file_payloads(spark, landing.path, files_per_batch=1))
 
 
+def test_counts_that_are_being_written_do_not_count(spark, landing):
+    out = scratch_dir(spark, "half")
+    assert latest_counts(spark, f"{out}/counts").collect() == []
+    stream_counts_by_day(_stream(spark, landing), f"{out}/counts", f"{out}/cp").awaitTermination()
+    before = rows(latest_counts(spark, f"{out}/counts"))
+    run = next(iter(folders(spark, f"{out}/counts")))
+    half = f"{out}/counts/{run}/batch=0000000002/_temporary"
+    spark.range(1).write.parquet(half)
+    assert before and rows(latest_counts(spark, f"{out}/counts")) == before
+    assert rows(latest_counts(spark, f"{out}/counts", f"{out}/cp")) == before
+
+
+def _by_batch(spark, tmp_path, *batches):
+    """A stream with a micro-batch for each list of articles, one file each."""
+    folder = tmp_path / "batches"
+    folder.mkdir()
+    for n, articles in enumerate(batches):
+        file = folder / f"{n}.json"
+        file.write_text("".join(json.dumps({"articles": [a]}) + "\n" for a in articles))
+        os.utime(file, (1_700_000_000 + n, 1_700_000_000 + n))
+    return stream_articles(file_payloads(spark, str(folder), files_per_batch=1))
+
+
 def test_stream_gives_the_batch_rows(spark, landing):
     out = scratch_dir(spark, "stream")
     append_raw(_stream(spark, landing), f"{out}/raw", f"{out}/cp").awaitTermination()
@@ -119,18 +144,37 @@ def test_merge_after_a_crash(spark, landing, monkeypatch, when):
     assert crashes and rows(table, "author", "title") == [(None, "n"), ("a", "t"), ("a", "u")]
 
 
-def test_merge_reads_only_the_buckets_hit(spark, landing):
-    out = scratch_dir(spark, "buckets")
+def test_merge_indexes_each_key_once_with_its_day(spark, landing):
+    out = scratch_dir(spark, "indexed")
+    stream_stage_merge(
+        _stream(spark, landing), f"{out}/raw", f"{out}/staging", f"{out}/cp", from_date=DAY
+    ).awaitTermination()
+    keys = merge.key_index(spark, f"{out}/raw").read()
+    assert [r["_day"] for r in keys.collect()] == [DAY] * 3
+    assert keys.select("_digest").distinct().count() == 3
+
+
+def test_merge_runs_beside_a_job_that_writes_later(spark, landing):
+    """A job indexes its keys first, so a stream that comes in between inserts no copy."""
+    out = scratch_dir(spark, "beside")
+    raw = stamp_from_date(ingest_articles(read_payload_files(spark, landing.path)), DAY).where("url IN ('2', '3')")
+    add_keys(raw, f"{out}/raw", "jobs", 1)
     stream_stage_merge(
         _stream(spark, landing), f"{out}/raw", f"{out}/staging", f"{out}/cp"
     ).awaitTermination()
-    batch = spark.createDataFrame([("a", "t")], "author string, title string")
-    keyed = merge._keyed(batch, ["author", "title"])
-    found = merge.known_keys(spark, f"{out}/raw", keyed)
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    bucket = keyed.first()["_bucket"]
-    assert f"(_bucket" in plan and f"= {bucket})" in plan.split("PartitionFilters: [")[1]
-    assert found.count() == 1
+    write_partition_append(raw, f"{out}/raw")
+    assert rows(load_table(spark, f"{out}/raw"), "url") == [("2",), ("3",), ("5",)]
+
+
+def test_merge_of_many_batches_merges_its_runs(spark, tmp_path):
+    articles = [[_article(f"t{n % 20}", "a", "2024-01-01T00:00:00Z", str(n))] for n in range(26)]
+    out = scratch_dir(spark, "runs")
+    stream_stage_merge(
+        _by_batch(spark, tmp_path, *articles), f"{out}/raw", f"{out}/staging", f"{out}/cp"
+    ).awaitTermination()
+    assert load_table(spark, f"{out}/raw").count() == 20
+    runs = [r for r in merge.key_index(spark, f"{out}/raw").runs() if r.writer != merge.BASE]
+    assert [r.level for r in runs] == [1, 1, 1, 0, 0]
 
 
 def test_merge_knows_what_other_jobs_wrote(spark, landing):
@@ -206,17 +250,6 @@ def test_stream_counts_equal_batch_counts(spark, landing):
     assert run() == batch()
 
 
-def _by_batch(spark, tmp_path, *batches):
-    """A stream with a micro-batch for each list of articles, one file each."""
-    folder = tmp_path / "batches"
-    folder.mkdir()
-    for n, articles in enumerate(batches):
-        file = folder / f"{n}.json"
-        file.write_text("".join(json.dumps({"articles": [a]}) + "\n" for a in articles))
-        os.utime(file, (1_700_000_000 + n, 1_700_000_000 + n))
-    return stream_articles(file_payloads(spark, str(folder), files_per_batch=1))
-
-
 @pytest.mark.parametrize("parts", [1, 3])
 def test_dedup_forgets_only_what_it_emitted(spark, tmp_path, parts):
     # The copy of day 9 is dropped, so it must not hide that of day 15 from the one of day 0.
