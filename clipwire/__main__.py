@@ -72,6 +72,7 @@ def _parser() -> argparse.ArgumentParser:
     daily.add_argument("--raw", required=True)
     daily.add_argument("--memory", required=True)
     daily.add_argument("--out", required=True)
+    daily.add_argument("--incremental", action="store_true", help="only what has changed since the last run")
     daily.add_argument("--keywords", nargs="+", default=list(RELEVANCE_KEYWORDS))
     daily.add_argument("--count-keywords", nargs="+", default=list(COUNT_KEYWORDS))
 
@@ -168,6 +169,12 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
             raw, translator, args.memory, fmt=args.fmt, parallelism=args.parallelism,
             batched=args.batched,
         )
+    elif args.job == "daily" and args.incremental:
+        if args.fmt != "parquet":
+            raise SystemExit("--incremental goes by the files of Parquet tables")
+        plans.daily_incremental(
+            spark, args.raw, args.memory, args.out, args.keywords, args.count_keywords
+        )
     elif args.job == "daily":
         plans.daily_job(
             spark,

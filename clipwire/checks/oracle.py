@@ -378,5 +378,7 @@ ORDER BY popularity DESC, url LIMIT {P.PAGE_SIZE}""",
     sql["translate_enrich_few"] = sql["translate_enrich"]
     sql["translate_enrich_large"] = sql["translate_enrich"]
     sql["translation_pending_large"] = sql["translation_pending"]
+    sql["daily_incremental"] = sql["daily_job"]
+    sql["harmonize_incremental"] = sql["harmonize"]
     sql["harmonize_large"] = sql["harmonize"]
     return sql

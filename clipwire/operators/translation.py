@@ -12,7 +12,9 @@ from clipwire.schema import STORE_SCHEMA, TEXT_COLUMNS
 
 
 def _known(memory: DataFrame, key: Column) -> DataFrame:
-    done = F.col("text").isNotNull() & F.col("text_pt").isNotNull()
+    done = F.col("text_pt").isNotNull()
+    if "text" in memory.columns:
+        done = done & F.col("text").isNotNull()
     return memory.where(done).select(key.alias("_key"), F.col("text_pt").alias("_pt"))
 
 
@@ -48,7 +50,8 @@ def _by_digest(
     wanted = (
         keyed.select("_row", F.inline(F.array(*fields))).where(F.col("_key").isNotNull()).distinct()
     )
-    found = _known(memory, _memory_key()).join(F.broadcast(wanted) if few else wanted, "_key")
+    key = F.col("_digest") if "_digest" in memory.columns else _memory_key()
+    found = _known(memory, key).join(F.broadcast(wanted) if few else wanted, "_key")
     # The grouping also settles texts that the memory holds more than once.
     per_row = found.groupBy("_row").agg(
         *[
@@ -71,6 +74,8 @@ def translate_enrich(
 ) -> DataFrame:
     """Add ``<column>_pt`` and ``<column>_translated`` from ``memory(text, text_pt)``.
 
+    A memory may have ``_digest``, the SHA-256 of its texts, in place of ``text``.
+
     A text without translation stays as it is with the flag false; null stays null.
 
     Digests of the texts, 32 bytes each, are joined to the memory, and the articles are
