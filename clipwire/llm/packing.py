@@ -16,21 +16,26 @@ import heapq
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from clipwire.llm.resampling import slices
+
 CAPACITY = 4096
 LOAD = 2_000_000
 END = (2).to_bytes(4, "little")
 #: Words whose ids a worker remembers; all are forgotten when there are more.
 REMEMBERED = 800_000
-#: Documents that are tokenized at once.
-BATCH = 256
 
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿß]*)([!-&(-/:-@\\[-`{-~]*)")
+#: A line of Latin letters and ASCII punctuation, or any other line.
+_PLAIN = re.compile("^(?:([A-Za-zÀ-ÖØ-öø-ÿß]*)([!-&(-/:-@\\[-`{-~]*)|(.*))$", re.M)
+#: White space beyond ASCII, as the library knows it.
+_RARE_GAP = r"[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
 def _byte_letters() -> dict[int, int]:
@@ -43,24 +48,15 @@ def _byte_letters() -> dict[int, int]:
     return {b: b for b in shown} | {b: 256 + n for n, b in enumerate(hidden) if b != 32}
 
 
-class _Pieces(dict):
-    """Pieces of text to their ids; what is not known gets none and is noted."""
-
-    def __init__(self):
-        super().__init__()
-        self.unknown: list[str] = []
-
-    def __missing__(self, piece: str) -> bytes:
-        self.unknown.append(piece)
-        return b""
-
-
 class WordIds:
-    """Ids (little-endian unsigned 32-bit) of texts, with a memory of pieces without white space.
-
-    The vocabulary drops white space, so a text's ids are those of its pieces. Pieces of
-    Latin letters followed by ASCII punctuation are two words for the library's merges, which
-    get all new words at once; all other pieces go through the whole library.
+    """Ids of texts, with a memory of pieces without white space.
+
+    Texts are cut at white space and their pieces encoded as a dictionary by Arrow kernels, so that Python
+    sees the distinct pieces of a slice only; ids are gathered by index. If the vocabulary drops
+    white space and ends words by a mark, a text's ids are those of its pieces. Pieces of Latin
+    letters followed by ASCII punctuation are then two words for the library's merges, which get all
+    new words at once; all other pieces go through the whole library. For any other vocabulary
+    whole texts do.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -75,28 +71,36 @@ class WordIds:
         for token, n in self.library.get_vocab().items():
             self.last[n] = token.endswith("</w>")
         self.letters = _byte_letters()
-        self.pieces = _Pieces()
-        self.parts: dict[str, bytes] = {"": b""}
         self.remembered = remembered
+        self._forget()
+        self.by_pieces = self._drops_gaps()
+
+    def _drops_gaps(self) -> bool:
+        """Are the ids of a text those of its pieces, by the words of this vocabulary?"""
+        probe = "One TWO  three,\n\u00c9t\u00e9's \u2003x!? 42 \u6c49"
+        if not self.last.any():
+            return False
+        try:
+            found, _ = self._gathered(pa.array([probe]))
+        except ValueError:  # words that the merges do not tell apart
+            return False
+        finally:
+            self._forget()
+        return found.tobytes() == self.whole(probe)
+
+    def _forget(self) -> None:
+        self.parts: dict[str, bytes] = {"": b""}
+        self.pieces: dict[str, int] = {}
+        self.start, self.size, self.flat = np.zeros(0, int), np.zeros(0, int), np.zeros(0, "<u4")
 
     def whole(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
-    def _learn(self, new: set[str]) -> None:
-        if len(self.parts) > self.remembered:
-            self.parts = {"": b""}
-        plain = []
-        for piece in new:
-            if piece.isascii() and piece.isalpha():
-                plain.append((piece, piece.lower(), ""))
-            elif found := _PLAIN.fullmatch(piece):
-                plain.append((piece, found[1].lower(), found[2]))
-            else:
-                self.pieces[piece] = self.whole(piece)
-        parts = {a for _, a, _ in plain}
-        parts.update(b for _, _, b in plain)
-        parts = list(parts - self.parts.keys())
+    def _learn(self, new: list[str]) -> None:
+        found = _PLAIN.findall("\n".join(new))
+        heads = "\n".join(a for a, _, _ in found).lower().split("\n")
+        parts = list({*heads, *(b for _, b, _ in found)} - self.parts.keys())
         if parts:
             shown = " ".join(parts).encode().decode("latin-1").translate(self.letters)
             ids = np.array(self.merges.encode_batch_fast([shown], add_special_tokens=False)[0].ids, "<u4")
@@ -106,28 +110,48 @@ class WordIds:
                 self.parts[part] = raw[at:end]
                 at = end
         known = self.parts
-        self.pieces.update([(piece, known[a] + known[b]) for piece, a, b in plain])
-
-    def of(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text; null has none."""
+        made = [
+            self.whole(other) if other else known[head] + known[marks]
+            for head, (_, marks, other) in zip(heads, found, strict=True)
+        ]
+        size = np.fromiter(map(len, made), int, len(made)) // 4
+        first = len(self.flat) + np.cumsum(size) - size
+        self.pieces.update(zip(new, range(len(self.size), len(self.size) + len(new))))
+        self.start, self.size = np.concatenate([self.start, first]), np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(made), "<u4")])
+
+    def _gathered(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if len(self.pieces) > self.remembered:
-            self.pieces = _Pieces()
-        pieces, unknown = self.pieces, self.pieces.unknown
-        ids, again = [], []
-        for k, text in enumerate(texts):
-            words, before = (text or "").split(), len(unknown)
-            ids.append(b"".join(map(pieces.__getitem__, words)))
-            if len(unknown) > before:
-                again.append((k, words))
-        self._learn(set(unknown))
-        unknown.clear()
-        for k, words in again:
-            ids[k] = b"".join(map(pieces.__getitem__, words))
-        for k, text in enumerate(texts):
-            # These four part words in Python, but not in the library.
-            if text and any(c in text for c in "\x1c\x1d\x1e\x1f"):
-                ids[k] = self.whole(text)
-        return ids
+            self._forget()
+        texts = texts.cast(pa.large_string())
+        if pc.any(pc.match_substring_regex(texts, _RARE_GAP)).as_py():
+            texts = pc.replace_substring_regex(texts, _RARE_GAP, " ")
+        lists = pc.ascii_split_whitespace(texts)
+        owner, words = np.asarray(pc.list_parent_indices(lists)), pc.list_flatten(lists)
+        some = pc.not_equal(words, "")
+        owner, coded = owner[np.asarray(some)], words.filter(some).dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        piece = np.fromiter(map(self.pieces.get, distinct, repeat(-1)), int, len(distinct))
+        new = np.flatnonzero(piece < 0)
+        if len(new):
+            piece[new] = len(self.size) + np.arange(len(new))
+            self._learn([distinct[k] for k in new.tolist()])
+        piece = piece[np.asarray(coded.indices)]
+        size = self.size[piece]
+        ends = np.cumsum(size)
+        place = np.repeat(self.start[piece] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+        return self.flat[place], np.bincount(owner, size, len(texts)).astype(int)
+
+    def of(self, texts: list[str | None] | pa.Array) -> list[bytes]:
+        """The ids of each text, little-endian unsigned 32-bit; null has none."""
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.string())
+        texts = texts.fill_null("")
+        if not self.by_pieces:
+            return [self.whole(t) for t in texts.to_pylist()]
+        ids, counts = self._gathered(texts)
+        raw, ends = ids.tobytes(), np.cumsum(4 * counts).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
 
 _words: dict[str, WordIds] = {}
@@ -177,7 +201,8 @@ def pack_documents(
 
     ``doc_id``; ``start``, ``length``: the piece within the document's ids; ``ids_crc32`` of its ids;
     ``doc_tokens``; ``sequence_id``, ``offset``: where it stands; ``ids`` (array) if asked for.
-    ``tokenizer`` is the path of a vocabulary file that all executors have. A document's ids
+    ``tokenizer`` is the path of a vocabulary file that all executors have, of any kind the library
+    reads; those that drop white space are the fast ones. A document's ids
     end with id 2, so a null or empty text has one id. Rows with equal or null ids
     are documents of their own. Other columns are ignored; no rows give none.
     """
@@ -212,10 +237,9 @@ def pack_documents(
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, BATCH):
-                some = batch.slice(at, BATCH)
-                made = words.of(some.column("text").to_pylist())
-                for doc, ids in zip(some.column("doc_id").to_pylist(), made):
+            for at, texts in slices(batch.column("text")):
+                docs_at = batch.column("doc_id").slice(at, len(texts)).to_pylist()
+                for doc, ids in zip(docs_at, words.of(texts)):
                     docs_held.append(doc)
                     ids_held.append(ids + END)
                     tokens += len(ids) // 4 + 1

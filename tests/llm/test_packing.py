@@ -120,3 +120,31 @@ def test_odd_rows(spark, documents, words, library):
     twice = packing.pack_documents(df.where("doc_id = 3").union(df.where("doc_id = 3")), tokenizer_path())
     assert twice.count() == 2
     assert packing.pack_documents(df.limit(0), tokenizer_path()).collect() == []
+
+
+def test_other_vocabularies_take_whole_texts(spark, documents):
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    texts = ["One two,  three!", None, "", "\u00c9t\u00e9 \n 42", "a" * 5000]
+    words = packing.WordIds(path)
+    want = [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+    assert not words.by_pieces
+    assert [np.frombuffer(i, "<u4").tolist() for i in words.of(texts)] == want
+    rows = packing.pack_documents(documents(texts), path, with_ids=False).collect()
+    checked(rows, {k: ids + [2] for k, ids in enumerate(want)})
+    assert packing.WordIds(tokenizer_path()).by_pieces
+
+
+def test_costs_are_balanced_across_loads(spark, documents, words):
+    """Loads of one task are balanced apart; full sequences still cost alike."""
+    texts = [" ".join(words(k, 20 + 37 * (k % 9))) for k in range(400)]
+    docs = documents(texts).coalesce(1)
+    rows = packing.pack_documents(docs, tokenizer_path(), capacity=512, load=20_000, with_ids=False).collect()
+    cost, used = defaultdict(float), defaultdict(int)
+    for r in rows:
+        cost[r.sequence_id] += r.length + r.length**2 / 512
+        used[r.sequence_id] += r.length
+    full = [c for s, c in cost.items() if used[s] >= 460]
+    assert len(full) > 0.9 * len(cost)
+    assert max(full) < 1.6 * np.mean(full)
