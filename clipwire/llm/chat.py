@@ -33,7 +33,10 @@ TURNS = "array<struct<role:string,text:string>>"
 #: Records of more bytes have their texts emptied before their paths are read, as Spark's
 #: parser of variants gives null beyond 128 MiB, or 20 million characters in one text.
 LARGE = 8 << 20
-_STRINGS = r"""(?s)("(?:[^"\\]|\\.)*+"\s*+:)|"(?:[^"\\]|\\.)*+(")"""
+#: Bytes of what is left then, beyond which the parser may give null for what it cannot hold.
+UNREAD = 100 << 20
+_STRING = r"""(?:[^"\\\x00-\x1F]|\\(?:["\\/bfnrt]|u[0-9A-Fa-f]{4}))*+"""
+_STRINGS = rf"""("{_STRING}"\s*+:)|"{_STRING}(")"""
 _REPEATED = r"(\{[^{}]*+\})(?:\s*+,\s*+\1)++"
 _READING = {"maxStringLen": str(2**31 - 1), "columnNameOfCorruptRecord": "_unread"}
 
@@ -63,9 +66,8 @@ class Layout:
         return f"OBJECT<{', '.join(sorted(p for p, _ in self.fields))}>"
 
     def turns(self, record: Column) -> Column:
-        """The turns of such a record; an error if a large one cannot be read."""
-        unread = self._parsed(record)["_unread"].isNotNull() & _large(record)
-        return F.when(unread, _failed(TURNS)).otherwise(self._turns(record).cast(TURNS))
+        """The turns of such a record."""
+        return self._turns(record).cast(TURNS)
 
     def _parsed(self, record: Column) -> Column:
         if self.array:
@@ -121,20 +123,24 @@ def _large(record: Column) -> Column:
     return F.octet_length(record) > LARGE
 
 
-def _failed(kind: str) -> Column:
-    return F.raise_error(F.lit(f"a record of more than {LARGE} bytes cannot be read")).cast(kind)
+def _broken(record: Column) -> Column:
+    """Is a record no JSON object? Read without keeping any of it, so its size does not matter."""
+    return F.from_json(record, "_unread string", _READING)["_unread"].isNotNull()
 
 
 def paths(record: Column) -> Column:
-    """The nested field paths of a JSON record, names sorted; null if it is no JSON.
+    """The nested field paths of a JSON record, names sorted; null if it is no JSON, of any size.
 
     A record of more than ``LARGE`` bytes is read with its texts emptied and runs of equal
-    objects taken as one, which leaves the paths as they are. If it is no JSON, that is an error.
+    objects taken as one, which leaves the paths as they are. An object that still has more than
+    ``UNREAD`` bytes then, so that the parser cannot hold it, is an error.
     """
     emptied = F.regexp_replace(F.regexp_replace(record, _STRINGS, "$1$2$2"), _REPEATED, "$1")
     small = F.when(~_large(record), record).otherwise(emptied)
     schema = F.schema_of_variant(F.try_parse_json(small))
-    schema = F.when(schema.isNull() & _large(record), _failed("string")).otherwise(schema)
+    unread = F.lit(f"a record of more than {UNREAD} bytes besides its texts cannot be read")
+    too_large = schema.isNull() & (F.octet_length(small) > UNREAD) & ~_broken(record)
+    schema = F.when(too_large, F.raise_error(unread).cast("string")).otherwise(schema)
     leaf = r": (?:STRING|VOID|BIGINT|DOUBLE|FLOAT|BOOLEAN|BINARY|DATE|TIMESTAMP(?:_NTZ)?|DECIMAL\(\d+,\d+\))(?=[,>])"
     return F.regexp_replace(schema, leaf, "")
 
@@ -147,8 +153,8 @@ def canonical_turns(records: DataFrame, layouts=LAYOUTS, record: str = "record")
     """``records`` with ``schema_fingerprint``, ``layout`` and ``turns`` (role, text).
 
     A record with other paths than any layout's, or that is null or no JSON, keeps its row:
-    ``layout`` and ``turns`` are null; of more than ``LARGE`` bytes, no JSON is an error. Extra fields make other paths. Null roles and texts are
-    empty. Columns of these three names are replaced.
+    ``layout`` and ``turns`` are null, whatever its size. Extra fields make other paths. Null roles
+    and texts are empty. Columns of these three names are replaced.
     """
     skeleton = F.regexp_replace(paths(F.col(record)), "ARRAY<VOID>", "ARRAY<>")
     found = records.withColumn("schema_fingerprint", fingerprint(skeleton))

@@ -48,25 +48,6 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0))
 
 
-def hash_order() -> list[Column]:
-    """Documents in an order that has nothing to do with their content."""
-    return [F.xxhash64("doc_id"), F.col("doc_id")]
-
-
-def likely_first(rows: Column, n: int) -> Column:
-    """True for some four times ``n`` of ``rows`` rows, the first by :func:`hash_order`.
-
-    Filter by it before a sort with a limit of ``n``: else every task would hand on ``n`` rows.
-    """
-    share = F.least(F.lit(1.0), F.lit(4.0 * n) / F.greatest(rows, F.lit(1)))
-    return F.xxhash64("doc_id").cast("double") <= share * 2.0**64 - 2.0**63
-
-
-def hash_sample(df: DataFrame, n: int) -> DataFrame:
-    """At most ``n`` rows of ``df``, the first by :func:`hash_order`."""
-    return df.where(likely_first(F.lit(df.count()), n)).orderBy(*hash_order()).limit(n)
-
-
 def least_values(df: DataFrame, column: str, n: int) -> DataFrame:
     """The ``n`` least distinct values of a column of 64-bit hashes; null is none of them.
 
@@ -80,6 +61,18 @@ def least_values(df: DataFrame, column: str, n: int) -> DataFrame:
     return stored(thin.distinct().orderBy(column).limit(n), "least-values")
 
 
+def hash_sample(df: DataFrame, n: int) -> DataFrame:
+    """At most ``n`` different rows of ``df``, those with the least hash of all their columns.
+
+    The same rows in any order and number of copies give the same sample. It is stored; nothing
+    but it comes to the driver when it is collected.
+    """
+    hashed = df.withColumn("_row_hash", F.xxhash64(*df.columns, *[F.col(c).isNull() for c in df.columns]))
+    chosen = F.broadcast(least_values(hashed, "_row_hash", n))
+    rows = hashed.join(chosen, "_row_hash", "left_semi").dropDuplicates(["_row_hash"])
+    return stored(rows.drop("_row_hash"), "hash-sample")
+
+
 def joined_apart(df: DataFrame, small: DataFrame, on: str, how: str = "inner") -> DataFrame:
     """``df`` joined on a column with ``small``, an aggregate that has one row for each value.
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clipwire.llm.common import hash_order, likely_first, stored
+from clipwire.llm.common import stored
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -29,6 +29,8 @@ EMBEDDED = 8
 #: Labelled texts of each language that the network is trained on, and windows of each.
 PER_LANGUAGE = 400
 WINDOWS_EACH = 6
+#: Languages that are learned at most, those with most texts.
+MOST_LANGUAGES = 512
 UNDETERMINED = "und"
 
 _LETTER = regex.compile(r"\p{L}")
@@ -96,19 +98,33 @@ def train(
     widths: tuple[int, ...] = WIDTHS,
 ) -> Network:
     """A network for the given texts; Adam on the cross entropy of single windows."""
+    rows = [some_windows(text, k) for k, text in enumerate(texts)]
+    return train_windows(rows, labels, epochs, rate, seed, widths)
+
+
+def some_windows(text: str, seed: int) -> np.ndarray:
+    """Up to ``WINDOWS_EACH`` windows of a text, without its last unless there is no other."""
+    w = windows(text)
+    if len(w) > 1:
+        w = w[:-1]
+    if len(w) > WINDOWS_EACH:
+        w = w[np.random.default_rng(seed & (2**63 - 1)).choice(len(w), WINDOWS_EACH, replace=False)]
+    return w
+
+
+def train_windows(
+    windows_of: list[np.ndarray],
+    labels: list[str],
+    epochs: int = 12,
+    rate: float = 0.01,
+    seed: int = 7,
+    widths: tuple[int, ...] = WIDTHS,
+) -> Network:
+    """A network for the given windows of each text; Adam on the cross entropy of single windows."""
     languages = sorted(set(labels))
     r = np.random.default_rng(seed)
-    rows, targets = [], []
-    for text, label in zip(texts, labels):
-        w = windows(text)
-        if len(w) > 1:
-            w = w[:-1]
-        if len(w) > WINDOWS_EACH:
-            w = w[r.choice(len(w), WINDOWS_EACH, replace=False)]
-        rows.append(w)
-        targets += [languages.index(label)] * len(w)
-    rows = np.concatenate(rows) if rows else np.zeros((0, WINDOW), np.uint8)
-    targets = np.array(targets, int)
+    rows = np.concatenate(windows_of) if windows_of else np.zeros((0, WINDOW), np.uint8)
+    targets = np.array([languages.index(y) for w, y in zip(windows_of, labels) for _ in w], int)
     params = [
         r.normal(0, 0.3, (256, EMBEDDED)),
         *[r.normal(0, 1 / np.sqrt(w * EMBEDDED), (w, EMBEDDED, FILTERS)) for w in widths],
@@ -159,21 +175,32 @@ def _gradients(params: list[np.ndarray], rows: np.ndarray, targets: np.ndarray)
     return [d_embedding, *d_filters, back.sum(0), hidden.T @ wrong, wrong.sum(0)]
 
 
-def training_sample(docs: DataFrame, keep: Column, per_language: int = PER_LANGUAGE) -> list:
-    """(text, lang) rows to learn from: of each language those with the least hash of their id.
+def training_sample(
+    docs: DataFrame, keep: Column, per_language: int = PER_LANGUAGE, most_languages: int = MOST_LANGUAGES
+) -> DataFrame:
+    """``lang``, ``h`` and ``windows`` of the texts to learn from.
 
-    Rows that ``keep`` does not hold for, and those without text, language or a letter, are
-    left out. Ids are chosen first, so that only the chosen texts are sorted.
+    Of the ``most_languages`` languages with most usable texts, up to ``per_language`` different
+    pairs of id and text each, those with the least hash ``h``. Usable are rows that ``keep`` holds for,
+    with a language and a letter in the text; only they are counted. Up to ``WINDOWS_EACH`` windows of
+    a text are cut in the tasks, so what comes to the driver is bounded in rows and in bytes.
     """
     usable = docs.where(keep & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    # Stored, so that Spark knows its size and need not shuffle documents by language.
-    counts = stored(docs.groupBy("lang").agg(F.count("*").alias("rows")), "language-counts")
-    some = usable.select("doc_id", "lang").join(counts, "lang")
-    some = some.where(likely_first(F.col("rows"), per_language))
-    ids = some.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy(*hash_order())))
-    ids = ids.where(F.col("n") <= per_language).select("doc_id").distinct()
-    rows = usable.select("doc_id", "text", "lang").join(F.broadcast(ids), "doc_id", "left_semi")
-    return sorted(rows.select("lang", "text").collect())
+    usable = usable.select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    counts = usable.groupBy("lang").agg(F.approx_count_distinct("h").alias("rows"))
+    counts = stored(counts.orderBy(F.desc("rows"), "lang").limit(most_languages), "language-counts")
+    some = usable.select("lang", "h").join(F.broadcast(counts), "lang")
+    share = F.least(F.lit(1.0), F.lit(4.0 * per_language) / F.col("rows"))
+    some = some.where(F.col("h").cast("double") <= share * 2.0**64 - 2.0**63).select("lang", "h").distinct()
+    some = some.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("h")))
+    chosen = stored(some.where(F.col("n") <= per_language).select("lang", "h"), "language-sample")
+
+    @F.pandas_udf("array<binary>")
+    def cut(texts: pd.Series, hashes: pd.Series) -> pd.Series:
+        return pd.Series([[w.tobytes() for w in some_windows(t, h)] for t, h in zip(texts, hashes)])
+
+    rows = usable.join(F.broadcast(chosen), ["lang", "h"], "left_semi")
+    return rows.select("lang", "h", cut("text", "h").alias("windows")).dropDuplicates(["lang", "h"])
 
 
 def predict(network: Network, tables, texts, batch: int = 512) -> tuple[list[str], np.ndarray]:
@@ -228,8 +255,9 @@ def predictor(network: Network):
 
 def fit(docs: DataFrame, keep: Column, per_language: int = PER_LANGUAGE) -> Network:
     """A network trained on at most ``per_language`` texts of each language."""
-    sample = training_sample(docs, keep, per_language)
-    return train([r["text"] for r in sample], [r["lang"] for r in sample])
+    sample = sorted(training_sample(docs, keep, per_language).collect())
+    cut = [np.frombuffer(b"".join(r["windows"]), np.uint8).reshape(-1, WINDOW) for r in sample]
+    return train_windows(cut, [r["lang"] for r in sample])
 
 
 def identify(docs: DataFrame, network: Network) -> DataFrame:

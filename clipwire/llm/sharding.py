@@ -97,6 +97,7 @@ def metadata(docs: DataFrame, shards: int) -> DataFrame:
         F.xxhash64(text).alias("text_hash"),
         "lang",
         "source",
+        F.monotonically_increasing_id().alias("row"),  # tells repeated rows apart, once stored
     )
     rows = stored(rows, "shard-rows").withColumn("group", F.struct("text_hash", "text_crc32", "size"))
     first = F.min(F.struct("doc_id", "lang", "source")).alias("first")
@@ -105,12 +106,13 @@ def metadata(docs: DataFrame, shards: int) -> DataFrame:
     span = float((high or 0) - (low or 0)) or 1.0
     limit = (total or 0) / shards * WHOLE_GROUP
     heavy = F.col("group_bytes") > limit
-    own = F.xxhash64(F.lit(7), "doc_id", "text_hash")
+    own = F.xxhash64(F.lit(7), "doc_id", "text_hash", "row")
     return stored(
         joined_apart(rows.drop("lang", "source"), groups, "group").select(
             "doc_id",
             "size",
             "text_crc32",
+            "row",
             F.log(F.col("size").cast("double")).alias("log_size"),
             _place(F.col("first.lang")).alias("lang_place"),
             _place(F.col("first.source")).alias("source_place"),
@@ -218,20 +220,21 @@ def grow(rows: DataFrame, shards: int) -> Node:
 
 
 def numbered(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``slot``: 0, 1, ... within each ``shard``, by a hash of the id.
+    """``rows`` with ``slot``: 0, 1, ... within each ``shard``, by a hash of the id and the ``row``.
 
-    A shard is numbered in parts of some ``NUMBERED`` rows, each from where the one before it ends.
+    A shard is numbered in parts of some ``NUMBERED`` rows, each from where the one before it
+    ends. Repeated rows are dealt like others.
     """
     count = rows.count()
     shards = max(rows.agg(F.countDistinct("shard")).first()[0], 1)
     parts = max(1, -(-count // (shards * NUMBERED)))
-    parted = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(parts)))
+    parted = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "text_crc32", "row"), F.lit(parts)))
     before = W.partitionBy("shard").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     starts = parted.groupBy("shard", "part").agg(F.count("*").alias("rows"))
     starts = starts.select("shard", "part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
-    order = W.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "size")
+    order = W.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "size", "row")
     placed = parted.withColumn("at", F.row_number().over(order)).join(starts, ["shard", "part"])
-    return placed.withColumn("slot", F.col("start") + F.col("at") - 1).drop("part", "at", "start")
+    return placed.withColumn("slot", F.col("start") + F.col("at") - 1).drop("part", "at", "start", "row")
 
 
 def shard(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None) -> DataFrame:
@@ -239,8 +242,8 @@ def shard(docs: DataFrame, shards: int | None = None, target_bytes: int | None =
 
     Give the number of shards or the bytes that one should have. ``size`` is the text's UTF-8 bytes
     (null: none) plus 16. Sizes of shards differ by a part in a thousand and the group at each cut: a group
-    (equal texts) is whole up to a twentieth of a shard, beyond that it is cut like any rows.
-    Rows that cannot be told apart, repeated ones of a heavy text, fall together. A row larger than
+    (equal texts) is whole up to a twentieth of a shard, beyond that it is cut like any rows,
+    repeated ones and those without an id included. A row larger than
     a shard is a shard's only one, or nearly. Null languages, sources and ids are
     values like others. Other columns are ignored; no rows give none.
     """
@@ -249,5 +252,5 @@ def shard(docs: DataFrame, shards: int | None = None, target_bytes: int | None =
         shards = max(1, -(-total // target_bytes))
     rows = metadata(docs, shards)
     root = grow(rows, shards)
-    placed = rows.select("doc_id", "size", "text_crc32", node_of(root).cast("int").alias("shard"))
+    placed = rows.select("doc_id", "size", "text_crc32", "row", node_of(root).cast("int").alias("shard"))
     return numbered(placed)

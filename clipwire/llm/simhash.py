@@ -411,6 +411,6 @@ def near_duplicates(
     how = shingle, words, radius, min_hashes, tile, similarity
     prints, rooted = _grouped(docs, [F.col("doc_id")], how)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
+    named = joined_apart(rooted, least, "root").select("fp", "component_id")
     fingerprint = F.expr(f"substring(fp, 1, {8 * words})").alias("fingerprint")
-    return prints.select("doc_id", "fp").join(named, "fp").select("doc_id", fingerprint, "component_id")
+    return joined_apart(prints.select("doc_id", "fp"), named, "fp").select("doc_id", fingerprint, "component_id")

@@ -217,15 +217,16 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, keep: Column, sample: int = SAMPLE) -> Model:
     """A model from the labelled rows that ``keep`` (of ``doc_id``) holds for.
 
-    At most ``sample`` documents are learned from, those with the least hash of their id. A document
-    with several labels is toxic if one says so; null ids and labels are left out. Without
-    labelled rows all scores are 0.
+    At most ``sample`` documents are learned from, those with the least hash of their id and label. A
+    document with several labels is toxic if one says so, and one with several texts is the one of
+    least hash; null ids and labels are left out. Without labelled rows all scores are 0.
     """
     known = labels.select("doc_id", "toxic").where(keep & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     ids = known.groupBy("doc_id").agg(F.max("toxic").alias("y"))
-    ids = stored(hash_sample(ids, sample), "toxic-ids")
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
-    rows = stored(rows, "toxic-sample")
+    ids = hash_sample(ids, sample)
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    one = F.min_by("text", F.struct(F.xxhash64("text"), F.length("text"))).alias("text")
+    rows = stored(rows.groupBy("doc_id", "y").agg(one), "toxic-sample")
     words = F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+")
     stems = [F.transform("words", lambda w, k=k: F.when(F.length(w) > k, F.concat(F.substring(w, 1, k), F.lit("*")))) for k in STEMS]
     terms = F.array_distinct(F.concat("words", *stems))

@@ -30,13 +30,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from clipwire.llm.common import joined_apart
+from clipwire.llm.common import joined_apart, stored
 
 #: Fixed values of the seekable format.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 
 FRAME_BYTES = 256 * 1024
 BUNDLE_BYTES = 64 * 1024 * 1024
+#: Plain bytes of the frames that a task reads back.
+TASK_BYTES = 16 * 1024 * 1024
 LEVEL = 3
 RECORD = "page_id long, url string, payload binary, payload_digest string, payload_bytes long, record_type string, refers_to long"
 INDEX = "record_id string, page_id long, bundle string, frame int, start long, length long"
@@ -173,7 +175,9 @@ def write_bundles(
 
     Each partition writes bundles of its own. A frame ends once it has ``frame_bytes`` plain bytes, a
     bundle once it has ``bundle_bytes`` compressed ones. A record larger than a frame has a frame to
-    itself. The files are written when the result is computed; no rows write no files.
+    itself. The files are written when the result is computed; no rows write no files. Only the
+    index says which files count: those of the attempts that came to their end. What other attempts
+    of a task wrote, perhaps in another order of rows, has other names and is read by no-one.
     """
 
     schema = to_arrow_schema(StructType.fromDDL(INDEX))
@@ -209,9 +213,10 @@ def write_bundles(
         for batch in batches:
             for row in (r for k in range(0, batch.num_rows, 64) for r in batch.slice(k, 64).to_pylist()):
                 if out is None:
-                    name = f"pages-{partition:06d}-{number:04d}.warc.zst"
-                    own = f"{base}/.{name}.{uuid.uuid4().hex}"
-                    out = store.open_output_stream(own)
+                    # Named by this attempt: another one of the task has files of its own.
+                    name = f"pages-{partition:06d}-{number:04d}-{uuid.uuid4().hex}.warc.zst"
+                    own = f"{base}/.{name}"
+                    out = store.open_output_stream(own, compression=None)
                 data = serialize(row)
                 index.append(
                     {
@@ -235,12 +240,16 @@ def write_bundles(
     return rows.mapInArrow(write, INDEX)
 
 
-def read_bundles(index: DataFrame, folder: str) -> DataFrame:
+def read_bundles(index: DataFrame, folder: str, task_bytes: int = TASK_BYTES) -> DataFrame:
     """Every record of the bundles that ``index`` names, read frame by frame.
 
-    A task takes some frames of a bundle: it reads the seek table, then those frames only. Payloads are
-    checked against their digest. The columns of ``RECORD``.
+    Frames are dealt to tasks of some ``task_bytes`` plain bytes, at least one for each core there
+    is. A task reads the seek tables of its bundles, then its frames only. Payloads are checked
+    against their digest. The columns of ``RECORD``.
     """
+    frames = stored(index.groupBy("bundle", "frame").agg(F.sum("length").alias("plain")), "warc-frames")
+    size = frames.agg(F.sum("plain")).first()[0] or 0
+    tasks = max(frames.sparkSession.sparkContext.defaultParallelism, -(-size // task_bytes))
     schema = to_arrow_schema(StructType.fromDDL(RECORD))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +264,8 @@ def read_bundles(index: DataFrame, folder: str) -> DataFrame:
                     for k in sorted(frames):
                         yield pa.RecordBatch.from_pylist(_rows(read_frame(file, table[k])), schema)
 
-    return index.select("bundle", "frame").distinct().mapInArrow(read, RECORD)
+    # A number of partitions that is asked for is not merged by AQE, however small the rows are.
+    return frames.select("bundle", "frame").repartition(tasks, "bundle", "frame").mapInArrow(read, RECORD)
 
 
 def _rows(data: bytes) -> list[dict]:

@@ -125,6 +125,22 @@ def test_large_records_have_the_paths_of_small_ones(spark, monkeypatch):
     before = [r[0] for r in df.select(chat.paths(F.col("record"))).collect()]
     monkeypatch.setattr(chat, "LARGE", 10)
     assert [r[0] for r in df.select(chat.paths(F.col("record"))).collect()] == before
-    broken = spark.createDataFrame([('{"messages": [{"role": "x"',)], "record string")
+
+
+def test_records_that_are_no_json_keep_their_row_at_any_size(spark, monkeypatch):
+    records = ['{"messages": [{"role": "x"', '{"prompt": "bad \\q escape", "completion": "c"}', "no", "", None]
+    df = spark.createDataFrame([(r,) for r in records], "record string")
+    for large in (8 << 20, 0):
+        monkeypatch.setattr(chat, "LARGE", large)
+        got = chat.canonical_turns(df).collect()
+        assert [(r.layout, r.turns) for r in got] == [(None, None)] * 5
+        assert chat.format_turns(chat.canonical_turns(df)).count() == 5
+
+
+def test_json_that_the_parser_cannot_hold_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(chat, "LARGE", 10)
+    monkeypatch.setattr(chat, "UNREAD", 20)
+    monkeypatch.setattr(chat.F, "try_parse_json", lambda c: F.lit(None).cast("variant"))
+    df = spark.createDataFrame([('{"prompt": "p", "completion": "c", "more": 1}',)], "record string")
     with pytest.raises(Exception, match="cannot be read"):
-        chat.canonical_turns(broken).collect()
+        chat.canonical_turns(df).collect()

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from clipwire.llm import langid, quality, toxicity
+from clipwire.llm import common, langid, quality, toxicity
 from clipwire.llm.queries import llm_queries
 
 SF = "/root/testdata/sf0.01"
@@ -193,3 +193,99 @@ def test_forest_finds_what_lies_apart():
     x = r.normal(size=(2000, 4))
     scores = quality.grow(x).scores(np.vstack([np.zeros((1, 4)), np.full((1, 4), 6.0)]))
     assert scores[1] > 0.65 > 0.5 > scores[0]
+
+
+def test_sample_of_languages_counts_usable_rows(spark, words):
+    """Few usable rows among many are still learned from, as many as asked for."""
+    docs = spark.range(20_000).selectExpr(
+        "id AS doc_id", "if(id % 50 = 0, concat('word ', id), '12 34') AS text", "'en' AS lang"
+    )
+    rows = langid.training_sample(docs, F.lit(True), 100).collect()
+    assert len(rows) == 100 and len({r.h for r in rows}) == 100
+
+
+def test_sample_of_languages_takes_a_hot_id_once(spark):
+    docs = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, 7, id) AS doc_id", "if(id % 3 = 0, repeat('hot text ', 500), concat('text ', id)) AS text",
+        "if(id % 2 = 0, 'en', 'de') AS lang",
+    )
+    rows = langid.training_sample(docs, F.lit(True), 10).collect()
+    assert sorted(Counter(r.lang for r in rows).items()) == [("de", 10), ("en", 10)]
+    assert all(len(r.windows) <= langid.WINDOWS_EACH and {len(w) for w in r.windows} == {langid.WINDOW} for r in rows)
+    again = langid.training_sample(docs.repartition(5), F.lit(True), 10).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, again))
+    assert {r.lang for r in langid.training_sample(docs, F.lit(True), 10, most_languages=1).collect()} in ({"en"}, {"de"})
+
+
+def test_language_of_a_text_is_the_mean_of_its_windows():
+    net = langid.train(["abc def " * 60, "xyz uvw " * 60] * 8, ["a", "x"] * 8, epochs=3)
+    text = "abc def " * 40 + "xyz uvw " * 21 + "abc"
+    rows = langid.windows(text)
+    logs = net.log_probabilities(rows, net.tables())
+    weight = np.array([min(langid.WINDOW, len(text) - k * langid.WINDOW) for k in range(len(rows))]) / langid.WINDOW
+    mean = (weight[:, None] * logs).sum(0) / weight.sum()
+    p = np.exp(mean) / np.exp(mean).sum()
+    lang, score = langid.predict(net, net.tables(), [text], batch=2)
+    assert lang == [net.languages[int(p.argmax())]] and score[0] == pytest.approx(p.max(), abs=1e-6)
+
+
+def test_hash_sample_is_bounded_and_the_same_in_any_order(spark):
+    df = spark.range(9000).selectExpr("if(id % 3 = 0, null, id) AS doc_id", "id % 4 AS y")
+    got = sorted(map(str, common.hash_sample(df, 50).collect()))
+    assert len(got) == 50 == len(set(got))
+    assert got == sorted(map(str, common.hash_sample(df.union(df).repartition(3), 50).collect()))
+    assert common.hash_sample(df.where("y < 0"), 50).collect() == []
+    assert len(common.hash_sample(df.select("y"), 50).collect()) == 4
+
+
+def test_toxicity_learns_the_same_from_repeated_ids(spark):
+    rows = [(k % 30, f"you idiot {k}" if k % 30 % 2 else f"a fine text {k}") for k in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.range(30).selectExpr("id AS doc_id", "1 AS quality", "int(id % 2) AS toxic")
+    one = toxicity.fit(df, labels, F.lit(True))
+    two = toxicity.fit(df.repartition(5).orderBy(F.desc("text")), labels, F.lit(True))
+    assert one.learned == two.learned and np.array_equal(one.trees.leaf, two.trees.leaf)
+    assert np.array_equal(one.at, two.at) and np.array_equal(one.probability, two.probability)
+
+
+def test_path_lengths_and_threshold_by_plain_walks():
+    r = np.random.default_rng(5)
+    x = r.normal(size=(300, 3))
+    forest = quality.grow(x, trees=7, drawn=64)
+
+    def walk(tree, row):
+        node, depth = 0, 0
+        while forest.feature[tree, node] >= 0:
+            node = 2 * node + 1 + int(row[forest.feature[tree, node]] > forest.cut[tree, node])
+            depth += 1
+        assert forest.path[tree, node] >= depth
+        return forest.path[tree, node]
+
+    expected = 2 * (np.log(63) + 0.5772156649) - 2 * 63 / 64
+    want = [2.0 ** (-np.mean([walk(t, row) for t in range(7)]) / expected) for row in x]
+    scores = forest.scores(x)
+    assert np.allclose(scores, want)
+    good = r.random(300) < 0.9
+    cut = quality.threshold(scores, good)
+    gain = lambda c: (scores[~good] > c).mean() - (scores[good] > c).mean()
+    allowed = [c for c in scores if (scores[good] <= c).mean() >= quality.KEEP_GOOD]
+    assert cut == np.inf and max(map(gain, allowed)) <= 0 or gain(cut) == max(map(gain, allowed))
+
+
+def test_boosted_trees_lower_the_loss_and_leaves_are_newton_steps():
+    r = np.random.default_rng(6)
+    x = r.normal(size=(400, 5))
+    y = (x[:, 0] * x[:, 1] + x[:, 2] > 0).astype(float)
+    loss = lambda t: np.log1p(np.exp(-(2 * y - 1) * t.margin(x))).mean()
+    made = [toxicity.boost(x, y, trees=n) for n in (1, 5, 30)]
+    assert loss(made[0]) > loss(made[1]) > loss(made[2])
+    tree = made[0]
+    node = np.zeros(len(x), int)
+    for _ in range(3):
+        node = 2 * node + 1 + (x[np.arange(len(x)), tree.feature[0][node]] > tree.cut[0][node])
+    p = 1 / (1 + np.exp(-tree.base))
+    for k in range(8):
+        rows = node == 7 + k
+        if rows.any():
+            g, h = (p - y[rows]).sum(), rows.sum() * p * (1 - p)
+            assert tree.leaf[0][k] == pytest.approx(-0.15 * g / (h + 1))

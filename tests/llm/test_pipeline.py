@@ -1,3 +1,4 @@
+import re
 from collections import Counter
 
 import pytest
@@ -5,6 +6,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from clipwire.llm.common import stored
+from clipwire.llm.queries import MIX_WEIGHTS
 
 SF = "/root/testdata/sf0.01"
 
@@ -30,7 +32,8 @@ def shingles(text):
 def test_stages_only_take_rows_away(stages):
     names = ["documents", *[n for n, _ in pipeline.STAGES[:-1]]]
     for before, after in zip(names, names[1:]):
-        assert not Counter(stages[after]) - Counter(stages[before])
+        times = pipeline.EPOCHS if after == "mixing" else 1
+        assert not Counter(stages[after]) - Counter(stages[before] * times)
 
 
 def test_toxic_documents_go_and_clean_ones_stay(spark, stages):
@@ -67,19 +70,67 @@ def test_one_of_near_copies_stays(stages):
     assert far <= kept
 
 
-def test_mixture_takes_nine_tenths(stages):
-    count = lambda rows: sum(len(r.text.encode().split()) for r in rows)
-    total, taken = count(stages["near duplicates"]), count(stages["mixing"])
-    assert 0.9 * total <= taken <= 0.95 * total
-
-
-def test_packing_has_every_token_once(stages):
+def filled(weights, held, budget):
+    """Plain water-filling: shares by weight, no more than each holds."""
+    share, open_ = {}, dict(weights)
+    while open_:
+        each = (budget - sum(share.values())) / sum(open_.values())
+        full = [k for k, w in open_.items() if held[k] <= w * each]
+        if not full:
+            return share | {k: w * each for k, w in open_.items()}
+        for k in full:
+            share[k] = held[k]
+            del open_[k]
+    return share
+
+
+def test_mixture_has_the_target_shares(stages):
+    def by(rows, level):
+        out = Counter()
+        for r in rows:
+            domain = f"domain{int(re.search('([0-9]*)$', r.source or '')[1] or 0) % 4}"
+            out[domain if level == "domain" else (domain, r.lang or "none")] += len(r.text.encode().split())
+        return out
+
+    before, after = stages["near duplicates"], stages["mixing"]
+    total = sum(by(before, "domain").values())
+    held = {k: pipeline.EPOCHS * n for k, n in by(before, "domain").items()}
+    want = filled({k: MIX_WEIGHTS["domain"][k] for k in held}, held, total)
+    got = by(after, "domain")
+    longest = max(len(r.text.split()) for r in before)
+    leaves = len({(r.source, r.lang) for r in before})
+    for k, n in want.items():
+        assert n <= got[k] <= n + leaves * longest and abs(got[k] - n) < 0.1 * total
+    # Domains that hold their targets have shares by weight, languages within them too.
+    assert abs(got["domain0"] / sum(got.values()) - 0.4) < 0.05
+    for domain in want:
+        mine = {k: pipeline.EPOCHS * n for k, n in by(before, "lang").items() if k[0] == domain}
+        langs = filled({k: MIX_WEIGHTS["lang"].get(k[1], 1) for k in mine}, mine, want[domain])
+        found = by(after, "lang")
+        assert all(n - 1 <= found[k] < n + 0.1 * total for k, n in langs.items())
+    assert max(Counter(r.doc_id for r in after).values()) <= pipeline.EPOCHS
+
+
+def test_mixture_takes_rows_not_ids(spark, documents, words):
+    """Null and repeated ids: each row is a document of its own, with its own leaf."""
+    df = documents([" ".join(words(k, 30)) for k in range(900)])
+    df = df.withColumn("source", F.concat(F.lit("src"), F.col("doc_id") % 4))
+    df = df.withColumn("doc_id", F.when(F.col("doc_id") % 3 > 0, F.col("doc_id") % 50))
+    rows = pipeline.mix_sources(spark, df, SF).collect()
+    share = Counter(r.source for r in rows)
+    assert [round(share[f"src{k}"] / len(rows), 1) for k in range(4)] == [0.4, 0.3, 0.2, 0.1]
+    nulls = sum(r.doc_id is None for r in rows)
+    assert abs(nulls / len(rows) - 1 / 3) < 0.06
+
+
+def test_packing_has_every_token_of_the_mixture(stages):
     pieces = stages["packing"]
-    assert {r.doc_id for r in pieces} == {r.doc_id for r in stages["mixing"]}
+    times = Counter(r.doc_id for r in stages["mixing"])
+    assert {r.doc_id for r in pieces} == set(times)
     got = Counter()
     for r in pieces:
         got[r.doc_id] += r.length
-    assert all(got[r.doc_id] == r.doc_tokens for r in pieces)
+    assert all(got[r.doc_id] == times[r.doc_id] * r.doc_tokens for r in pieces)
 
 
 def test_run_is_its_stages(spark):

@@ -80,3 +80,70 @@ def test_odd_rows(spark, documents, words, shards):
 def test_by_target_bytes(spark, documents):
     rows = sharding.shard(documents(["x" * 84] * 20), target_bytes=500).collect()
     assert Counter(r["shard"] for r in rows) == {0: 5, 1: 5, 2: 5, 3: 5}
+
+
+def test_repeated_rows_without_an_id_are_spread(spark):
+    """A third of all rows is one row; the shards are equal all the same."""
+    docs = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, null, id) AS doc_id",
+        "if(id % 3 = 0, repeat('hot ', 200), concat(repeat('text ', int(id % 300)), id)) AS text",
+        "'en' AS lang", "if(id % 3 = 0, 'hot', concat('s', id % 9)) AS source",
+    )
+    rows = sharding.shard(docs, 40).collect()
+    size, slots = Counter(), defaultdict(list)
+    for r in rows:
+        size[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r.slot)
+    mean = sum(size.values()) / 40
+    assert len(rows) == 3000 and sorted(size) == list(range(40))
+    assert max(size.values()) < 1.06 * mean and min(size.values()) > 0.94 * mean
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_parts_of_a_shard_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "NUMBERED", 50)
+    rows = spark.range(4000).selectExpr(
+        "CAST(null AS bigint) AS doc_id", "5 AS size", "CAST(1 AS bigint) AS text_crc32", "0 AS shard", "id AS row"
+    )
+    found = sharding.numbered(rows).collect()
+    assert sorted(r.slot for r in found) == list(range(4000))
+    plan = sharding.numbered(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "part" in plan and "Python" not in plan
+
+
+def test_tree_is_that_of_plain_recursion(spark):
+    """Every split is at the weighted median of the widest dimension, found by sorting the rows."""
+    docs = spark.range(3000).selectExpr(
+        "id AS doc_id", "repeat('x', int(pow(id % 97, 1.5))) AS text", "concat('l', id % 5) AS lang",
+        "concat('s', id % 11) AS source",
+    )
+    shards = 8
+    stored_rows = sharding.metadata(docs.withColumn("text", F.concat("text", "doc_id")), shards)
+    root = sharding.grow(stored_rows, shards)
+    rows = [r.asDict() for r in stored_rows.collect()]
+    low = {d: min(r[d] for r in rows) for d in sharding.DIMENSIONS}
+    width = {d: (max(r[d] for r in rows) - low[d]) or 1.0 for d in sharding.DIMENSIONS}
+    exact = sum(r["size"] for r in rows) / shards * sharding.EXACT
+
+    def check(node, rows):
+        if node.count == 1:
+            assert node.split is None
+            return
+        wide = {d: (max(r[d] for r in rows) - min(r[d] for r in rows)) / width[d] for d in sharding.DIMENSIONS}
+        d = node.split.dimension
+        assert wide[d] == max(wide.values())
+        order = sorted(rows, key=lambda r: (r[d], r["tie"]))
+        need = sum(r["size"] for r in rows) * (node.count // 2) / node.count
+        s = node.split
+        place = lambda r: (r[d],) if s.tie is None else (r[d], r["tie"])
+        at = (s.value,) if s.tie is None else (s.value, s.tie)
+        left = [r for r in order if place(r) < at or (s.closed and place(r) == at)]
+        assert left == order[: len(left)]
+        bytes_left = sum(r["size"] for r in left)
+        slack = exact + max(r["size"] for r in rows)
+        assert abs(bytes_left - need) <= slack
+        check(s.left, left)
+        check(s.right, order[len(left) :])
+
+    check(root, rows)
+    assert [n.first for n in sharding.leaves(root)] == list(range(shards))

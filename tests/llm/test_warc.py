@@ -101,3 +101,34 @@ def test_query(spark):
         assert got[p.page_id].payload_bytes == len(raw)
         assert got[p.page_id].payload_digest == warc.digest(raw)
         assert len(hashlib.sha1(raw).digest()) == 20
+
+
+def test_read_back_goes_through_many_tasks(spark):
+    rows = [(k, "u", hashlib.sha256(str(k).encode()).hexdigest() * 20) for k in range(3000)]
+    folder = scratch_dir(spark, "many-frames")
+    records = warc.records(spark.createDataFrame(rows, PAGE))
+    index = stored(warc.write_bundles(records, folder, frame_bytes=16_000), "many-frames")
+    assert index.select("bundle", "frame").distinct().count() > 200
+    read = warc.read_bundles(index, folder)
+    tasks = read.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= 8 and sum(r["count"] for r in tasks) == 3000
+    assert max(r["count"] for r in tasks) < 1500
+
+
+def test_another_attempt_of_a_task_does_no_harm(spark):
+    """The same partition is written again in another order after the index was made."""
+    rows = [(k, "u", f"text {k} " * 50) for k in range(200)]
+    folder = scratch_dir(spark, "attempts")
+    records = stored(warc.records(spark.createDataFrame(rows, PAGE)).coalesce(1), "attempts-in")
+    index = stored(warc.write_bundles(records, folder, frame_bytes=2000), "attempts")
+    warc.write_bundles(records.orderBy(F.desc("page_id")).coalesce(1), folder, frame_bytes=3000).collect()
+    got = [r.page_id for r in warc.read_bundles(index, folder).collect()]
+    assert sorted(got) == list(range(200))
+
+
+def test_extra_columns_with_clashing_names(spark):
+    rows = [(1, "u", "abc"), (2, "u", "abc"), (3, None, None)]
+    df = spark.createDataFrame(rows, PAGE)
+    plain = warc.records(df).collect()
+    clash = {n: F.lit(7) for n in ("payload", "sha", "size", "same", "first", "record_type", "refers_to", "frame", "bundle")}
+    assert sorted(map(str, warc.records(df.withColumns(clash)).collect())) == sorted(map(str, plain))
