@@ -102,7 +102,9 @@ class KeyIndex:
         return self.spark.read.schema(self.schema).parquet(*paths)
 
     def _write(self, rows: DataFrame, run: Run) -> None:
-        ordered = rows.repartitionByRange(HASH, DIGEST).sortWithinPartitions(HASH)
+        # A fresh run is small and only sorted within its files; merged ones are parted by hash.
+        dealt = rows.repartitionByRange(HASH, DIGEST) if run.level else rows.hint("rebalance")
+        ordered = dealt.sortWithinPartitions(HASH)
         (
             ordered.write.mode("overwrite")
             .option(f"parquet.bloom.filter.enabled#{HASH}", "true")

@@ -142,9 +142,6 @@ def stream_stage_merge(
         else:
             known = index.lookup(latest, lambda r: r.writer != run or r.last < batch_id)
             fresh = latest.join(known.select("_digest"), "_digest", "left_anti")
-            # Stored once: its keys and its articles come from the same rows.
-            write_overwrite(fresh, f"{staging}_fresh", fmt)
-            fresh = load_table(session, f"{staging}_fresh", fmt, fresh.schema)
             index.add(fresh.select("_digest", F.lit(day).alias("_day")), run, batch_id)
         write_partition_append(stamp_from_date(fresh.drop("_digest"), day), target, fmt)
         if not again:
