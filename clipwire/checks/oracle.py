@@ -197,6 +197,12 @@ FROM ({" UNION ALL ".join(parts)}) AS k
 GROUP BY year, month, day, keyword HAVING sum(found) > 0"""
 
 
+_MANY = """
+listed AS (
+  SELECT word, row_number() OVER (ORDER BY word) AS n FROM (
+    SELECT DISTINCT lower(unnest(regexp_extract_all(text, '[A-Za-z]{4,}'))) AS word FROM benchmark)
+)"""
+
 _IN_WINDOWS = "published_day BETWEEN DATE '2024-01-02' AND DATE '2024-02-01'"
 _TOP = "ORDER BY count DESC, word LIMIT"
 _PRODUCED = """published_ts BETWEEN TIMESTAMP '2024-01-01 12:00:00'
@@ -287,6 +293,19 @@ FROM texts WHERE text NOT IN (SELECT text FROM memory)""",
         + f"""SELECT {_DAY}, count(*) AS keyword_appearance_count FROM articles
 WHERE {_match(P.KEYWORDS)} GROUP BY published_day""",
         "count_keyword_occurrences": art + _occurrences(),
+        "count_keyword_occurrences_many": _with(_ARTICLES, _MANY)
+        + f"""SELECT {_DAY}, keyword, CAST(sum(found) AS BIGINT) AS occurrences FROM (
+  SELECT published_day, word AS keyword, """
+        + " + ".join(
+            f"coalesce((length(lower({c})) - length(replace(lower({c}), word, ''))) // length(word), 0)"
+            for c in ("description", "content", "title")
+        )
+        + """ AS found FROM articles, listed
+) AS k WHERE found > 0 GROUP BY published_day, keyword""",
+        "keyword_filter_many": _with(_ARTICLES, _MANY)
+        + f"""SELECT {_ID}, content AS content_pt FROM articles WHERE EXISTS (
+  SELECT 1 FROM listed WHERE n % 7 = 1 AND (contains(lower(description), word)
+    OR contains(lower(content), word) OR contains(lower(title), word)))""",
         "tokenize_ml": _with(_ARTICLES, _ML_TOKENS) + _tokens("tokens", "ml"),
         "remove_stopwords": _with(_ARTICLES, _ML_TOKENS) + _tokens("filtered_tokens", "visible"),
         "ascii_words": _with(_ARTICLES, _ML_TOKENS) + _tokens("filtered_tokens", "plain"),
@@ -323,6 +342,7 @@ SELECT concat('{"source":"none","url":"', url, '"}') FROM articles""",
         "stream_dedup": _with(_ARTICLES, _WIRED)
         + """SELECT author, title, CAST(min(published_day) AS VARCHAR) AS published_day
 FROM wired GROUP BY author, title""",
+        "stream_latest": _with(_ARTICLES, _WIRED) + f"SELECT {_ID}, content FROM {_latest('wired')} AS a",
         "stream_counts_by_day": _with(_ARTICLES, _WIRED, _STREAMED)
         + f"SELECT {_DAY}, count(*) AS news_count FROM streamed GROUP BY published_day",
         "history_after_recent": _with(

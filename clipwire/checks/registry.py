@@ -399,6 +399,24 @@ def zipf_compare(spark, sf):
     return ops.zipf_compare(_zipf(spark, sf))
 
 
+def _many_keywords(spark, sf) -> list[str]:
+    """Every word of four letters and more of the benchmark."""
+    words = F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{4,}"), 0)).alias("word")
+    words = spark.read.parquet(f"{sf}/benchmark.parquet").select(words).select(F.lower("word")).distinct()
+    return sorted(r[0] for r in words.collect())
+
+
+@query
+def count_keyword_occurrences_many(spark, sf):
+    return ops.count_keyword_occurrences_many(with_pt(articles(spark, sf)), _many_keywords(spark, sf))
+
+
+@query
+def keyword_filter_many(spark, sf):
+    found = ops.keyword_filter_many(with_pt(articles(spark, sf)), _many_keywords(spark, sf)[::7])
+    return found.select(*_ID, "content_pt")
+
+
 # Streams
 
 
@@ -460,6 +478,15 @@ def stream_dedup(spark, sf):
     return kept.select(*ARTICLE_KEYS, day)
 
 
+@query
+def stream_latest(spark, sf):
+    """The latest copy of each article, whichever micro-batch it came in; the first day comes again."""
+    stream, folder, days = _payload_stream(spark, sf, "stream-latest")
+    latest = streaming.stream_latest(stream, f"{days} days", keep_days=days)
+    streaming.append_raw(latest, f"{folder}/raw", f"{folder}/checkpoint").awaitTermination()
+    return streaming.latest_articles(spark, f"{folder}/raw").select(*_ID, "content")
+
+
 @query
 def stream_counts_by_day(spark, sf):
     stream, folder, _ = _payload_stream(spark, sf, "stream-counts")

@@ -6,6 +6,11 @@ from clipwire.operators.articles import (
     relevance_strict,
     search_query,
 )
+from clipwire.operators.automaton import (
+    count_keyword_occurrences_many,
+    keyword_filter_many,
+    match_many,
+)
 from clipwire.operators.counts import (
     count_by_day,
     count_by_source_author,
@@ -50,12 +55,15 @@ __all__ = [
     "count_by_source_author",
     "count_keyword_days",
     "count_keyword_occurrences",
+    "count_keyword_occurrences_many",
     "dedup_latest",
     "dedup_max_by",
     "explode_words",
     "fill_memory",
     "flatten_source",
     "keyword_filter",
+    "keyword_filter_many",
+    "match_many",
     "producer_window",
     "rank_words",
     "relevance_strict",

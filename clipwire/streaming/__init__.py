@@ -12,6 +12,7 @@ from clipwire.streaming.articles import (
 )
 from clipwire.streaming.counts import latest_counts, stream_counts_by_day
 from clipwire.streaming.dedup import stream_dedup
+from clipwire.streaming.latest import latest_articles, stream_latest
 from clipwire.streaming.merge import add_keys, key_index, make_keys, new_articles, stream_stage_merge
 
 __all__ = [
@@ -24,11 +25,13 @@ __all__ = [
     "hourly_batches",
     "kafka_payloads",
     "key_index",
+    "latest_articles",
     "latest_counts",
     "make_keys",
     "new_articles",
     "stream_articles",
     "stream_counts_by_day",
     "stream_dedup",
+    "stream_latest",
     "stream_stage_merge",
 ]

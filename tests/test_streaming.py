@@ -5,7 +5,7 @@ import os
 import pytest
 
 from clipwire.checks import registry
-from clipwire.operators import count_by_day, stamp_from_date
+from clipwire.operators import count_by_day, dedup_latest, stamp_from_date
 from clipwire.schema import RAW_SCHEMA
 from clipwire.session import scratch_dir
 from clipwire.sources.files import folders
@@ -21,6 +21,7 @@ from clipwire.streaming import (
     available_now,
     file_payloads,
     hourly_batches,
+    latest_articles,
     latest_counts,
     make_keys,
     merge,
@@ -28,6 +29,7 @@ from clipwire.streaming import (
     stream_articles,
     stream_counts_by_day,
     stream_dedup,
+    stream_latest,
     stream_stage_merge,
 )
 from helpers import rows
@@ -301,3 +303,31 @@ def test_registered_streams_have_many_batches(spark):
 def test_triggers():
     assert hourly_batches() == {"processingTime": "1 hour"}
     assert available_now() == {"availableNow": True}
+
+
+def test_latest_copy_of_a_later_batch_wins(spark, tmp_path):
+    def at(day, url, title="t", author="a"):
+        return _article(title, author, day and f"2024-01-{day:02d}T00:00:00Z", url)
+
+    batches = [
+        [at(1, "1"), at(2, "n", "n", None)],
+        [at(3, "2"), at(2, "m", "n", None), at(None, "x", "x", None)],
+        [at(2, "3"), at(3, "4"), at(1, "x2", "x", None)],
+        # Event time goes on, and the state of the first keys expires.
+        [at(28, "5", "z", "z")],
+        [at(29, "6", "z", "z")],
+        [at(27, "7"), at(29, "8", "z", "z")],
+    ]
+    out = scratch_dir(spark, "latest-wins")
+    stream = stream_latest(_by_batch(spark, tmp_path, *batches), "5 days", keep_days=6)
+    query = append_raw(stream, f"{out}/raw", f"{out}/cp")
+    query.awaitTermination()
+    came = ingest_articles(read_payload_files(spark, str(tmp_path / "batches")))
+    latest = latest_articles(spark, f"{out}/raw")
+    columns = ("author", "title", "publishedAt", "url")
+    assert rows(latest, *columns) == rows(dedup_latest(came), *columns)
+    # Copies that are not later do not come out again.
+    urls = [r["url"] for r in load_table(spark, f"{out}/raw").select("url").collect()]
+    assert "3" not in urls and {"1", "2", "4", "7", "8"} <= set(urls)
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert states and states[-1] < max(states)
