@@ -210,6 +210,19 @@ _PRODUCED = """published_ts BETWEEN TIMESTAMP '2024-01-01 12:00:00'
 _PT = ("description_pt", "content_pt", "title_pt")
 
 
+def _measures(table: str, stage: str) -> str:
+    counts = {
+        "rows": "count(*)",
+        "bad_dates": "count(*) FILTER (published_day IS NULL)",
+        "without_author": "count(*) FILTER (author IS NULL)",
+        "without_title": "count(*) FILTER (title IS NULL)",
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{stage}' AS stage, '{name}' AS measure, {count} AS value FROM {table}"
+        for name, count in counts.items()
+    )
+
+
 def oracles() -> dict[str, str]:
     art = _with(_ARTICLES)
     sql = {
@@ -343,6 +356,20 @@ SELECT concat('{"source":"none","url":"', url, '"}') FROM articles""",
         + """SELECT author, title, CAST(min(published_day) AS VARCHAR) AS published_day
 FROM wired GROUP BY author, title""",
         "stream_latest": _with(_ARTICLES, _WIRED) + f"SELECT {_ID}, content FROM {_latest('wired')} AS a",
+        "quality_rows": _with(
+            _ARTICLES,
+            _WIRED,
+            f"\nrelevant AS (SELECT * FROM wired WHERE {_match(P.KEYWORDS)})",
+            f"\nlatest AS (SELECT * FROM {_latest('relevant')} AS r)",
+        )
+        + " UNION ALL ".join(
+            [_measures(t, t if t != "wired" else "raw") for t in ("wired", "relevant", "latest")]
+            + [
+                f"SELECT '{now}', 'lost', (SELECT count(*) FROM {was}) - (SELECT count(*) FROM {now})"
+                for was, now in (("wired", "relevant"), ("relevant", "latest"))
+            ]
+        ),
+        "stream_quality_rows": _with(_ARTICLES, _WIRED, _STREAMED) + _measures("streamed", "raw"),
         "stream_counts_by_day": _with(_ARTICLES, _WIRED, _STREAMED)
         + f"SELECT {_DAY}, count(*) AS news_count FROM streamed GROUP BY published_day",
         "history_after_recent": _with(

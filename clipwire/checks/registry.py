@@ -496,6 +496,38 @@ def stream_counts_by_day(spark, sf):
     return streaming.latest_counts(spark, f"{folder}/counts", f"{folder}/checkpoint")
 
 
+@query
+def quality_rows(spark, sf):
+    """Counts after each stage of a harmonization, out of its one pass."""
+    log = ops.QualityLog("harmonize", "1")
+    raw = log.watch(sources.ingest_articles(article_payloads(spark, sf)), "raw")
+    flat = with_pt(raw)
+    relevant = log.watch(ops.keyword_filter(flat, P.KEYWORDS), "relevant")
+    latest = log.watch(ops.dedup_latest(relevant), "latest")
+    folder = scratch_dir(spark, "quality")
+    sources.write_overwrite(latest, f"{folder}/harmonized")
+    log.save(spark, f"{folder}/quality")
+    return sources.load_table(spark, f"{folder}/quality").select("stage", "measure", "value")
+
+
+@query
+def stream_quality_rows(spark, sf):
+    """Counts of the micro-batches of a stream, summed."""
+    stream, folder, _ = _payload_stream(spark, sf, "stream-quality")
+    listener = streaming.QualityListener(spark, f"{folder}/quality")
+    spark.streams.addListener(listener)
+    try:
+        query = streaming.append_raw(
+            streaming.watched(stream, "raw"), f"{folder}/raw", f"{folder}/checkpoint", streaming.available_now()
+        )
+        query.awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(listener)
+    rows = sources.load_table(spark, f"{folder}/quality", schema=ops.QUALITY_SCHEMA)
+    return rows.groupBy("stage", "measure").agg(F.sum("value").alias("value"))
+
+
 # Whole jobs
 
 

@@ -19,6 +19,7 @@ from clipwire.operators.counts import (
     table_counts,
 )
 from clipwire.operators.dedup import dedup_latest, dedup_max_by
+from clipwire.operators.quality import QUALITY_SCHEMA, QualityLog
 from clipwire.operators.translation import (
     fill_memory,
     translate_enrich,
@@ -48,6 +49,8 @@ from clipwire.operators.words import (
 )
 
 __all__ = [
+    "QUALITY_SCHEMA",
+    "QualityLog",
     "alpha_words",
     "ascii_words",
     "assign_windows",

@@ -14,8 +14,10 @@ from clipwire.streaming.counts import latest_counts, stream_counts_by_day
 from clipwire.streaming.dedup import stream_dedup
 from clipwire.streaming.latest import latest_articles, stream_latest
 from clipwire.streaming.merge import add_keys, key_index, make_keys, new_articles, stream_stage_merge
+from clipwire.streaming.quality import QualityListener, watched
 
 __all__ = [
+    "QualityListener",
     "TOPIC",
     "add_keys",
     "append_raw",
@@ -34,4 +36,5 @@ __all__ = [
     "stream_dedup",
     "stream_latest",
     "stream_stage_merge",
+    "watched",
 ]

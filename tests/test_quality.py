@@ -1,0 +1,76 @@
+"""Counts of stages in batch jobs and streams."""
+
+import json
+import os
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from clipwire.operators import QUALITY_SCHEMA, QualityLog, dedup_latest, keyword_filter
+from clipwire.session import scratch_dir
+from clipwire.sources import write_overwrite
+from clipwire.streaming import QualityListener, append_raw, file_payloads, hourly_batches, stream_articles, watched
+from helpers import flat, rows
+
+
+def test_counts_of_stages_in_one_pass(spark):
+    made = [{"title": "t", "author": "a", "title_pt": "dna", "publishedAt": f"2024-01-0{k}T00:00:00Z", "url": str(k)} for k in (1, 2, 3)]
+    made += [{"title": "u", "title_pt": "dna", "publishedAt": "n/a"}, {"title_pt": "no", "publishedAt": None}]
+    log = QualityLog("job", "7")
+    raw = log.watch(flat(spark, *made), "raw", urls=F.count("url"))
+    relevant = log.watch(keyword_filter(raw, ["dna"]), "relevant")
+    out = scratch_dir(spark, "stages")
+    write_overwrite(log.watch(dedup_latest(relevant), "latest"), f"{out}/t")
+    got = {(stage, measure): value for job, run, stage, measure, value, _ in log.rows()}
+    assert got["raw", "rows"] == 5 and got["raw", "bad_dates"] == 2 and got["raw", "urls"] == 3
+    assert got["raw", "without_author"] == 2 and got["raw", "without_title"] == 1
+    assert (got["relevant", "rows"], got["relevant", "lost"]) == (4, 1)
+    assert (got["latest", "rows"], got["latest", "lost"]) == (2, 2)
+    for _ in range(2):
+        log.save(spark, f"{out}/quality")
+    table = spark.read.schema(QUALITY_SCHEMA).parquet(f"{out}/quality")
+    assert table.count() == 2 * len(got) and rows(table.select("job", "run").distinct()) == [("job", "7")]
+
+
+def test_empty_stages(spark):
+    log = QualityLog("job", "1")
+    log.watch(flat(spark), "raw").write.format("noop").mode("overwrite").save()
+    assert {m: v for *_, m, v, _ in log.rows()} == {"rows": 0, "bad_dates": 0, "without_author": 0, "without_title": 0}
+
+
+@pytest.fixture
+def landing(tmp_path):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    for n in range(3):
+        file = folder / f"{n}.json"
+        articles = [{"title": f"t{n}-{k}", "publishedAt": "n/a" if k else "2024-01-01T00:00:00Z"} for k in range(n + 1)]
+        file.write_text(json.dumps({"articles": articles}) + "\n")
+        os.utime(file, (1_700_000_000 + n, 1_700_000_000 + n))
+    return str(folder)
+
+
+def test_a_stream_with_a_trigger_runs_batch_after_batch(spark, landing):
+    """The trigger of ``hourly_batches``, with a short time, and the counts of each of its batches."""
+    out = scratch_dir(spark, "trigger")
+    (kind,) = hourly_batches()
+    listener = QualityListener(spark, f"{out}/quality")
+    spark.streams.addListener(listener)
+    try:
+        stream = watched(stream_articles(file_payloads(spark, landing, files_per_batch=1)), "raw")
+        query = append_raw(stream, f"{out}/raw", f"{out}/cp", {kind: "1 second"})
+        for _ in range(120):
+            done = [p for p in query.recentProgress if p["numInputRows"]]
+            if len(done) >= 3 or not query.isActive:
+                break
+            time.sleep(0.5)
+        query.stop()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(listener)
+    assert [p["batchId"] for p in done] == [0, 1, 2]
+    table = spark.read.schema(QUALITY_SCHEMA).parquet(f"{out}/quality")
+    assert rows(table.where("measure = 'rows'"), "run", "value") == [("0", 1), ("1", 2), ("2", 3)]
+    assert rows(table.where("measure = 'bad_dates'"), "run", "value") == [("0", 0), ("1", 1), ("2", 2)]
+    assert spark.read.parquet(f"{out}/raw").count() == 6
