@@ -30,7 +30,9 @@ CAPACITY = 4096
 LOAD = 2_000_000
 END = (2).to_bytes(4, "little")
 #: Words whose ids a worker remembers; all are forgotten when there are more.
-REMEMBERED = 800_000
+REMEMBERED = 400_000
+#: Bytes of text that are cut at once.
+AT_ONCE = 2 << 20
 
 #: A line of Latin letters and ASCII punctuation, or any other line.
 _PLAIN = re.compile("^(?:([A-Za-zÀ-ÖØ-öø-ÿß]*)([!-&(-/:-@\\[-`{-~]*)|(.*))$", re.M)
@@ -237,7 +239,7 @@ def pack_documents(
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
         for batch in batches:
-            for at, texts in slices(batch.column("text")):
+            for at, texts in slices(batch.column("text"), AT_ONCE):
                 docs_at = batch.column("doc_id").slice(at, len(texts)).to_pylist()
                 for doc, ids in zip(docs_at, words.of(texts)):
                     docs_held.append(doc)
