@@ -10,8 +10,8 @@ Gamma(2, 1) is the sum of two exponentials, r = -ln(u1) - ln(u2), of which -ln(u
 evenly spread part b. So exp(r * b - r) is u2, and a term of weight 1, for which t is 0, has the value
 c * u2: one logarithm instead of three, for nearly all terms.
 
-Everything is column expressions. Texts are shuffled once, into ranges of ids; terms, weights
-and samples are aggregated within that partitioning.
+Everything is column expressions. Texts are shuffled once, into ranges between quantiles of the
+ids; terms, weights and samples are aggregated within that partitioning.
 """
 
 from __future__ import annotations
@@ -24,9 +24,7 @@ from clipwire.llm.common import WORD_GAP, stored
 
 SAMPLES = 32
 SHINGLE = 5
-#: Documents of a range of ids, on average, and ranges of a range of ranges.
-RANGE, RANGES = 256, 4096
-#: Documents of a task, so that their terms fit into memory; beyond so many tasks they spill.
+#: Documents of a range of ids, so that their terms fit into memory; beyond so many ranges they spill.
 IN_TASK, MOST_TASKS = 2048, 100_000
 
 #: Bits of a sample's identity, and of its value after the binary point; values are under 64.
@@ -150,61 +148,87 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES, shingle: int = SHINGLE
     return made.select("doc_id", F.col("first_fp").alias("fingerprint"))
 
 
-def with_ranges(docs: DataFrame) -> tuple[DataFrame, int]:
-    """``doc_id``, ``text`` and ``range`` of every row, and the number of rows.
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text``, and ``key``: where a row stands in the order of ids.
 
-    Ranges are of equal width and hold ``RANGE`` documents on average, if ids are spread evenly. Null
-    ids are a range of their own below all others.
+    ``key`` is the id (null below all others), a hash of the text, and a hash of the row's place in
+    its table, so that rows which repeat one id and text can be parted too.
     """
-    low, high, rows = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    width = 1 if low is None else max(1, -(-(high - low + 1) * RANGE // rows))
-    wide = lambda c: c.cast("decimal(20,0)")
-    number = F.floor((wide(F.col("doc_id")) - wide(F.lit(low or 0))) / wide(F.lit(width))).cast("long")
-    return docs.select("doc_id", "text", F.coalesce(number, F.lit(-1)).alias("range")), rows
+    place = F.xxhash64(F.monotonically_increasing_id())
+    whole = lambda name, c: F.coalesce(c, F.lit(0)).cast("long").alias(name)
+    key = F.struct(
+        whole("known", F.col("doc_id").isNotNull().cast("long")),
+        whole("id", F.col("doc_id")),
+        whole("tie", F.xxhash64("text")),
+        whole("place", place),
+    )
+    return docs.select("doc_id", "text", key.alias("key"))
+
+
+def range_edges(docs: DataFrame) -> DataFrame:
+    """``range`` (0, 1, ... by rising ids), its least key ``low`` and its greatest ``high``.
+
+    Ranges are cut at quantiles of the keys, so they hold about equally many rows whatever the
+    ids are: ``IN_TASK``, and more where that would be over ``MOST_TASKS`` ranges.
+    """
+    keys = stored(_keyed(docs).select("key.*"), "range-keys")
+    parts = min(-(-keys.count() // IN_TASK), MOST_TASKS)
+    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), parts)
+    dealt = keys.repartitionByRange(parts, *keys.columns).select(
+        F.struct(*keys.columns).alias("key"), F.spark_partition_id().alias("part")
+    )
+    edges = dealt.groupBy("part").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    number = F.row_number().over(W.orderBy("low")) - 1
+    return stored(edges.select(number.alias("range"), "low", "high"), "range-edges")
 
 
-def _in_range():
-    return W.partitionBy("range").orderBy("guest", F.col("doc_id").desc(), F.xxhash64("text"))
+def range_of(key: Column, lows: Column, ranges: int) -> Column:
+    """The last of ``ranges`` ascending keys ``lows`` that is not over ``key``, by binary search."""
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(max(1, ranges.bit_length())))])
+    return F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get(lows, at + step) <= key, at + step).otherwise(at)
+    )
 
 
-def range_heads(ranged: DataFrame) -> DataFrame:
-    """``range`` and ``head``: the text that follows the range's last, after the last range the first.
+def range_heads(docs: DataFrame, edges: DataFrame, ranges: int) -> DataFrame:
+    """``range`` and ``text``: the text that follows the range's last, after the lowest range the first.
 
-    Ranges are put in order within ranges of ranges, and these by their first and last.
+    Ids go down, so it is the top of the range below. A top that many ranges share is looked up once.
     """
-    # Stored, so that Spark knows its size: while small it is broadcast, and texts stay in place.
-    first = stored(ranged.groupBy("range").agg(F.max("doc_id").alias("top_id")), "range-tops")
-    tops = first.select(F.col("range").alias("of_range"), "top_id")
-    top = (F.col("range") == F.col("of_range")) & F.col("doc_id").eqNullSafe(F.col("top_id"))
-    there = ranged.join(tops, top)
-    heads = there.groupBy("range").agg(F.min_by("text", F.xxhash64("text")).alias("head"))
-    ids = first.select("range", F.floor(F.col("range") / RANGES).alias("group"))
-    down = W.partitionBy("group").orderBy(F.col("range").desc())
-    within = ids.select("range", "group", F.lead("range").over(down).alias("after"))
-    groups = ids.groupBy("group").agg(F.max("range").alias("top"))
-    down = W.orderBy(F.col("group").desc())
-    order = groups.select(
-        "group",
-        F.coalesce(F.lead("top").over(down), F.max("top").over(W.partitionBy())).alias("next_top"),
+    tops = edges.select(
+        ((F.col("range") + 1) % ranges).alias("range"),
+        *[F.col(f"high.{c}").alias(c) for c in ("known", "id", "tie")],
     )
-    linked = within.join(order, "group").select(
-        F.col("range").alias("of"), F.coalesce("after", "next_top").alias("range")
+    rows = docs.select(
+        "text",
+        F.col("doc_id").isNotNull().cast("long").alias("known"),
+        F.coalesce("doc_id", F.lit(0)).alias("id"),
+        F.xxhash64("text").alias("tie"),
     )
-    return linked.join(heads, "range").select(F.col("of").alias("range"), "head")
+    # Edges are stored, so Spark knows their size: while small they are broadcast, and texts stay in place.
+    there = rows.join(tops.drop("range").distinct(), ["known", "id", "tie"], "left_semi")
+    found = stored(there.groupBy("known", "id", "tie").agg(F.min("text").alias("text")), "range-heads")
+    return tops.join(found, ["known", "id", "tie"]).select("range", "text")
 
 
-def in_order(ranged: DataFrame, rows: int) -> DataFrame:
-    """``ranged`` with ``spot`` (1, 2, ... in a range, ids descending), ``after`` and ``guest``.
+def in_order(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text``, ``range``, ``spot`` (1, 2, ... in a range, ids descending), ``after``, ``guest``.
 
     ``after`` is the next row's text. Each range gets one row more, the first of the range that
-    follows, as its ``guest``, so that its last row has a next one without looking elsewhere.
+    follows, as its ``guest``, so that its last row has a next one without looking elsewhere. Each
+    range is a partition of its own.
     """
-    heads = stored(range_heads(ranged), "range-heads")
-    guests = heads.select(F.lit(None).cast("long").alias("doc_id"), F.col("head").alias("text"), "range")
-    both = ranged.withColumn("guest", F.lit(0)).unionByName(guests.withColumn("guest", F.lit(1)))
-    parts = max(int(ranged.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(-(-rows // IN_TASK), MOST_TASKS))
-    return both.repartition(parts, "range").select(
-        "*", F.row_number().over(_in_range()).alias("spot"), F.lead("text").over(_in_range()).alias("after")
+    edges = range_edges(docs)
+    # The least keys alone come to the driver, MOST_TASKS at most.
+    ranges, cuts = edges.agg(F.count("*"), F.to_json(F.array_sort(F.collect_list("low")))).first()
+    form = f"array<{edges.schema['low'].dataType.simpleString()}>"
+    number = range_of(F.col("key"), F.from_json(F.lit(cuts), form), ranges)
+    ranged = _keyed(docs).select("doc_id", "text", number.alias("range"), F.lit(0).alias("guest"))
+    heads = range_heads(docs, edges, max(1, ranges))
+    guests = heads.select(F.lit(None).cast("long").alias("doc_id"), "text", "range", F.lit(1).alias("guest"))
+    down = W.partitionBy("range").orderBy("guest", F.col("doc_id").desc(), F.xxhash64("text").desc())
+    return ranged.unionByName(guests).repartitionById(max(1, ranges), F.col("range")).select(
+        "*", F.row_number().over(down).alias("spot"), F.lead("text").over(down).alias("after")
     )
 
 
@@ -213,16 +237,14 @@ def edited_pairs(docs: DataFrame, samples: int = SAMPLES, shingle: int = SHINGLE
 
     ``doc_id``, ``n_chars`` (code points), ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``,
     ``near_edited``, ``near_next`` (0 to 1). The next document is that with the next lower id, after the
-    last the first; a null id is the lowest, equal ids go by a hash of their text. In the edited
+    last the first; a null id is the lowest, equal ids go by a hash of their text. ``docs`` is read
+    more than once and must have its rows in the same places each time, as a table has. In the edited
     text the last ``n_chars / 2`` code points (rounded down) are the first of the next document's.
 
     A null text is empty. Texts without words are as like as can be to each other, and unlike
     all others. Other columns are ignored; no rows give none.
     """
-    ranged, count = with_ranges(
-        docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    )
-    rows = in_order(ranged, count)
+    rows = in_order(docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")))
     n, half = F.length("text"), F.expr("length(text) div 2").cast("int")
     edited = F.concat(F.substr("text", F.lit(1), n - half), F.substr("after", F.lit(1), half))
     rows = rows.withColumn("edited", F.when(F.col("guest") == 0, edited))

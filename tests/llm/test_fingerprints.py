@@ -36,8 +36,7 @@ def jaccard(a, b, size=fp.SHINGLE):
 
 def test_query_is_brute_force(spark, monkeypatch):
     """With small ranges, so that the next document is often in another one."""
-    monkeypatch.setattr(fp, "RANGE", 3)
-    monkeypatch.setattr(fp, "RANGES", 8)
+    monkeypatch.setattr(fp, "IN_TASK", 3)
     got = {r.doc_id: r for r in llm_queries()["op1_weighted_sampling"](spark, SF).collect()}
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     want = plain_edits(texts)
@@ -53,6 +52,37 @@ def test_query_is_brute_force(spark, monkeypatch):
         assert r.near_edited == same(prints[d], r.edited_fingerprint)
         off.append(r.near_edited - jaccard(texts[d], want[d][3]))
     assert abs(sum(off) / len(off)) < 0.03
+    # The standard error of a share of 32 is at most 0.088.
+    assert fp.SAMPLES == 32
+    assert (sum(x * x for x in off) / len(off)) ** 0.5 < 0.088
+    assert max(map(abs, off)) < 5 * 0.088
+
+
+SKEWS = {
+    "an outlying id": "if(id = 17, 4611686018427387904, id)",
+    "null ids": "if(id % 3 = 0, null, id)",
+    "one id of many texts": "if(id % 3 = 0, 5, id)",
+    "one row": "if(id % 3 = 0, 5, id)",
+    "clusters": "(id % 4) * 1000000000000 + id",
+}
+
+
+@pytest.mark.parametrize("skew", list(SKEWS))
+def test_skewed_ids_are_spread(spark, skew, monkeypatch):
+    """No partition holds over twice the mean, and each row's next one is that of the whole order."""
+    monkeypatch.setattr(fp, "IN_TASK", 200)
+    same = "if(id % 3 = 0, 'hot text', concat('t', id))" if skew == "one row" else "concat('t', id)"
+    docs = spark.range(0, 4000, 1, 4).selectExpr(f"{SKEWS[skew]} AS doc_id", f"{same} AS text")
+    rows = fp.in_order(docs)
+    got = rows.select("*", F.spark_partition_id().alias("task"), F.xxhash64("text").alias("h")).collect()
+    own = [r for r in got if r.guest == 0]
+    assert len(own) == 4000
+    sizes = Counter(r.task for r in own)
+    assert len(sizes) >= 20 and max(sizes.values()) <= 2 * 4000 / len(sizes)
+    low = -(2**70)
+    order = sorted(own, key=lambda r: (low if r.doc_id is None else r.doc_id, r.h), reverse=True)
+    want = Counter((r.doc_id, r.text, order[(n + 1) % 4000].text) for n, r in enumerate(order))
+    assert Counter((r.doc_id, r.text, r.after) for r in own) == want
 
 
 def test_collision_rate_is_generalised_jaccard(spark):
