@@ -1,12 +1,13 @@
 """Quality rules: statistics of whole texts, judged by an isolation forest.
 
-Trees split a bounded sample at random: a random statistic at a random value. A document that few
-splits set apart from the sample is unusual; its mean path is short. The score from
-which documents are turned away is calibrated on labelled rows.
+Each tree splits its own draw of all documents at random: a random statistic at a random value. A document
+that few splits set apart from the draw is unusual; its mean path is short. The score from
+which documents are turned away is calibrated on all labelled rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -14,13 +15,15 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clipwire.llm.common import hash_sample, stored
+from clipwire.llm.common import joined_apart, stored
 
-#: Rows that trees draw from, and labelled rows that the threshold is calibrated on.
-SAMPLE, LABELLED = 8192, 20_000
+#: Trees, and documents that each of them draws from all.
 TREES, DRAWN = 128, 256
+#: Ranges of scores that the threshold is looked for in.
+RANGES = 4096
 #: Least share of good labelled documents that the threshold keeps.
 KEEP_GOOD = 0.98
 
@@ -120,16 +123,19 @@ def _expected(n) -> float:
     return 0.0 if n < 2 else 1.0 if n == 2 else 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
 
 
-def grow(x: np.ndarray, trees: int = TREES, drawn: int = DRAWN, seed: int = 11) -> Forest:
-    """A forest over the rows of ``x``; each tree draws some of them."""
+def grow(
+    x: np.ndarray, trees: int = TREES, drawn: int = DRAWN, seed: int = 11, of_tree: np.ndarray | None = None
+) -> Forest:
+    """A forest over the rows of ``x``; each tree draws some of them, or has those that ``of_tree`` gives it."""
     r = np.random.default_rng(seed)
-    drawn = min(drawn, len(x))
+    drawn = min(drawn, len(x) if of_tree is None else int((of_tree == 0).sum()))
     depth = int(np.ceil(np.log2(max(drawn, 2))))
     nodes = 2 ** (depth + 1) - 1
     feature = np.full((trees if drawn else 0, nodes), -1)
     cut, path = np.zeros(feature.shape), np.zeros(feature.shape)
     for t in range(len(feature)):
-        todo = [(0, r.choice(len(x), drawn, replace=False), 0)]
+        own = r.choice(len(x), drawn, replace=False) if of_tree is None else np.flatnonzero(of_tree == t)
+        todo = [(0, own, 0)]
         while todo:
             node, rows, level = todo.pop()
             part = x[rows]
@@ -177,33 +183,77 @@ def measured(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", of("text").alias("m")).select("doc_id", "m.*")
 
 
-def judge(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, labelled: int = LABELLED) -> DataFrame:
+def draws(rows: DataFrame, trees: int = TREES, drawn: int = DRAWN) -> DataFrame:
+    """``tree``, ``rules``: for each tree ``drawn`` of all different rows, or all if there are fewer.
+
+    A tree draws the rows with the least hashes of its number and all their columns, whatever other
+    trees draw and however often a row is there. ``rows`` are read twice.
+    """
+    names = rows.columns
+    hashed = rows.select(F.xxhash64(*names, *[F.col(c).isNull() for c in names]).alias("row"), "rules")
+    distinct = hashed.agg(F.approx_count_distinct("row")).first()[0]
+    share = min(1.0, 4.0 * drawn / max(distinct, 1))
+    each = F.transform(
+        F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("tree"), F.xxhash64(t, "row").alias("h"))
+    )
+    low = F.filter(each, lambda e: e["h"].cast("double") <= share * 2.0**64 - 2.0**63)
+    thin = hashed.select("rules", F.inline(low)).dropDuplicates(["tree", "h"])
+    rank = F.row_number().over(W.partitionBy("tree").orderBy("h"))
+    return thin.withColumn("n", rank).where(F.col("n") <= drawn).select("tree", "rules")
+
+
+def calibrated(rated: DataFrame, keep_good: float = KEEP_GOOD) -> float:
+    """:func:`threshold` over all rows of ``rated``, which have ``anomaly`` (0 to 1) and ``good`` (boolean).
+
+    Equal scores are counted together, then added up range by range; no row comes to the driver but the best.
+    """
+    counts = [F.count_if("good").alias("g"), F.count_if(~F.col("good")).alias("b")]
+    scores = stored(rated.groupBy("anomaly").agg(*counts), "rated-scores")
+    scores = scores.withColumn("range", F.floor(F.col("anomaly") * RANGES))
+    ranges = stored(scores.groupBy("range").agg(F.sum("g").alias("g"), F.sum("b").alias("b")), "rated-ranges")
+    good, bad = ranges.agg(F.sum("g"), F.sum("b")).first()
+    if not good or not bad:
+        return np.inf
+    up_to = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)  # RANGES rows at most
+    zero = F.lit(0).cast("long")
+    below = ranges.select("range", *[F.coalesce(F.sum(c).over(up_to), zero).alias(f"{c}_below") for c in "gb"])
+    within = W.partitionBy("range").orderBy("anomaly").rowsBetween(W.unboundedPreceding, 0)
+    kept = scores.join(F.broadcast(below), "range").select(
+        "anomaly", *[(F.col(f"{c}_below") + F.sum(c).over(within)).alias(c) for c in "gb"]
+    )
+    gain = (bad - F.col("b")) / F.lit(bad) - (good - F.col("g")) / F.lit(good)
+    floor = math.ceil(keep_good * (good - 1)) + 1
+    allowed = kept.where(F.col("g") >= floor).select("anomaly", gain.alias("gain")).where("gain > 0")
+    best = allowed.orderBy(F.desc("gain"), "anomaly").first()
+    return best["anomaly"] if best else np.inf
+
+
+def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, the counts of ``BASE``, ``base_failed``, ``anomaly`` (0 to 1) and ``kept``.
 
-    ``base_failed``: under 50 words, or over half of them repeated. Trees draw from up to ``sample``
-    of the other documents, those with the least hash of their id and statistics; the threshold comes from
-    up to ``labelled`` of them with a label (``quality`` 0 or 1; a document with several is good
+    ``base_failed``: under 50 words, or over half of them repeated. Each tree draws from all other
+    documents, by a hash of their id and statistics; the threshold comes from
+    all of them with a label (``quality`` 0 or 1; a document with several is good
     if one says so). Without good and bad labels no document is anomalous. Null texts have
     no words; equal texts are judged alike; repeated rows stay; other columns are ignored.
     """
     stats = stored(measured(docs), "rules").withColumn(
         "base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     )
-    passed = stats.where(~F.col("base_failed"))
-    drawn = sorted(hash_sample(passed.select("doc_id", "rules"), sample).select("rules").collect())
-    known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
-    known = known.groupBy("doc_id").agg(F.max("quality").alias("good"))
-    rated = hash_sample(passed.select("doc_id", "rules").join(known, "doc_id"), labelled)
-    rated = rated.select("rules", "good").collect()
-    forest = grow(np.array([r["rules"] for r in drawn]).reshape(-1, len(RULES)))
-    scores = forest.scores(np.array([r["rules"] for r in rated]).reshape(-1, len(RULES)))
-    cut = threshold(scores, np.array([r["good"] == 1 for r in rated], bool))
+    drawn = draws(stats.where(~F.col("base_failed")).select("doc_id", "rules")).collect()
+    drawn = sorted((r["tree"], r["rules"]) for r in drawn)
+    x = np.array([rules for _, rules in drawn]).reshape(-1, len(RULES))
+    forest = grow(x, of_tree=np.array([t for t, _ in drawn], int))
 
     @F.pandas_udf("double")
     def anomaly(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for rules in batches:
             yield pd.Series(forest.scores(np.stack(rules.to_list()) if len(rules) else np.zeros((0, len(RULES)))))
 
-    scored = stats.withColumn("anomaly", anomaly("rules"))
+    scored = stored(stats.withColumn("anomaly", anomaly("rules")), "anomalies")
+    known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
+    known = known.groupBy("doc_id").agg((F.max("quality") == 1).alias("good"))
+    passed = scored.where(~F.col("base_failed")).select("doc_id", "anomaly", F.xxhash64("rules").alias("row"))
+    cut = calibrated(joined_apart(passed, known, "doc_id").distinct())
     kept = ~F.col("base_failed") & (F.col("anomaly") <= F.lit(float(cut)))
     return scored.select("doc_id", *BASE, "base_failed", "anomaly", kept.alias("kept"))

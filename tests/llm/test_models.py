@@ -2,6 +2,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -272,6 +273,23 @@ def test_path_lengths_and_threshold_by_plain_walks():
     assert cut == np.inf and max(map(gain, allowed)) <= 0 or gain(cut) == max(map(gain, allowed))
 
 
+def test_trees_draw_from_all_rows_and_scores_are_cut_by_all_labels(spark):
+    rows = spark.range(20_000).selectExpr("id AS doc_id", "array(cast(id AS double)) AS rules")
+    drawn = quality.draws(rows.union(rows.limit(50))).collect()
+    assert set(Counter(r.tree for r in drawn).values()) == {quality.DRAWN}
+    assert len({r.rules[0] for r in drawn}) > 8192
+    assert len({(r.tree, r.rules[0]) for r in drawn}) == len(drawn)
+    assert len(quality.draws(rows.limit(9), trees=3).collect()) == 27
+    r = np.random.default_rng(8)
+    good = r.random(30_000) < 0.9
+    scores = np.round(np.where(good, 0.4, 0.5) + 0.1 * r.random(30_000), 4)
+    rated = spark.createDataFrame(pd.DataFrame({"anomaly": scores, "good": good}))
+    assert quality.calibrated(rated) == quality.threshold(scores, good) < 1
+    assert quality.calibrated(rated.where("good")) == quality.calibrated(rated.limit(0)) == np.inf
+    few = spark.createDataFrame(pd.DataFrame({"anomaly": scores[:40], "good": good[:40]}))
+    assert quality.calibrated(few) == quality.threshold(scores[:40], good[:40])
+
+
 def test_boosted_trees_lower_the_loss_and_leaves_are_newton_steps():
     r = np.random.default_rng(6)
     x = r.normal(size=(400, 5))
