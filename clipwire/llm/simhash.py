@@ -45,6 +45,10 @@ SHINGLES = 1 << 21
 #: Runs of up to so many rows are compared by shifting, not by tiles.
 SHORT = 64
 
+#: Arguments of ``near_duplicates`` up to ``similarity``: by shingles that are alike, and by 64 bits alone.
+ALIKE = 5, 4, RADIUS, MIN_HASHES, TILE, SIMILARITY
+BY_BITS = 4, 1, 4, 0, TILE, None
+
 _ODD = np.array(
     [(2 * pow(3, 40 + k) + 0x9E3779B97F4A7C15 * (2 * k + 1)) % 2**64 | 1 for k in range(32)], np.uint64
 )
@@ -374,17 +378,30 @@ def _grouped(docs: DataFrame, kept: list, how: tuple) -> tuple[DataFrame, DataFr
     return prints, rooted
 
 
-def near_groups(docs: DataFrame, row: Column) -> DataFrame:
+def near_groups(docs: DataFrame, row: Column, how: tuple = ALIKE) -> DataFrame:
     """``doc_id``, ``row`` and ``root`` for every row of ``docs``.
 
-    Rows of one component of :func:`near_duplicates`, with its defaults, have one ``root``, whatever
-    their ids are.
+    Rows of one component of :func:`near_duplicates`, with the arguments ``how``, have one ``root``,
+    whatever their ids are.
     """
-    how = 5, 4, RADIUS, MIN_HASHES, TILE, SIMILARITY
     prints, rooted = _grouped(docs, [F.col("doc_id"), row.alias("row")], how)
     return joined_apart(prints.select("doc_id", "row", "fp"), rooted.select("fp", "root"), "fp").drop("fp")
 
 
+def joined_groups(one: DataFrame, other: DataFrame) -> DataFrame:
+    """``doc_id``, ``row`` and ``root``: rows that share a root in one of two groupings, or in a chain of both.
+
+    The two have the same rows, and each gives rows with equal ``row`` one root. Of these one comes out.
+    """
+    one = one.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.min("root").alias("a"))
+    other = other.groupBy("row").agg(F.min("root").alias("b"))
+    both = stored(one.join(other, "row"), "two-groups")
+    least = both.groupBy("b").agg(F.min("a").alias("least"))
+    links = joined_apart(both.select("a", "b").distinct(), least, "b").where(F.col("a") != F.col("least"))
+    moved = connected_components(links, "a", "least").withColumnRenamed("node", "a")
+    return joined_apart(both, moved, "a", "left").select("doc_id", "row", F.coalesce("root", "a").alias("root"))
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = 5,

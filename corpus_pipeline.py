@@ -40,12 +40,16 @@ def keep_clear_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id, and one row of it.
 
+    Near copies are what ``op10`` links, fingerprints of 64 bits that differ in four at most, and besides
+    these texts whose shingles are alike, see ``near_duplicates``; what either joins is one group.
     Groups go by their texts alone, so each keeps exactly one row, whatever its ids are: rows
     with equal or null ids stay if their texts are no near copies. A null id comes last.
     """
     columns = [docs[c] for c in docs.columns]
     row = F.xxhash64(*columns, *[c.isNull() for c in columns])
-    groups = simhash.near_groups(docs, row)
+    groups = simhash.joined_groups(
+        simhash.near_groups(docs, row), simhash.near_groups(docs, row, simhash.BY_BITS)
+    )
     one = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("one")
     first = groups.groupBy("root").agg(one).select(
         F.col("one.doc_id").alias("first_id"), F.col("one.row").alias("first_row")

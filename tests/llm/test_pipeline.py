@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
+from clipwire.llm import simhash
 from clipwire.llm.common import stored
 from clipwire.llm.queries import MIX_WEIGHTS
 
@@ -166,3 +167,17 @@ def test_each_group_keeps_one_row_whatever_its_ids_are(spark, documents, words):
     copies = [got.pop((None, t), 0) for t in (d, d + " more")]
     assert sorted(copies) == [0, 1]
     assert got == Counter([(5, a), (5, b), (None, c), (9, e), (5, None)])
+
+
+def test_copies_by_bits_are_one_group_beside_copies_by_shingles(spark, documents, words):
+    """``op10`` links a line said 300 times with two other ends; a third of their shingles is shared."""
+    line = " ".join(words(70, 11))
+    ends = [" ".join(words(80 + k, 9)) for k in range(2)]
+    texts = [f"{line} " * 300 + end for end in ends] + [" ".join(words(90, 60))]
+    a, b = (shingles(t) for t in texts[:2])
+    assert len(a & b) / len(a | b) < 0.8
+    df = documents(texts + [texts[1] + " more", None])
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(df, 4, 1, 4, 0).collect()}
+    assert found[0] == found[1] == 0 and found[2] == 2
+    kept = pipeline.keep_one_of_near_copies(spark, df.union(df), SF).collect()
+    assert sorted(r.doc_id for r in kept) == [0, 2, 4]
