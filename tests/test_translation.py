@@ -214,3 +214,9 @@ def test_few_articles_do_not_shuffle_the_memory(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "BroadcastHashJoin [_key" in plan
+
+
+def test_a_task_translates_few_texts_at_a_time(spark):
+    texts = spark.range(1000).selectExpr("cast(id AS string) AS text").coalesce(1)
+    out = translate_texts(texts, lambda ts: [str(len(ts))] * len(ts), batched=True)
+    assert {r[1] for r in rows(out)} == {"256", str(1000 % 256)}
