@@ -8,6 +8,7 @@ from clipwire.sources.payloads import (
     rejected_payloads,
 )
 from clipwire.sources.tables import (
+    append_as_dealt,
     load_table,
     read_csv_export,
     write_csv_export,
@@ -17,6 +18,7 @@ from clipwire.sources.tables import (
 )
 
 __all__ = [
+    "append_as_dealt",
     "history_union",
     "ingest_articles",
     "load_table",
