@@ -33,3 +33,20 @@ def test_days_land_in_one_pass_and_in_order(spark):
         assert len(names) == 2
         times.append({int(os.path.getmtime(f"{path}/{x}")) for x in names})
     assert all(len(t) == 1 for t in times) and sorted(times, key=min) == times and len(set(map(min, times))) == 6
+
+
+def test_rows_are_dealt_to_days_before_they_become_payloads(spark, monkeypatch):
+    """Payloads hold each text twice, so it is not they that are shuffled."""
+    dealt, frame = [], type(spark.range(1))
+    by_id = frame.repartitionById
+    monkeypatch.setattr(frame, "repartitionById", lambda df, *of: dealt.append(df.columns) or by_id(df, *of))
+    first, folder = dt.date(2024, 1, 1), scratch_dir(spark, "landing-narrow")
+    rows = spark.range(40).select(
+        F.concat(F.lit("text "), "id").alias("text"), F.date_add(F.lit(first), (F.col("id") % 2).cast("int")).alias("from_date")
+    )
+    folders = {first + dt.timedelta(n): f"{folder}/{n}" for n in range(2)}
+    registry._land(rows, folders, F.concat("text", F.lit("+"), "text"))
+    assert dealt == [["text", "part"]]
+    for n in range(2):
+        got = sorted(r[0] for r in spark.read.text(f"{folder}/{n}").collect())
+        assert got == sorted(f"text {k}+text {k}" for k in range(40) if k % 2 == n)
