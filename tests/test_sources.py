@@ -1,6 +1,9 @@
 import datetime as dt
 import json
 
+import pyarrow.dataset as pads
+import pytest
+
 from clipwire.operators import stamp_from_date
 from clipwire.plans import daily_job
 from clipwire.schema import INGESTED_SCHEMA, MEMORY_SCHEMA, RAW_SCHEMA
@@ -18,7 +21,8 @@ from clipwire.sources import (
     write_partition_append,
     write_partition_overwrite,
 )
-from clipwire.sources.tables import _by_partition
+from clipwire.sources.tables import _by_partition, append_as_dealt
+from clipwire.streaming import append_raw, file_payloads, stream_articles
 from helpers import rows
 
 DAY = dt.date(2024, 1, 1)
@@ -176,3 +180,28 @@ def test_daily_job(spark):
 def test_writes_are_rebalanced_by_day(spark):
     plan = _by_partition(_raw(spark, DAY, "a"))._jdf.queryExecution().executedPlan().toString()
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
+def _stream(spark, path):
+    _payloads(spark, _payload("a", content="text " * 2000)).write.text(f"{path}-in")
+    append_raw(stream_articles(file_payloads(spark, f"{path}-in")), path, f"{path}-log").awaitTermination()
+
+
+@pytest.mark.parametrize(
+    "write",
+    [
+        write_overwrite,
+        write_partition_overwrite,
+        write_partition_append,
+        append_as_dealt,
+        lambda df, path: _stream(df.sparkSession, path),
+    ],
+)
+def test_tables_are_packed_by_zstd(spark, write):
+    """Whoever writes a Parquet table of texts; the session's own codec is another."""
+    path = scratch_dir(spark, "packed")
+    df = spark.createDataFrame([(f"text {n} " * 500, DAY) for n in range(20)], "content string, from_date date")
+    write(df, path)
+    files = pads.dataset(path.removeprefix("file:"), format="parquet", exclude_invalid_files=True).get_fragments()
+    groups = [f.metadata.row_group(g) for f in files for g in range(f.metadata.num_row_groups)]
+    assert groups and {g.column(c).compression for g in groups for c in range(g.num_columns)} == {"ZSTD"}
