@@ -4,7 +4,7 @@ import json
 import pyarrow.dataset as pads
 import pytest
 
-from clipwire.operators import stamp_from_date
+from clipwire.operators import stamp_from_date, translate_udf
 from clipwire.plans import daily_job
 from clipwire.schema import INGESTED_SCHEMA, MEMORY_SCHEMA, RAW_SCHEMA
 from clipwire.session import scratch_dir
@@ -195,6 +195,7 @@ def _stream(spark, path):
         write_partition_append,
         append_as_dealt,
         lambda df, path: _stream(df.sparkSession, path),
+        lambda df, path: translate_udf(df, str.upper, path, columns=["content"]),
     ],
 )
 def test_tables_are_packed_by_zstd(spark, write):
