@@ -175,12 +175,15 @@ def _keyed(nodes: DataFrame, radius: int, min_hashes: int) -> DataFrame:
 def _units(keyed: DataFrame, radius: int, tile: int) -> DataFrame:
     """(key, unit, fp): a block is one unit, or one for each near pair of its tiles if large.
 
-    A row counts as one in a tile, or as its ``load`` if there is such a column.
+    A row counts as one in a tile, or as its ``load`` if there is such a column. Only what stands once
+    for a large block is a broadcast, so no more than one row for ``tile`` rows of ``keyed``. Spark
+    sizes ``keyed`` as what it was exploded from and would send all of it.
     """
     load = F.sum("load") if "load" in keyed.columns else F.count("*")
     large = keyed.groupBy("key").agg(load.alias("load")).where(F.col("load") > tile).select("key")
+    large = F.broadcast(large)
     band = F.floor(F.col("ones") / (radius + 1)).cast("int")
-    many = keyed.join(large, "key").withColumn("band", band)
+    many = keyed.join(large, "key", "left_semi").withColumn("band", band)
     slices = many.groupBy("key", "band").agg(F.ceil(load / tile).cast("int").alias("slices"))
     tiles = slices.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("band", "slices"))).alias("tiles"))
     own = F.struct("band", F.pmod(F.xxhash64("fp"), F.col("tiles")[F.col("band")]).cast("int").alias("slice"))
@@ -196,7 +199,7 @@ def _units(keyed: DataFrame, radius: int, tile: int) -> DataFrame:
             ),
         )
     )
-    pairs = many.join(tiles, "key").select("key", "fp", own.alias("own"), F.explode(near).alias("other"))
+    pairs = many.join(F.broadcast(tiles), "key").select("key", "fp", own.alias("own"), F.explode(near).alias("other"))
     unit = F.to_json(F.struct(F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")))
     small = keyed.join(large, "key", "left_anti")
     return small.select("key", F.lit("").alias("unit"), "fp").union(pairs.select("key", unit.alias("unit"), "fp"))

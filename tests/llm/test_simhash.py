@@ -4,6 +4,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from clipwire.llm import simhash
+from clipwire.llm.common import stored
 from clipwire.llm.components import connected_components
 from clipwire.llm.queries import llm_queries
 
@@ -194,3 +195,21 @@ def test_a_large_group_is_linked_as_all_pairs_are(documents, words, tile):
     got = {x.doc_id: x.component_id for x in simhash.near_duplicates(documents(texts), tile=tile).collect()}
     assert 10 < len(set(want)) < len(texts)
     assert sum(got[d] == c for d, c in enumerate(want)) >= len(texts) - 2
+
+
+def test_broadcasts_of_blocks_stay_small(spark):
+    """Blocks are many times what their rows were exploded from; Spark would send all of them."""
+    r = np.random.default_rng(9)
+    prints = [int(p).to_bytes(8) for p in r.integers(0, 2**62, 12_000, dtype=np.uint64)]
+    prints += [(0xABCDEF << 40 | k).to_bytes(8) for k in range(5_000)]
+    rows = [(p, int.from_bytes(p).bit_count(), [k % 9, k, -k]) for k, p in enumerate(prints)]
+    nodes = stored(spark.createDataFrame(rows, "fp binary, ones int, mins array<bigint>"), "few-bytes")
+    most = spark.conf.get("spark.sql.maxBroadcastTableSize")
+    spark.conf.set("spark.sql.maxBroadcastTableSize", 2**22)  # an error beyond it
+    try:
+        for radius, min_hashes in ((4, 0), (74, 3)):
+            units = simhash._units(simhash._keyed(nodes, radius, min_hashes), radius, 1024)
+            assert units.count() > len(rows) * (min_hashes or 15)
+            assert units.groupBy("key", "unit").count().agg(F.max("count")).first()[0] <= 3 * 1024
+    finally:
+        spark.conf.set("spark.sql.maxBroadcastTableSize", most)
