@@ -73,11 +73,14 @@ def hash_sample(df: DataFrame, n: int) -> DataFrame:
     return stored(rows.drop("_row_hash"), "hash-sample")
 
 
-def joined_apart(df: DataFrame, small: DataFrame, on: str, how: str = "inner") -> DataFrame:
+def joined_apart(
+    df: DataFrame, small: DataFrame, on: str, how: str = "inner", hint: str = "merge"
+) -> DataFrame:
     """``df`` joined on a column with ``small``, an aggregate that has one row for each value.
 
     AQE splits a hot value only where both sides of the join come straight from a shuffle. Under
-    its old name the column would spare the aggregate its shuffle, so it gets a new one.
+    its old name the column would spare the aggregate its shuffle, so it gets a new one. Neither
+    side is a broadcast: both grow with the input, and Spark sizes them by their packed files.
     """
-    again = small.withColumn("_again", F.array_max(F.array(on))).drop(on)
+    again = small.withColumn("_again", F.array_max(F.array(on))).drop(on).hint(hint)
     return df.join(again, F.col(on) == F.col("_again"), how).drop("_again")

@@ -338,7 +338,7 @@ def _alike(docs: DataFrame, nodes: DataFrame, moved: DataFrame, how: tuple) -> D
     members = moved.select(F.col("node").alias("member"), "root")
     members = members.union(moved.select(F.col("root").alias("member"), "root").distinct())
     load = F.greatest(F.lit(1.0), F.col("n") * (tile / SHINGLES)).alias("load")
-    found = nodes.join(members, nodes["fp"] == members["member"]).select(
+    found = nodes.join(members.hint("merge"), nodes["fp"] == members["member"]).select(
         "fp", "ones", "mins", "text_hash", "root", load
     )
     found = stored(found, "candidates")
@@ -351,7 +351,7 @@ def _alike(docs: DataFrame, nodes: DataFrame, moved: DataFrame, how: tuple) -> D
     # texts of candidates only, each once, and none sorted for the joins; equal hashes of other texts find no node below
     wanted = found.select("text_hash").distinct()
     texts = docs.select("text", F.xxhash64("text").alias("text_hash"))
-    texts = joined_apart(texts, wanted.hint("shuffle_hash"), "text_hash").select("text").distinct()
+    texts = joined_apart(texts, wanted, "text_hash", hint="shuffle_hash").select("text").distinct()
     hashed = _shingle_sets(shingle)(F.col("text"))
     sets = texts.select(hashed.alias("h")).select("h.*")
     own = units.withColumn("_digest", F.expr(f"substring(fp, {8 * words + 1}, 8)"))
@@ -375,7 +375,7 @@ def _grouped(docs: DataFrame, kept: list, how: tuple) -> tuple[DataFrame, DataFr
     moved = connected_components(links)
     if min_hashes:
         moved = connected_components(_alike(docs, nodes, moved, how))
-    rooted = nodes.join(moved, nodes["fp"] == moved["node"], "left").select(
+    rooted = nodes.join(moved.hint("merge"), nodes["fp"] == moved["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     return prints, rooted
@@ -398,7 +398,7 @@ def joined_groups(one: DataFrame, other: DataFrame) -> DataFrame:
     """
     one = one.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.min("root").alias("a"))
     other = other.groupBy("row").agg(F.min("root").alias("b"))
-    both = stored(one.join(other, "row"), "two-groups")
+    both = stored(one.join(other.hint("merge"), "row"), "two-groups")
     least = both.groupBy("b").agg(F.min("a").alias("least"))
     links = joined_apart(both.select("a", "b").distinct(), least, "b").where(F.col("a") != F.col("least"))
     moved = connected_components(links, "a", "least").withColumnRenamed("node", "a")

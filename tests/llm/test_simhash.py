@@ -4,7 +4,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from clipwire.llm import simhash
-from clipwire.llm.common import stored
+from clipwire.llm.common import joined_apart, stored
 from clipwire.llm.components import connected_components
 from clipwire.llm.queries import llm_queries
 
@@ -213,3 +213,16 @@ def test_broadcasts_of_blocks_stay_small(spark):
             assert units.groupBy("key", "unit").count().agg(F.max("count")).first()[0] <= 3 * 1024
     finally:
         spark.conf.set("spark.sql.maxBroadcastTableSize", most)
+
+
+def test_joins_to_aggregates_are_no_broadcasts(spark):
+    """Spark sizes stored links by their packed files, here a few bytes a row."""
+    links = spark.range(40_000).select(
+        F.concat(F.lit("n" * 60), F.col("id") % 7).alias("a"), F.concat(F.lit("n" * 60), F.col("id") + 7).alias("b")
+    )
+    least = links.groupBy("a").agg(F.min("b").alias("m"))
+    for how in ("inner", "left"):
+        joined = joined_apart(stored(links, "packed"), least, "a", how)
+        assert joined.count() == 40_000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "SortMergeJoin" in plan
