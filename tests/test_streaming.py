@@ -3,6 +3,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import Row
 
 from clipwire.checks import registry
 from clipwire.operators import count_by_day, dedup_latest, stamp_from_date
@@ -32,6 +33,7 @@ from clipwire.streaming import (
     stream_latest,
     stream_stage_merge,
 )
+from clipwire.streaming.latest import _Latest
 from helpers import rows
 
 DAY = dt.date(2024, 1, 5)
@@ -331,3 +333,36 @@ def test_latest_copy_of_a_later_batch_wins(spark, tmp_path):
     assert "3" not in urls and {"1", "2", "4", "7", "8"} <= set(urls)
     states = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
     assert states and states[-1] < max(states)
+
+
+def test_latest_takes_rows_without_a_frame_for_each_key():
+    """A key's rows come as they are, and a new key costs its state three calls."""
+
+    class Handle:
+        def __init__(self):
+            self.calls, self.value = [], None
+
+        def __getattr__(self, name):
+            def call(*given):
+                self.calls.append(name)
+                if name == "getValueState":
+                    return self
+                if name == "update":
+                    self.value = given[0]
+                return {"get": self.value, "listTimers": iter([(7,)])}.get(name)
+
+            return call
+
+        def getCurrentWatermarkInMs(self):
+            return 5
+
+    handle, latest = Handle(), _Latest(10)
+    latest.init(handle)
+    row = lambda at, n: Row(at=at, published=f"p{n}", tie="t", article=f"a{n}")
+    got = list(latest.handleInputRows(("k",), iter([row(None, 9), row(3, 1), row(3, 2), row(2, 3)]), handle))
+    assert got == [Row(article="a2")] and handle.value == (3, "p2", "t")
+    assert handle.calls == ["getValueState", "get", "update", "registerTimer"]
+    assert list(latest.handleInputRows(("k",), iter([row(3, 0)]), handle)) == []
+    assert list(latest.handleInputRows(("k",), iter([row(4, 0)]), handle)) == [Row(article="a0")]
+    assert handle.calls[4:] == ["get", "get", "update", "listTimers", "deleteTimer", "registerTimer"]
+    assert list(latest.handleExpiredTimer(("k",), handle, None)) == []
