@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from clipwire.checks import registry
 from clipwire.session import scratch_dir
+from clipwire.streaming import merge
 
 
 def test_days_land_in_one_pass_and_in_order(spark):
@@ -50,3 +51,20 @@ def test_rows_are_dealt_to_days_before_they_become_payloads(spark, monkeypatch):
     for n in range(2):
         got = sorted(r[0] for r in spark.read.text(f"{folder}/{n}").collect())
         assert got == sorted(f"text {k}+text {k}" for k in range(40) if k % 2 == n)
+
+
+def test_history_days_are_read_from_where_they_landed(spark, monkeypatch):
+    """Neither the join to the times is made for each day, nor does one micro-batch hold all days."""
+    write, staged = merge.write_overwrite, []
+
+    def watched(batch, path, fmt):
+        write(batch, path, fmt)
+        staged.append(path)
+
+    def joined(*_):
+        raise AssertionError("joined once more")
+
+    monkeypatch.setattr(registry, "article_payloads", joined)
+    monkeypatch.setattr(merge, "write_overwrite", watched)
+    assert registry.registered()["merge_after_history"](spark, "/root/testdata/sf0.001").count() > 0
+    assert len(staged) >= 3
