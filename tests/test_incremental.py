@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from clipwire.plans import daily_incremental, daily_job
+from clipwire.plans import daily_incremental, daily_job, incremental
 from clipwire.schema import HARMONIZED_TABLE, MEMORY_SCHEMA, RAW_SCHEMA
 from clipwire.session import scratch_dir
 from clipwire.sources import files, write_partition_append, write_partition_overwrite
@@ -207,3 +207,26 @@ def test_no_rows(spark):
     assert spark.read.parquet(f"{made.out}/by-change/state/files").count() > 0
     made.arrive((DAYS[1], "a", "t", "2024-01-02T10:00:00Z", "2", "dna"))
     assert len(made.check()) == 1
+
+
+def test_a_new_copy_does_not_read_the_old_ones(spark, monkeypatch):
+    """A key with new articles alone is made of these and the row that it has; see what is translated."""
+    tables, made = Tables(spark, "copies"), []
+    translated = incremental._Run.translated
+
+    def counted(run, source):
+        made.append(source.count())
+        return translated(run, source)
+
+    monkeypatch.setattr(incremental._Run, "translated", counted)
+    tables.translate(("raro", "genes raros"))
+    at = lambda hour, n: (DAYS[0], "a", "t", f"2024-01-01T{hour:02d}:00:00Z", str(n), "dna")
+    tables.arrive(*[at(n, n) for n in range(20)], (DAYS[0], "b", "u", "2024-01-01T01:00:00Z", "30", "late"))
+    tables.check()
+    tables.arrive(at(3, 21), at(22, 22), at(22, 23), (DAYS[1], "c", "x", "2024-01-02T01:00:00Z", "31", "dna"))
+    tables.check()
+    # An older copy alone changes nothing; a new translation makes its keys from all their articles.
+    tables.arrive(at(2, 24), (DAYS[1], "b", "u", "2024-01-02T01:00:00Z", "32", "other"))
+    tables.translate(("late", "dna late"))
+    tables.check()
+    assert made == [21, 4, 3]
